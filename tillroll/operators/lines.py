@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import as_discount, calendar_month, calendar_year, month_year_label
+from tillroll.functions import (as_discount, as_money, as_quantity, calendar_month,
+                                calendar_year, month_year_label, parse_receipt_date)
+from tillroll.operators.profit import promotions_for
+from tillroll.schemas import DISCOUNT
 
 
 def products(products: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -32,3 +35,37 @@ def sales_details(receipts: DataFrame, businesses: DataFrame, products: DataFram
                             month.alias("month"), year.alias("year"),
                             month_year_label(month, year).alias("month_year"),
                             "product_name", "product_cost", "product_price", "product_quantity"))
+
+
+def products_in_receipt(stg: DataFrame) -> DataFrame:
+    """:func:`products` for staging rows with unique, non-NULL Reference: each line is matched
+    with the promotions of its own receipt (explode_outer keeps lines without one)."""
+    matched = (stg.select(F.col("Reference").alias("receipt_ref"), F.explode("Products").alias("p"),
+                          "Promotions")
+                  .select("receipt_ref", "p",
+                          F.explode_outer(promotions_for(F.col("p"), F.col("Promotions")))
+                           .alias("d")))
+    return matched.select(
+        "receipt_ref", F.col("p.Name").alias("product_name"),
+        as_money(F.col("p.Cost")).alias("product_cost"),
+        as_money(F.col("p.Price")).alias("product_price"),
+        as_quantity(F.col("p.Quantity")).alias("product_quantity"),
+        as_discount(F.coalesce(F.col("d.Discount").cast(DISCOUNT), F.lit(0))).alias("discount"),
+        F.coalesce(F.col("d.Per_Quantity"), F.lit(0)).cast("bigint").alias("per_quantity"))
+
+
+def sales_details_in_receipt(stg: DataFrame) -> DataFrame:
+    """:func:`sales_details` for staging rows with unique, non-NULL Reference."""
+    d = parse_receipt_date(F.col("Date"))
+    month, year = calendar_month(d), calendar_year(d)
+    return (stg.filter(F.col("Reference").isNotNull())
+               .select(F.col("Reference").alias("receipt_ref"),
+                       F.col("Business.Name").alias("business_name"), d.alias("receipt_date"),
+                       month.alias("month"), year.alias("year"),
+                       month_year_label(month, year).alias("month_year"),
+                       F.explode("Products").alias("p"))
+               .select("receipt_ref", "business_name", "receipt_date", "month", "year",
+                       "month_year", F.col("p.Name").alias("product_name"),
+                       as_money(F.col("p.Cost")).alias("product_cost"),
+                       as_money(F.col("p.Price")).alias("product_price"),
+                       as_quantity(F.col("p.Quantity")).alias("product_quantity")))

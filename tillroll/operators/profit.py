@@ -2,11 +2,13 @@
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from tillroll.functions import (as_total, calendar_month, calendar_year, month_name,
-                                month_year_label)
+from tillroll.functions import (as_money, as_total, calendar_month, calendar_year,
+                                month_name, month_year_label, parse_receipt_date)
+from tillroll.schemas import DISCOUNT, MONEY, PROMOTION, QUANTITY
 
 
 def business_sales(receipts: DataFrame, businesses: DataFrame) -> DataFrame:
@@ -73,3 +75,102 @@ def monthly_profit_series(monthly: DataFrame) -> DataFrame:
     """Profit series per business with a ``month_year`` label, in time order."""
     return (monthly.withColumn("month_year", month_year_label(F.col("month"), F.col("year")))
                    .orderBy("business_name", "year", "month"))
+
+
+# -- Receipt-local forms -------------------------------------------------------------------
+# When every staging row has its own non-NULL Reference, all tables joined on receipt_ref are
+# projections of the same row, and each join rebuilds that row. The forms below compute the
+# same results inside the row with higher-order functions: no join and no shuffle. They equal
+# the join forms only under that key condition; ReceiptModels checks it before choosing them.
+
+_SUM2 = "decimal(18,2)"
+_SUM4 = "decimal(18,4)"
+
+
+def _sum_step(acc: Column, x: Column, dtype: str) -> Column:
+    """One step of SUM: NULL inputs are skipped, and the sum stays NULL until a value comes."""
+    return F.when(x.isNull(), acc).when(acc.isNull(), x.cast(dtype)).otherwise(
+        (acc + x).cast(dtype))
+
+
+def promotions_for(product: Column, promotions: Column) -> Column:
+    """Promotions of the same receipt for this product (equi-match on the product name)."""
+    return F.filter(F.coalesce(promotions, F.array().cast(ArrayType(PROMOTION))),
+                    lambda d: d["Product"] == product["Name"])
+
+
+def _line_rows(product: Column, promotions: Column) -> Column:
+    """The rows a left join gives for one product line: one per matching promotion, or a
+    single row with no promotion."""
+    matches = promotions_for(product, promotions)
+    return F.when(F.size(matches) > 0, matches).otherwise(
+        F.array(F.lit(None).cast(PROMOTION)))
+
+
+def receipt_profit(products: Column = None, promotions: Column = None) -> Column:
+    """struct(total_cost, total_price, total_price_after_discount, total_profit) of one
+    receipt, from its own product and promotion lists; same rules as :func:`priced_lines`."""
+    products = F.col("Products") if products is None else products
+    promotions = F.col("Promotions") if promotions is None else promotions
+    start = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in
+                       [("cost", _SUM2), ("price", _SUM2), ("after", _SUM4), ("profit", _SUM4)]])
+
+    def add_line(acc: Column, p: Column) -> Column:
+        qty = p["Quantity"].cast(QUANTITY)
+        cost = p["Cost"].cast(MONEY) * qty
+        price = p["Price"].cast(MONEY) * qty
+
+        def add_row(a: Column, d: Column) -> Column:
+            per = d["Per_Quantity"]
+            discount = d["Discount"].cast(DISCOUNT)
+            discounted = discount.isNotNull() & (F.floor(F.try_divide(qty, per)) * per > 0)
+            after = F.when(discounted, price * (F.lit(Decimal("1.00")) - discount)
+                           ).otherwise(price)
+            return F.struct(_sum_step(a["cost"], cost, _SUM2).alias("cost"),
+                            _sum_step(a["price"], price, _SUM2).alias("price"),
+                            _sum_step(a["after"], after, _SUM4).alias("after"),
+                            _sum_step(a["profit"], after - cost, _SUM4).alias("profit"))
+
+        return F.aggregate(_line_rows(p, promotions), acc, add_row)
+
+    sums = F.aggregate(products, start, add_line)
+    return F.struct(as_total(sums["cost"]).alias("total_cost"),
+                    as_total(sums["price"]).alias("total_price"),
+                    as_total(sums["after"]).alias("total_price_after_discount"),
+                    as_total(sums["profit"]).alias("total_profit"))
+
+
+def _sales_columns() -> dict[str, Column]:
+    """Columns of :func:`business_sales`, computed from a staging row."""
+    d = parse_receipt_date(F.col("Date"))
+    return {
+        "business_abn": F.col("Business.ABN"), "business_name": F.col("Business.Name"),
+        "receipt_ref": F.col("Reference"), "receipt_date": d,
+        "receipt_total": as_money(F.col("Total")), "gst": as_money(F.col("GST")),
+        "year": calendar_year(d), "month": calendar_month(d), "month_name": month_name(d),
+    }
+
+
+def business_sales_in_receipt(stg: DataFrame) -> DataFrame:
+    """:func:`business_sales` for staging rows with unique, non-NULL Reference."""
+    cols = _sales_columns()
+    return stg.filter(F.col("Reference").isNotNull()).select(
+        *[c.alias(n) for n, c in cols.items()])
+
+
+def sale_profits_in_receipt(stg: DataFrame) -> DataFrame:
+    """:func:`sale_profits` for staging rows with unique, non-NULL Reference."""
+    return (stg.filter(F.size(F.col("Products")) > 0)
+               .select(F.col("Reference").alias("receipt_ref"), receipt_profit().alias("s"))
+               .select("receipt_ref", "s.*"))
+
+
+def business_sales_profits_in_receipt(stg: DataFrame) -> DataFrame:
+    """:func:`business_sales_profits` for staging rows with unique, non-NULL Reference;
+    receipts without product lines drop out as in the join."""
+    cols = _sales_columns()
+    header = ["business_abn", "business_name", "receipt_date", "year", "month", "month_name",
+              "receipt_ref", "receipt_total", "gst"]
+    return (stg.filter(F.col("Reference").isNotNull() & (F.size(F.col("Products")) > 0))
+               .select(*[cols[n].alias(n) for n in header], receipt_profit().alias("s"))
+               .select(*header, "s.*"))

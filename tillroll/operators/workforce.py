@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import (calendar_month, calendar_year, fiscal_year, month_index,
-                                month_name, month_year_label, period_label)
+                                month_name, month_year_label, parse_receipt_date, period_label)
 
 MONTH_KEYS = ["business_name", "year", "month", "month_name"]
 # The two months whose headcounts bracket a fiscal year, by number and name.
@@ -96,3 +96,14 @@ def turnover_summary(by_period: DataFrame) -> DataFrame:
     return by_period.groupBy("business_name").agg(
         F.round(F.avg(rate), 2).alias("avg_turnover_rate"),
         F.median(rate).alias("median_turnover_rate"))
+
+
+def business_employees_in_receipt(stg: DataFrame) -> DataFrame:
+    """:func:`business_employees` for staging rows with unique, non-NULL Reference: the three
+    joined tables are projections of the same row."""
+    d = parse_receipt_date(F.col("Date"))
+    return (stg.filter(F.col("Reference").isNotNull())
+               .select(F.col("Business.Name").alias("business_name"),
+                       calendar_year(d).alias("year"), calendar_month(d).alias("month"),
+                       month_name(d).alias("month_name"), F.col("Cashier").alias("cashier_name"))
+               .distinct())

@@ -2,16 +2,19 @@
 
 Physical plan choices:
 
-* All receipt-level joins are on ``receipt_ref``, and all normalised tables are projections or
-  explodes of one staging row. The staging rows are therefore hash-partitioned by
-  ``Reference`` once (``keyed``); the normalised tables inherit that partitioning, and every
-  join and per-receipt aggregation on ``receipt_ref`` runs without a further exchange. When the
-  staging comes from a table bucketed by ``Reference`` (see ``stage_receipts``), pass
-  ``copartition=False``: the bucketed scan is already partitioned and no shuffle is needed.
-* Tables that need no join (the normalised tables themselves, Q2) read the staging rows
-  directly, so they do not pay for the repartitioning.
-* Aggregations by business run with partial (map-side) aggregation; top-k per business is cut
-  before its shuffle. No broadcast hint is given: small sides (nation, leaver counts) are
+* Every receipt-level join of the reference models is on ``receipt_ref``, and every normalised
+  table is a projection or explode of one staging row. When ``Reference`` is unique and never
+  NULL, each such join only rebuilds the staging row, so the receipt-local forms
+  (``*_in_receipt``) compute the same result inside the row with higher-order functions: Q1 up
+  to the per-receipt profit, the product-line tables and the staff list need no join and no
+  shuffle at all, and each analysis costs one shuffle, with partial aggregation before it.
+* Whether the key condition holds is checked once, with an aggregation over the Reference
+  column alone (``reference_is_unique``), unless the caller states it (``unique_reference``),
+  for example for a staging table whose load deduplicated receipts. If it does not hold, the
+  general join forms run, with the bag semantics of the reference models.
+* Aggregations by business use partial aggregation, so a business holding a third of all
+  receipts costs one row per map task in the shuffle; top-k per business is cut in every map
+  task before its shuffle (WindowGroupLimit). No broadcast hint is given: small sides are
   broadcast by Spark's size statistics or by adaptive execution at run time, which measure them.
 """
 
@@ -22,7 +25,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from tillroll.operators import lines, loyalty, normalise, profit, quality, workforce
-from tillroll.sources.staging import STAGING_KEY, staging_row_count
+from tillroll.sources.staging import reference_is_unique, staging_row_count
 
 MODEL_NAMES = [
     "receipts", "receipt_businesses", "receipt_cashiers", "receipt_customers",
@@ -41,17 +44,25 @@ MODEL_NAMES = [
 class ReceiptModels:
     """Lazy access to every model over one staging DataFrame.
 
-    ``leavers`` optionally replaces the computed leaver counts with a user table
-    (business_name, fiscal_year, num_employee_left).
+    ``unique_reference``: True/False states whether Reference is unique and non-NULL; None
+    checks it on first use of a join-based model. ``leavers`` optionally replaces the computed
+    leaver counts with a user table (business_name, fiscal_year, num_employee_left).
     """
 
-    def __init__(self, staging: DataFrame, copartition: bool = True,
+    def __init__(self, staging: DataFrame, unique_reference: bool | None = None,
                  leavers: DataFrame | None = None, top_k: int = loyalty.TOP_K):
         self.staging = staging
-        self.keyed = staging.repartition(STAGING_KEY) if copartition else staging
+        self._unique = unique_reference
         self._leavers = leavers
         self.top_k = top_k
 
+    @cached_property
+    def receipt_local(self) -> bool:
+        """Whether the receipt-local forms apply (Reference unique and non-NULL)."""
+        if self._unique is not None:
+            return self._unique
+        return reference_is_unique(self.staging)
+
     def table(self, name: str) -> DataFrame:
         if name not in MODEL_NAMES:
             raise KeyError(name)
@@ -60,7 +71,7 @@ class ReceiptModels:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in MODEL_NAMES}
 
-    # -- normalised tables, standalone (no repartitioning) -------------------------------
+    # -- normalised tables -----------------------------------------------------------------
     @cached_property
     def receipts(self) -> DataFrame:
         return normalise.receipts(self.staging)
@@ -89,38 +100,23 @@ class ReceiptModels:
     def receipt_promotions(self) -> DataFrame:
         return normalise.receipt_promotions(self.staging)
 
-    # -- normalised tables on the keyed rows, inputs of the joins -------------------------
-    @cached_property
-    def _k_receipts(self) -> DataFrame:
-        return normalise.receipts(self.keyed)
-
-    @cached_property
-    def _k_businesses(self) -> DataFrame:
-        return normalise.receipt_businesses(self.keyed)
-
-    @cached_property
-    def _k_cashiers(self) -> DataFrame:
-        return normalise.receipt_cashiers(self.keyed)
-
-    @cached_property
-    def _k_products(self) -> DataFrame:
-        return normalise.receipt_products(self.keyed)
-
-    @cached_property
-    def _k_promotions(self) -> DataFrame:
-        return normalise.receipt_promotions(self.keyed)
-
     # -- Q1 ----------------------------------------------------------------------------------
     @cached_property
     def business_sales(self) -> DataFrame:
-        return profit.business_sales(self._k_receipts, self._k_businesses)
+        if self.receipt_local:
+            return profit.business_sales_in_receipt(self.staging)
+        return profit.business_sales(self.receipts, self.receipt_businesses)
 
     @cached_property
     def sale_profits(self) -> DataFrame:
-        return profit.sale_profits(self._k_products, self._k_promotions)
+        if self.receipt_local:
+            return profit.sale_profits_in_receipt(self.staging)
+        return profit.sale_profits(self.receipt_products, self.receipt_promotions)
 
     @cached_property
     def business_sales_profits(self) -> DataFrame:
+        if self.receipt_local:
+            return profit.business_sales_profits_in_receipt(self.staging)
         return profit.business_sales_profits(self.business_sales, self.sale_profits)
 
     @cached_property
@@ -151,8 +147,10 @@ class ReceiptModels:
     # -- Q3 ----------------------------------------------------------------------------------
     @cached_property
     def business_employees(self) -> DataFrame:
-        return workforce.business_employees(self._k_businesses, self._k_cashiers,
-                                            self._k_receipts)
+        if self.receipt_local:
+            return workforce.business_employees_in_receipt(self.staging)
+        return workforce.business_employees(self.receipt_businesses, self.receipt_cashiers,
+                                            self.receipts)
 
     @cached_property
     def business_employee_stats(self) -> DataFrame:
@@ -183,11 +181,15 @@ class ReceiptModels:
     # -- product lines -----------------------------------------------------------------------
     @cached_property
     def products(self) -> DataFrame:
-        return lines.products(self._k_products, self._k_promotions)
+        if self.receipt_local:
+            return lines.products_in_receipt(self.staging)
+        return lines.products(self.receipt_products, self.receipt_promotions)
 
     @cached_property
     def sales_details(self) -> DataFrame:
-        return lines.sales_details(self._k_receipts, self._k_businesses, self._k_products)
+        if self.receipt_local:
+            return lines.sales_details_in_receipt(self.staging)
+        return lines.sales_details(self.receipts, self.receipt_businesses, self.receipt_products)
 
     # -- load checks and small readers ---------------------------------------------------------
     @cached_property

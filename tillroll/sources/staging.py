@@ -61,3 +61,13 @@ def read_table(spark: SparkSession, table: str, columns: list[str] | None = None
 
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def reference_is_unique(stg: DataFrame) -> bool:
+    """True when no staging row has a NULL or repeated ``Reference``.
+
+    One aggregation over the Reference column alone, with partial aggregation before its
+    shuffle; it stops at the first offending key, and only a boolean reaches the driver.
+    """
+    counts = stg.groupBy(STAGING_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter((F.col("n") > 1) | F.col(STAGING_KEY).isNull()).isEmpty()
