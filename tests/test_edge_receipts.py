@@ -1,0 +1,111 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tests.edge_receipts import EDGE_RECEIPTS, EXPECTED_SALE_PROFITS, write_documents
+from tillroll.operators import workforce
+from tillroll.plans import ReceiptModels
+from tillroll.sources import read_receipt_json
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    path = write_documents(str(tmp_path_factory.mktemp("edge")))
+    return read_receipt_json(spark, path)
+
+
+@pytest.fixture(params=[True, False], ids=["receipt_local", "joins"])
+def models(request, staged):
+    return ReceiptModels(staged, unique_reference=request.param)
+
+
+def test_reads_all_documents(staged):
+    assert staged.count() == len(EDGE_RECEIPTS)
+
+
+def test_sale_profits(models):
+    got = {r.receipt_ref: (str(r.total_cost), str(r.total_price),
+                           str(r.total_price_after_discount), str(r.total_profit))
+           for r in models.sale_profits.collect()}
+    assert got == EXPECTED_SALE_PROFITS
+
+
+def test_check_picks_receipt_local(staged):
+    assert ReceiptModels(staged).receipt_local is True
+
+
+def test_payments_and_customers(models):
+    pays = models.receipt_payments
+    assert pays.count() == 8
+    assert pays.filter("receipt_ref = 'R5'").count() == 2
+    assert pays.filter("receipt_ref = 'R7'").count() == 0
+    cust = {r.receipt_ref: r.customer_name for r in models.receipt_customers.collect()}
+    assert len(cust) == 8
+    assert [k for k, v in sorted(cust.items()) if v is None] == ["R4", "R5", "R6"]
+
+
+def test_business_customers_and_summary(models):
+    refs = sorted(r.receipt_ref for r in models.business_customers.collect())
+    assert refs == ["R1", "R2", "R3", "R6", "R7"]
+    summary = {r.customer_name: (r.amount_spent, r.num_purchases)
+               for r in models.business_customers_summary.collect()}
+    assert summary == {"Lisa": (Decimal("70.00"), 3), "Scott": (Decimal("10.00"), 1),
+                       None: (Decimal("10.00"), 1)}
+
+
+def test_products_with_promotion_terms(models):
+    prods = models.products
+    assert prods.count() == 9
+    r3 = prods.filter("receipt_ref = 'R3'").collect()
+    assert [(r.discount, r.per_quantity) for r in r3] == [(Decimal("0.00"), 0)]
+    assert prods.filter("receipt_ref = 'R4'").count() == 2
+
+
+def test_attendance_and_headcount(models):
+    att = {(r.year, r.month): r.unique_employees for r in models.employee_attendences.collect()}
+    assert att == {(2022, 7): "Ann", (2022, 8): "Ann", (2023, 6): "Ann, Bob",
+                   (2023, 7): "Ann, Bob"}
+    stats = {(r.year, r.month): r.num_employees for r in models.business_employee_stats.collect()}
+    assert stats == {(2022, 7): 1, (2022, 8): 1, (2023, 6): 2, (2023, 7): 2}
+
+
+def test_nobody_left(models):
+    assert models.employees_left.count() == 0
+
+
+def test_monthly_profit(models):
+    got = {(r.year, r.month): (r.total_monthly_profit, r.num_of_sales)
+           for r in models.business_monthly_profits.collect()}
+    assert got == {(2022, 7): (Decimal("37.00"), 2), (2022, 8): (Decimal("15.00"), 2),
+                   (2023, 6): (Decimal("22.00"), 2), (2023, 7): (Decimal("4.00"), 1)}
+
+
+def test_turnover_summary_skips_null(spark):
+    rates = spark.createDataFrame(
+        [("Shop A", 0.0), ("Shop A", 20.0), ("Shop A", None), ("Shop A", 50.0)],
+        "business_name string, annual_turnover_rate double")
+    r = workforce.turnover_summary(rates).collect()[0]
+    assert r.avg_turnover_rate == pytest.approx(23.33)
+    assert r.median_turnover_rate == pytest.approx(20.0)
+
+
+def test_duplicate_reference_keeps_join_semantics(spark, tmp_dir):
+    # The same receipt delivered twice: the joins on receipt_ref multiply its lines and
+    # promotions (2 lines x 2 promotions), exactly as the SQL models do.
+    docs = [EDGE_RECEIPTS[0], EDGE_RECEIPTS[0], EDGE_RECEIPTS[1]]
+    stg = read_receipt_json(spark, write_documents(tmp_dir, docs))
+    m = ReceiptModels(stg)
+    assert m.receipt_local is False
+    got = {r.receipt_ref: (str(r.total_cost), str(r.total_profit)) for r in m.sale_profits.collect()}
+    assert got == {"R1": ("80.00", "100.00"), "R2": ("8.00", "12.00")}
+    assert m.business_sales_profits.filter("receipt_ref = 'R1'").count() == 4
+
+
+def test_null_reference_takes_join_path(spark, staged):
+    with_null = staged.unionByName(staged.limit(1).withColumn("Reference", F.lit(None).cast("string")))
+    m = ReceiptModels(with_null)
+    assert m.receipt_local is False
+    assert m.business_sales.filter(F.col("receipt_ref").isNull()).count() == 0
+    assert rows(m.business_employees) == rows(ReceiptModels(staged).business_employees)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.schemas import CUSTOMER, RECEIPT, RECEIPT_CSV
 
@@ -37,7 +38,7 @@ def read_receipt_json(spark: SparkSession, path: str, layout: str = "document",
     if strict:
         reader = reader.option("mode", "FAILFAST")
     else:
-        schema = RECEIPT.add(CORRUPT_COLUMN, "string")
+        schema = T.StructType(RECEIPT.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
         reader = (reader.option("mode", "PERMISSIVE")
                   .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     return reader.schema(schema).json(path)
