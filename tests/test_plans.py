@@ -4,7 +4,7 @@ import pytest
 
 from tests.conftest import SMALL_SF
 from tillroll.plans import MODEL_NAMES, ReceiptModels
-from tillroll.sources import receipts_from_tables
+from tillroll.sources import receipts_from_tables, stage_receipts
 
 
 def executed(df) -> str:
@@ -17,8 +17,13 @@ def optimized(df) -> str:
 
 
 @pytest.fixture(scope="module")
-def staged(spark, tmp_path_factory):
-    """The staging rows as a Parquet table, as in production."""
+def staged(spark):
+    """The staging rows as a table bucketed by Reference, as the load writes them."""
+    return stage_receipts(receipts_from_tables(spark, SMALL_SF), table="stg_plans")
+
+
+@pytest.fixture(scope="module")
+def unbucketed(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("stg") / "stg")
     receipts_from_tables(spark, SMALL_SF).write.parquet(path)
     return spark.read.parquet(path)
@@ -42,6 +47,18 @@ def test_receipt_level_models_do_not_shuffle(models, name):
     assert "Exchange" not in executed(models.table(name))
 
 
+@pytest.mark.parametrize("name", ["sale_profits", "products", "business_employees"])
+def test_receipt_local_needs_at_most_one_shuffle_without_buckets(unbucketed, name):
+    plan = executed(ReceiptModels(unbucketed, unique_reference=True).table(name))
+    assert plan.count("Exchange hashpartitioning") <= 1
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_join_forms_still_available(unbucketed):
+    plan = executed(ReceiptModels(unbucketed, unique_reference=False).sale_profits)
+    assert "Join" in plan
+
+
 def test_monthly_profit_shuffles_once_after_partial_aggregation(models):
     plan = executed(models.business_monthly_profits)
     assert plan.count("Exchange hashpartitioning") == 1

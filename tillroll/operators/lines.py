@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import (as_discount, as_money, as_quantity, calendar_month,
                                 calendar_year, month_year_label, parse_receipt_date)
-from tillroll.operators.profit import promotions_for
-from tillroll.schemas import DISCOUNT
+from tillroll.operators.profit import matched_lines_in_receipt
 
 
 def products(products: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -39,19 +38,11 @@ def sales_details(receipts: DataFrame, businesses: DataFrame, products: DataFram
 
 def products_in_receipt(stg: DataFrame) -> DataFrame:
     """:func:`products` for staging rows with unique, non-NULL Reference: each line is matched
-    with the promotions of its own receipt (explode_outer keeps lines without one)."""
-    matched = (stg.select(F.col("Reference").alias("receipt_ref"), F.explode("Products").alias("p"),
-                          "Promotions")
-                  .select("receipt_ref", "p",
-                          F.explode_outer(promotions_for(F.col("p"), F.col("Promotions")))
-                           .alias("d")))
-    return matched.select(
-        "receipt_ref", F.col("p.Name").alias("product_name"),
-        as_money(F.col("p.Cost")).alias("product_cost"),
-        as_money(F.col("p.Price")).alias("product_price"),
-        as_quantity(F.col("p.Quantity")).alias("product_quantity"),
-        as_discount(F.coalesce(F.col("d.Discount").cast(DISCOUNT), F.lit(0))).alias("discount"),
-        F.coalesce(F.col("d.Per_Quantity"), F.lit(0)).cast("bigint").alias("per_quantity"))
+    with the promotions of its own receipt, no join."""
+    return matched_lines_in_receipt(stg).select(
+        "receipt_ref", "product_name", "product_cost", "product_price", "product_quantity",
+        as_discount(F.coalesce(F.col("discount"), F.lit(0))).alias("discount"),
+        F.coalesce(F.col("per_quantity"), F.lit(0)).cast("bigint").alias("per_quantity"))
 
 
 def sales_details_in_receipt(stg: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from tillroll.functions import (as_money, as_total, calendar_month, calendar_year,
-                                month_name, month_year_label, parse_receipt_date)
-from tillroll.schemas import DISCOUNT, MONEY, PROMOTION, QUANTITY
+from tillroll.functions import (as_discount, as_money, as_quantity, as_total, calendar_month,
+                                calendar_year, month_name, month_year_label, parse_receipt_date)
+from tillroll.schemas import PROMOTION
 
 
 def business_sales(receipts: DataFrame, businesses: DataFrame) -> DataFrame:
@@ -21,39 +21,48 @@ def business_sales(receipts: DataFrame, businesses: DataFrame) -> DataFrame:
                             month_name(d).alias("month_name")))
 
 
-def priced_lines(products: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Product lines with their promotion (left join on receipt and product name).
+def _with_prices(lines: DataFrame) -> DataFrame:
+    """Add total_cost, total_price, discount_qlf_qty, price_after_discount and profit to
+    product lines that carry their promotion's ``discount`` and ``per_quantity`` (NULL when
+    none).
 
-    Bag semantics: two promotions for one product of a receipt give two rows, and the line is
-    counted twice downstream. A promotion applies to the whole line once the quantity reaches a
-    positive multiple of ``per_quantity`` (qualifying quantity floor(q / n) * n > 0); a zero
-    ``per_quantity`` never qualifies.
+    A promotion applies to the whole line once the quantity reaches a positive multiple of
+    ``per_quantity`` (qualifying quantity floor(q / n) * n > 0); a zero ``per_quantity``
+    never qualifies.
     """
-    qty = F.col("product_quantity")
-    lines = products.select(
-        "receipt_ref", "product_name", "product_cost", "product_price", "product_quantity",
-        (F.col("product_cost") * qty).alias("total_cost"),
-        (F.col("product_price") * qty).alias("total_price"))
-    promos = promotions.select("receipt_ref", "product_name", "discount", "per_quantity")
-    per = F.col("per_quantity")
+    qty, per = F.col("product_quantity"), F.col("per_quantity")
+    total_price = F.col("product_price") * qty
     qualifying = F.floor(F.try_divide(qty, per)) * per
     discounted = F.col("discount").isNotNull() & (qualifying > 0)
-    after = F.when(discounted, F.col("total_price") * (F.lit(Decimal("1.00")) - F.col("discount"))
-                   ).otherwise(F.col("total_price"))
-    return (lines.join(promos, ["receipt_ref", "product_name"], "left")
+    after = F.when(discounted, total_price * (F.lit(Decimal("1.00")) - F.col("discount"))
+                   ).otherwise(total_price)
+    return (lines.withColumn("total_cost", F.col("product_cost") * qty)
+                 .withColumn("total_price", total_price)
                  .withColumn("discount_qlf_qty", qualifying)
                  .withColumn("price_after_discount", after)
                  .withColumn("profit", F.col("price_after_discount") - F.col("total_cost")))
 
 
+def priced_lines(products: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Product lines with their promotion (left join on receipt and product name), priced.
+
+    Bag semantics: two promotions for one product of a receipt give two rows, and the line is
+    counted twice downstream.
+    """
+    promos = promotions.select("receipt_ref", "product_name", "discount", "per_quantity")
+    return _with_prices(products.join(promos, ["receipt_ref", "product_name"], "left"))
+
+
+def _profit_sums() -> list[Column]:
+    return [as_total(F.sum("total_cost")).alias("total_cost"),
+            as_total(F.sum("total_price")).alias("total_price"),
+            as_total(F.sum("price_after_discount")).alias("total_price_after_discount"),
+            as_total(F.sum("profit")).alias("total_profit")]
+
+
 def sale_profits(products: DataFrame, promotions: DataFrame) -> DataFrame:
     """Per receipt: cost, price, discounted price and profit, rounded to cents."""
-    return (priced_lines(products, promotions)
-            .groupBy("receipt_ref")
-            .agg(as_total(F.sum("total_cost")).alias("total_cost"),
-                 as_total(F.sum("total_price")).alias("total_price"),
-                 as_total(F.sum("price_after_discount")).alias("total_price_after_discount"),
-                 as_total(F.sum("profit")).alias("total_profit")))
+    return priced_lines(products, promotions).groupBy("receipt_ref").agg(*_profit_sums())
 
 
 def business_sales_profits(sales: DataFrame, profits: DataFrame) -> DataFrame:
@@ -79,18 +88,11 @@ def monthly_profit_series(monthly: DataFrame) -> DataFrame:
 
 # -- Receipt-local forms -------------------------------------------------------------------
 # When every staging row has its own non-NULL Reference, all tables joined on receipt_ref are
-# projections of the same row, and each join rebuilds that row. The forms below compute the
-# same results inside the row with higher-order functions: no join and no shuffle. They equal
-# the join forms only under that key condition; ReceiptModels checks it before choosing them.
-
-_SUM2 = "decimal(18,2)"
-_SUM4 = "decimal(18,4)"
-
-
-def _sum_step(acc: Column, x: Column, dtype: str) -> Column:
-    """One step of SUM: NULL inputs are skipped, and the sum stays NULL until a value comes."""
-    return F.when(x.isNull(), acc).when(acc.isNull(), x.cast(dtype)).otherwise(
-        (acc + x).cast(dtype))
+# projections of the same row, and each join rebuilds that row. The forms below match product
+# lines with the promotions of their own row instead of joining: no join, and the only
+# exchange left is the per-receipt aggregation, which a staging table bucketed by Reference
+# serves without a shuffle. They equal the join forms only under that key condition;
+# ReceiptModels checks it before choosing them.
 
 
 def promotions_for(product: Column, promotions: Column) -> Column:
@@ -99,47 +101,6 @@ def promotions_for(product: Column, promotions: Column) -> Column:
                     lambda d: d["Product"] == product["Name"])
 
 
-def _line_rows(product: Column, promotions: Column) -> Column:
-    """The rows a left join gives for one product line: one per matching promotion, or a
-    single row with no promotion."""
-    matches = promotions_for(product, promotions)
-    return F.when(F.size(matches) > 0, matches).otherwise(
-        F.array(F.lit(None).cast(PROMOTION)))
-
-
-def receipt_profit(products: Column = None, promotions: Column = None) -> Column:
-    """struct(total_cost, total_price, total_price_after_discount, total_profit) of one
-    receipt, from its own product and promotion lists; same rules as :func:`priced_lines`."""
-    products = F.col("Products") if products is None else products
-    promotions = F.col("Promotions") if promotions is None else promotions
-    start = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in
-                       [("cost", _SUM2), ("price", _SUM2), ("after", _SUM4), ("profit", _SUM4)]])
-
-    def add_line(acc: Column, p: Column) -> Column:
-        qty = p["Quantity"].cast(QUANTITY)
-        cost = p["Cost"].cast(MONEY) * qty
-        price = p["Price"].cast(MONEY) * qty
-
-        def add_row(a: Column, d: Column) -> Column:
-            per = d["Per_Quantity"]
-            discount = d["Discount"].cast(DISCOUNT)
-            discounted = discount.isNotNull() & (F.floor(F.try_divide(qty, per)) * per > 0)
-            after = F.when(discounted, price * (F.lit(Decimal("1.00")) - discount)
-                           ).otherwise(price)
-            return F.struct(_sum_step(a["cost"], cost, _SUM2).alias("cost"),
-                            _sum_step(a["price"], price, _SUM2).alias("price"),
-                            _sum_step(a["after"], after, _SUM4).alias("after"),
-                            _sum_step(a["profit"], after - cost, _SUM4).alias("profit"))
-
-        return F.aggregate(_line_rows(p, promotions), acc, add_row)
-
-    sums = F.aggregate(products, start, add_line)
-    return F.struct(as_total(sums["cost"]).alias("total_cost"),
-                    as_total(sums["price"]).alias("total_price"),
-                    as_total(sums["after"]).alias("total_price_after_discount"),
-                    as_total(sums["profit"]).alias("total_profit"))
-
-
 def _sales_columns() -> dict[str, Column]:
     """Columns of :func:`business_sales`, computed from a staging row."""
     d = parse_receipt_date(F.col("Date"))
@@ -151,6 +112,26 @@ def _sales_columns() -> dict[str, Column]:
     }
 
 
+def matched_lines_in_receipt(stg: DataFrame, keep: dict[str, Column] | None = None
+                             ) -> DataFrame:
+    """Product lines with each promotion of the same receipt for the same product (a line
+    without one is kept once with NULL terms), plus the ``keep`` columns of the receipt
+    (name -> expression; default: receipt_ref)."""
+    keep = keep or {"receipt_ref": F.col("Reference")}
+    names = list(keep)
+    exploded = stg.select(*[c.alias(n) for n, c in keep.items()],
+                          F.explode("Products").alias("p"), "Promotions")
+    matched = exploded.select(*names, "p", F.explode_outer(
+        promotions_for(F.col("p"), F.col("Promotions"))).alias("d"))
+    return matched.select(
+        *names, F.col("p.Name").alias("product_name"),
+        as_money(F.col("p.Cost")).alias("product_cost"),
+        as_money(F.col("p.Price")).alias("product_price"),
+        as_quantity(F.col("p.Quantity")).alias("product_quantity"),
+        as_discount(F.col("d.Discount")).alias("discount"),
+        F.col("d.Per_Quantity").alias("per_quantity"))
+
+
 def business_sales_in_receipt(stg: DataFrame) -> DataFrame:
     """:func:`business_sales` for staging rows with unique, non-NULL Reference."""
     cols = _sales_columns()
@@ -160,17 +141,17 @@ def business_sales_in_receipt(stg: DataFrame) -> DataFrame:
 
 def sale_profits_in_receipt(stg: DataFrame) -> DataFrame:
     """:func:`sale_profits` for staging rows with unique, non-NULL Reference."""
-    return (stg.filter(F.size(F.col("Products")) > 0)
-               .select(F.col("Reference").alias("receipt_ref"), receipt_profit().alias("s"))
-               .select("receipt_ref", "s.*"))
+    return (_with_prices(matched_lines_in_receipt(stg))
+            .groupBy("receipt_ref").agg(*_profit_sums()))
 
 
 def business_sales_profits_in_receipt(stg: DataFrame) -> DataFrame:
     """:func:`business_sales_profits` for staging rows with unique, non-NULL Reference;
-    receipts without product lines drop out as in the join."""
+    receipts without product lines drop out as in the join. The receipt header columns
+    depend on the receipt alone, so they ride along as grouping keys."""
     cols = _sales_columns()
     header = ["business_abn", "business_name", "receipt_date", "year", "month", "month_name",
               "receipt_ref", "receipt_total", "gst"]
-    return (stg.filter(F.col("Reference").isNotNull() & (F.size(F.col("Products")) > 0))
-               .select(*[cols[n].alias(n) for n in header], receipt_profit().alias("s"))
-               .select(*header, "s.*"))
+    lines = matched_lines_in_receipt(stg.filter(F.col("Reference").isNotNull()),
+                                     {n: cols[n] for n in header})
+    return _with_prices(lines).groupBy(*header).agg(*_profit_sums())
