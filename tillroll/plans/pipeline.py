@@ -68,6 +68,13 @@ class ReceiptModels:
             raise KeyError(name)
         return getattr(self, name)
 
+    def use(self, name: str, df: DataFrame) -> None:
+        """Serve model ``name`` from ``df`` (typically its written table) from now on, so that
+        models built later read it instead of recomputing it."""
+        if name not in MODEL_NAMES:
+            raise KeyError(name)
+        self.__dict__[name] = df
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in MODEL_NAMES}
 
