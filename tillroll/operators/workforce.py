@@ -56,6 +56,7 @@ def employees_left(employees: DataFrame) -> DataFrame:
     idx = month_index(F.col("year"), F.col("month"))
     named = employees.filter(F.col("cashier_name").isNotNull())
     last_seen = named.groupBy("business_name", "cashier_name").agg(F.max(idx).alias("last_idx"))
+    # A global max: each task sends one partial maximum, no hash shuffle.
     data_end = named.select(F.max(idx)).scalar()
     last_year = F.floor(F.col("last_idx") / 12).cast("bigint")
     last_month = (F.col("last_idx") % 12 + 1).cast("bigint")
@@ -72,11 +73,13 @@ def turnover_by_period(stats: DataFrame, leavers: DataFrame) -> DataFrame:
     :func:`employees_left` or supplied by the user. A fiscal year without leavers has 0; a
     year missing June or July has a NULL average and rate.
     """
+    # Pivot of the two month names as conditional aggregation: one exchange (the two-phase
+    # pivot operator needs two). At most one row per cell exists, so max picks it.
     wide = (june_july_headcount(stats)
             .withColumn("fiscal_year", fiscal_year(F.col("year"), F.col("month")))
             .groupBy("business_name", "fiscal_year")
-            .pivot("month_name", PERIOD_MONTH_NAMES)
-            .agg(F.max("num_employees")))
+            .agg(*[F.max(F.when(F.col("month_name") == m, F.col("num_employees"))).alias(m)
+                   for m in PERIOD_MONTH_NAMES]))
     left = F.coalesce(F.col("num_employee_left"), F.lit(0)).cast("bigint")
     avg = (F.col("July") + F.col("June")) / 2
     return (wide.join(leavers.select("business_name", "fiscal_year", "num_employee_left"),
