@@ -87,3 +87,10 @@ def test_filter_reaches_the_scan(staged):
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
     for f in ("IsNotNull(Customer)", "IsNotNull(Business)", "GreaterThan(Total,0.0)"):
         assert f in pushed
+
+
+def test_reference_check_needs_no_shuffle_on_the_staging_table(staged, unbucketed):
+    from tillroll.sources.staging import reference_conflicts
+
+    assert "Exchange" not in executed(reference_conflicts(staged))
+    assert "Exchange hashpartitioning(Reference" in executed(reference_conflicts(unbucketed))

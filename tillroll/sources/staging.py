@@ -63,11 +63,18 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def reference_is_unique(stg: DataFrame) -> bool:
-    """True when no staging row has a NULL or repeated ``Reference``.
+def reference_conflicts(stg: DataFrame) -> DataFrame:
+    """References that are NULL or appear on more than one staging row, with their count.
 
-    One aggregation over the Reference column alone, with partial aggregation before its
-    shuffle; it stops at the first offending key, and only a boolean reaches the driver.
+    An aggregation over the Reference column alone. On the staging table (bucketed by
+    Reference) it runs inside each bucket without a shuffle; on other input it shuffles that
+    one column.
     """
     counts = stg.groupBy(STAGING_KEY).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter((F.col("n") > 1) | F.col(STAGING_KEY).isNull()).isEmpty()
+    return counts.filter((F.col("n") > 1) | F.col(STAGING_KEY).isNull())
+
+
+def reference_is_unique(stg: DataFrame) -> bool:
+    """True when no staging row has a NULL or repeated ``Reference``; only a boolean reaches
+    the driver."""
+    return reference_conflicts(stg).isEmpty()
