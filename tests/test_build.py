@@ -18,3 +18,18 @@ def test_daily_job_writes_every_model(spark, tmp_dir):
     assert "edge_business_monthly_profits" in plan
     detail = spark.sql("DESCRIBE TABLE EXTENDED edge_sale_profits").collect()
     assert any(r.col_name == "Bucket Columns" and "receipt_ref" in r.data_type for r in detail)
+
+
+def test_command_line_ingest_and_run(spark, tmp_dir, capsys):
+    import json
+    import os
+
+    from tillroll.__main__ import main
+
+    src = write_documents(os.path.join(tmp_dir, "in"))
+    main(["ingest", "--source", src, "--staging", os.path.join(tmp_dir, "stg"),
+          "--checkpoint", os.path.join(tmp_dir, "ckpt")])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"ingested_rows": 8}
+    main(["run", "--source", src, "--prefix", "cli_", "--buckets", "2"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["staged_rows"] == 8 and "cli_turnover_summary" in out["tables"]

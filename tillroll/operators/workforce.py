@@ -69,8 +69,8 @@ def employees_left(employees: DataFrame) -> DataFrame:
 def turnover_by_period(stats: DataFrame, leavers: DataFrame) -> DataFrame:
     """One row per (business, fiscal year) that has a June or July headcount.
 
-    ``leavers`` has (business_name, fiscal_year, num_employee_left); computed by
-    :func:`employees_left` or supplied by the user. A fiscal year without leavers has 0; a
+    ``leavers`` has (business_name, fiscal_year, num_employee_left), one row per business and
+    fiscal year; computed by :func:`employees_left` or supplied by the user. A fiscal year without leavers has 0; a
     year missing June or July has a NULL average and rate.
     """
     # Pivot of the two month names as conditional aggregation: one exchange (the two-phase

@@ -49,7 +49,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _line_items(spark: SparkSession, sf_dir: str, group_promotions: bool) -> DataFrame:
-    """Per order: the product list and the promotion list."""
+    """Per order: the product list and the promotion list.
+
+    An order's lines become one receipt document, so they are collected per order: the array
+    is the size of one receipt, as in the document model itself (partial aggregation merges
+    the pieces of an order from several tasks)."""
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
