@@ -16,8 +16,23 @@ def test_daily_job_writes_every_model(spark, tmp_dir):
     # downstream models were built from the written upstream tables
     plan = tables["business_monthly_profits"]._jdf.queryExecution().analyzed().toString()
     assert "edge_business_monthly_profits" in plan
-    detail = spark.sql("DESCRIBE TABLE EXTENDED edge_sale_profits").collect()
-    assert any(r.col_name == "Bucket Columns" and "receipt_ref" in r.data_type for r in detail)
+    detail = spark.sql("DESCRIBE TABLE EXTENDED edge_stg_receipts").collect()
+    assert any(r.col_name == "Bucket Columns" and "Reference" in r.data_type for r in detail)
+
+
+def test_bucketed_model_tables_write_one_file_per_bucket(spark, tmp_dir):
+    import os
+
+    from tillroll.plans import ReceiptModels, build_all
+    from tillroll.sources import read_receipt_json
+
+    stg = read_receipt_json(spark, write_documents(tmp_dir)).repartition(5)
+    build_all(ReceiptModels(stg), "bk_", names=["receipt_products"], num_buckets=2,
+              bucket_receipt_tables=True)
+    location = spark.sql("DESCRIBE TABLE EXTENDED bk_receipt_products").filter(
+        "col_name = 'Location'").first().data_type
+    files = [f for f in os.listdir(location.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) <= 2
 
 
 def test_command_line_ingest_and_run(spark, tmp_dir, capsys):

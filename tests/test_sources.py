@@ -92,3 +92,14 @@ def test_materialise_and_read_back(spark, tmp_dir):
                         order_by=["receipt_ref"])
     assert [r.receipt_ref for r in served.collect()] == [f"R{i}" for i in range(1, 9)]
     drop_table(spark, "receipts_edge")
+
+
+def test_staging_writes_one_file_per_bucket(spark):
+    stg = receipts_from_tables(spark, SMALL_SF).repartition(12)
+    table = stage_receipts(stg, table="stg_files", num_buckets=3)
+    location = spark.sql("DESCRIBE TABLE EXTENDED stg_files").filter(
+        "col_name = 'Location'").first().data_type
+    files = [f for f in os.listdir(location.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) <= 3
+    assert table.count() == stg.count()
+    drop_table(spark, "stg_files")

@@ -3,8 +3,9 @@
 Models are written in dependency order (MODEL_NAMES is topologically sorted) and each later
 model reads the tables already written, as a SQL model reads its upstream tables. Writing to
 the shared warehouse also cuts the lineage: a lost executor costs a recomputation from the
-last written table, not from the raw files. Tables keyed by receipt are bucketed by
-``receipt_ref`` so later joins on it need no shuffle.
+last written table, not from the raw files. Only the staging table is bucketed (by Reference);
+model tables are read whole by their readers. ``bucket_receipt_tables=True`` also buckets the
+tables keyed by ``receipt_ref``, for users who join them again.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from tillroll.sources.staging import STAGING_TABLE, materialise, stage_receipts
 
 
 def build_all(models: ReceiptModels, prefix: str = "", names: list[str] | None = None,
-              num_buckets: int | None = None) -> dict[str, DataFrame]:
+              num_buckets: int | None = None, bucket_receipt_tables: bool = False
+              ) -> dict[str, DataFrame]:
     """Write each model as table ``prefix + name`` (full refresh); return the tables."""
     written = {}
     for name in names or MODEL_NAMES:
         df = models.table(name)
-        bucket = "receipt_ref" if "receipt_ref" in df.columns else None
+        bucket = ("receipt_ref" if bucket_receipt_tables and "receipt_ref" in df.columns
+                  else None)
         table = materialise(df, prefix + name, bucket_by=bucket, num_buckets=num_buckets)
         models.use(name, table)
         written[name] = table

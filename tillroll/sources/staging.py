@@ -19,11 +19,15 @@ def stage_receipts(df: DataFrame, table: str = STAGING_TABLE, num_buckets: int |
     """Replace the staging table with ``df`` (full refresh) and return the table.
 
     ``num_buckets`` defaults to ``spark.sql.shuffle.partitions``; on a cluster pick it so that a
-    bucket holds a few hundred MB.
+    bucket holds a few hundred MB. The rows are first rebalanced by Reference into that many
+    partitions, so each write task writes one bucket (without it every input task writes a
+    file per bucket: tasks x buckets files); adaptive execution may still split an oversized
+    partition, which only adds a file to that bucket.
     """
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.mode("overwrite").format("parquet")
+    (df.hint("rebalance", n, STAGING_KEY)
+       .write.mode("overwrite").format("parquet")
        .bucketBy(n, STAGING_KEY).saveAsTable(table))
     return spark.table(table)
 
@@ -36,13 +40,16 @@ def staging_row_count(df: DataFrame) -> DataFrame:
 def materialise(df: DataFrame, table: str, bucket_by: str | None = None,
                 num_buckets: int | None = None, partition_by: list[str] | None = None
                 ) -> DataFrame:
-    """Write one model as a table (full refresh) and return the table."""
+    """Write one model as a table (full refresh) and return the table. With ``bucket_by`` the
+    rows are rebalanced by that column first (one file per bucket, see ``stage_receipts``)."""
+    n = None
+    if bucket_by:
+        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.hint("rebalance", n, bucket_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        spark = df.sparkSession
-        n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(n, bucket_by)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
