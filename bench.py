@@ -6,7 +6,8 @@ Parquet table bucketed by Reference ("stage"), the Reference check runs once, an
 then evaluated in full on the staged table (noop sink: every row is computed, nothing is
 collected).
 
-The JVM is warmed first by running the same flow, untimed, on the smallest scale factor.
+The JVM is warmed first by running the same flow, untimed, on sf0.01 (large enough for the
+JIT to compile the hot loops).
 ``queries`` holds the median of three runs per model (``stage`` and ``reference_check`` run
 once); ``cold`` holds each model's first run. ``daily_job`` times the production job after
 staging: every model written as a table in dependency order, each reading the tables written
@@ -32,7 +33,7 @@ from tillroll.session import build_session, local_master  # noqa: E402
 from tillroll.sources import receipts_from_tables, stage_receipts  # noqa: E402
 from tillroll.sources.staging import reference_is_unique  # noqa: E402
 
-WARMUP_DIR = "/root/testdata/sf0.001"
+WARMUP_DIR = "/root/testdata/sf0.01"
 
 
 def _timed(fn) -> float:
