@@ -16,9 +16,9 @@ rc AS (
          CAST(o.o_orderkey AS VARCHAR) AS receipt_ref,
          o.o_orderkey AS sequence_num,
          o.o_orderkey % 5 + 1 AS terminal_num,
-         CAST(o.o_orderdate AS DATE) AS receipt_date,
+         strftime(o.o_orderdate, '%Y/%m/%d') AS receipt_date,
          CASE WHEN o.o_orderkey % 17 = 0 THEN CAST(0 AS DECIMAL(10,2))
-              ELSE CAST(o.o_totalprice AS DECIMAL(10,2)) END AS receipt_total,
+              ELSE CAST(o.o_totalprice AS DECIMAL(10,2)) END AS total_dec,
          o.o_orderpriority AS priority,
          'Clerk#' || CAST(o.o_orderkey % 37 AS VARCHAR) AS cashier_name,
          CAST(n.n_nationkey AS VARCHAR) AS business_abn,
@@ -31,30 +31,32 @@ rc AS (
 ),
 rcpt AS (
   SELECT *,
-         CAST(receipt_total * 0.10 AS DECIMAL(10,2)) AS gst,
+         CAST(total_dec AS DOUBLE) AS receipt_total,
+         CAST(CAST(total_dec * 0.10 AS DECIMAL(10,2)) AS DOUBLE) AS gst,
          CASE WHEN has_customer THEN c_name END AS customer_name,
-         CASE WHEN has_customer THEN CAST(floor(receipt_total) AS BIGINT) END AS customer_points
+         CASE WHEN has_customer THEN CAST(floor(total_dec) AS BIGINT) END AS customer_points
   FROM rc
 ),
 lp AS (
   SELECT CAST(l.l_orderkey AS VARCHAR) AS receipt_ref,
          p.p_name AS product_name,
-         CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) * 0.6 AS DECIMAL(10,2)) AS product_cost,
-         CAST(p.p_retailprice AS DECIMAL(10,2)) AS product_price,
-         CAST(trunc(l.l_quantity) AS DECIMAL(6,0)) AS product_quantity,
+         CAST(CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) * 0.6 AS DECIMAL(10,2)) AS DOUBLE)
+           AS product_cost,
+         CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS product_price,
+         CAST(trunc(l.l_quantity) AS BIGINT) AS product_quantity,
          l.l_discount, l.l_linenumber
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   WHERE l.l_orderkey IN (SELECT okey FROM rc)
 ),
 promo AS (
   SELECT receipt_ref, product_name,
-         CAST(max(l_discount) AS DECIMAL(4,2)) AS discount,
+         max(l_discount) AS discount,
          CAST(max(l_linenumber) AS BIGINT) AS per_quantity
   FROM lp WHERE l_discount >= 0.05
   GROUP BY receipt_ref, product_name
 ),
 promo_lines AS (
-  SELECT receipt_ref, product_name, CAST(l_discount AS DECIMAL(4,2)) AS discount,
+  SELECT receipt_ref, product_name, l_discount AS discount,
          CAST(l_linenumber AS BIGINT) AS per_quantity
   FROM lp WHERE l_discount >= 0.05
 ),
@@ -62,9 +64,9 @@ pay AS (
   SELECT receipt_ref, priority AS payment_method, receipt_total AS payment_amount
   FROM rcpt WHERE okey % 7 <> 0
   UNION ALL
-  SELECT receipt_ref, 'Cash', CAST(10 AS DECIMAL(10,2)) FROM rcpt WHERE okey % 7 = 0
+  SELECT receipt_ref, 'Cash', CAST(10 AS DOUBLE) FROM rcpt WHERE okey % 7 = 0
   UNION ALL
-  SELECT receipt_ref, priority, CAST(receipt_total - 10 AS DECIMAL(10,2))
+  SELECT receipt_ref, priority, CAST(total_dec - 10 AS DOUBLE)
   FROM rcpt WHERE okey % 7 = 0
 )"""
 
@@ -78,26 +80,33 @@ _MODELS = {
         product_quantity FROM lp""",
     "m_business_sales": """
       SELECT b.business_abn, b.business_name, r.receipt_ref, r.receipt_date, r.receipt_total, r.gst,
-             EXTRACT(YEAR FROM r.receipt_date) AS "year",
-             EXTRACT(MONTH FROM r.receipt_date) AS "month",
-             strftime(r.receipt_date, '%B') AS month_name
+             EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS "year",
+             EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS "month",
+             strftime(CAST(r.receipt_date AS DATE), '%B') AS month_name
       FROM n_receipts r JOIN n_businesses b ON r.receipt_ref = b.receipt_ref""",
     "m_priced_lines": """
       SELECT p.receipt_ref, p.product_name,
-             p.product_cost * p.product_quantity AS total_cost,
-             p.product_price * p.product_quantity AS total_price,
+             CAST(p.product_cost AS DECIMAL(10,2)) * CAST(p.product_quantity AS DECIMAL(6,0))
+               AS total_cost,
+             CAST(p.product_price AS DECIMAL(10,2)) * CAST(p.product_quantity AS DECIMAL(6,0))
+               AS total_price,
              CASE WHEN d.discount IS NOT NULL AND d.per_quantity <> 0
                        AND floor(p.product_quantity / d.per_quantity) * d.per_quantity > 0
-                  THEN p.product_price * p.product_quantity * (1.00 - d.discount)
-                  ELSE p.product_price * p.product_quantity END AS price_after_discount
+                  THEN CAST(p.product_price AS DECIMAL(10,2))
+                       * CAST(p.product_quantity AS DECIMAL(6,0))
+                       * (1.00 - CAST(d.discount AS DECIMAL(4,2)))
+                  ELSE CAST(p.product_price AS DECIMAL(10,2))
+                       * CAST(p.product_quantity AS DECIMAL(6,0)) END AS price_after_discount
       FROM n_products p LEFT JOIN {promo} d
         ON p.receipt_ref = d.receipt_ref AND p.product_name = d.product_name""",
     "m_sale_profits": """
       SELECT receipt_ref,
-             CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_cost,
-             CAST(sum(total_price) AS DECIMAL(18,2)) AS total_price,
-             CAST(sum(price_after_discount) AS DECIMAL(18,2)) AS total_price_after_discount,
-             CAST(sum(price_after_discount - total_cost) AS DECIMAL(18,2)) AS total_profit
+             CAST(CAST(sum(total_cost) AS DECIMAL(18,2)) AS DOUBLE) AS total_cost,
+             CAST(CAST(sum(total_price) AS DECIMAL(18,2)) AS DOUBLE) AS total_price,
+             CAST(CAST(sum(price_after_discount) AS DECIMAL(18,2)) AS DOUBLE)
+               AS total_price_after_discount,
+             CAST(CAST(sum(price_after_discount - total_cost) AS DECIMAL(18,2)) AS DOUBLE)
+               AS total_profit
       FROM m_priced_lines GROUP BY receipt_ref""",
     "m_business_sales_profits": """
       SELECT b.business_abn, b.business_name, b.receipt_date, b."year", b."month", b.month_name,
@@ -106,23 +115,25 @@ _MODELS = {
       FROM m_business_sales b JOIN m_sale_profits p ON b.receipt_ref = p.receipt_ref""",
     "m_business_monthly_profits": """
       SELECT business_abn, business_name, "year", "month", month_name,
-             CAST(sum(total_profit) AS DECIMAL(18,2)) AS total_monthly_profit,
+             CAST(CAST(sum(CAST(total_profit AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE)
+               AS total_monthly_profit,
              count(receipt_ref) AS num_of_sales
       FROM m_business_sales_profits
       GROUP BY business_abn, business_name, "year", "month", month_name""",
     "m_business_customers": """
       SELECT receipt_ref, customer_name, business_name, receipt_total AS amount_spent
-      FROM rcpt WHERE has_customer AND business_name IS NOT NULL AND receipt_total > 0""",
+      FROM rcpt WHERE has_customer AND business_name IS NOT NULL AND total_dec > 0""",
     "m_business_customers_summary": """
       SELECT business_name, customer_name,
-             CAST(sum(amount_spent) AS DECIMAL(18,2)) AS amount_spent,
+             CAST(CAST(sum(CAST(amount_spent AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE)
+               AS amount_spent,
              count(receipt_ref) AS num_purchases
       FROM m_business_customers GROUP BY business_name, customer_name""",
     "m_business_employees": """
       SELECT DISTINCT b.business_name,
-             EXTRACT(YEAR FROM r.receipt_date) AS "year",
-             EXTRACT(MONTH FROM r.receipt_date) AS "month",
-             strftime(r.receipt_date, '%B') AS month_name,
+             EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS "year",
+             EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS "month",
+             strftime(CAST(r.receipt_date AS DATE), '%B') AS month_name,
              c.cashier_name
       FROM n_businesses b
       JOIN n_cashiers c ON b.receipt_ref = c.receipt_ref
@@ -152,8 +163,10 @@ _MODELS = {
                AS annual_turnover_rate
       FROM (SELECT business_name,
                    CASE WHEN "month" >= 7 THEN "year" ELSE "year" - 1 END AS fiscal_year,
-                   max(CASE WHEN month_name = 'July' THEN num_employees END) AS "July",
-                   max(CASE WHEN month_name = 'June' THEN num_employees END) AS "June"
+                   CAST(max(CASE WHEN month_name = 'July' THEN num_employees END) AS DOUBLE)
+                     AS "July",
+                   CAST(max(CASE WHEN month_name = 'June' THEN num_employees END) AS DOUBLE)
+                     AS "June"
             FROM m_business_employee_stats WHERE "month" IN (6, 7)
             GROUP BY 1, 2) w
       LEFT JOIN m_employees_left l
@@ -209,16 +222,16 @@ _QUERIES = {
       FROM m_turnover_by_period GROUP BY business_name""",
     "products": """
       SELECT p.receipt_ref, p.product_name, p.product_cost, p.product_price, p.product_quantity,
-             CAST(coalesce(d.discount, 0) AS DECIMAL(4,2)) AS discount,
+             coalesce(d.discount, 0.0) AS discount,
              CAST(coalesce(d.per_quantity, 0) AS BIGINT) AS per_quantity
       FROM n_products p LEFT JOIN promo d
         ON p.receipt_ref = d.receipt_ref AND p.product_name = d.product_name""",
     "sales_details": """
       SELECT r.receipt_ref, b.business_name, r.receipt_date,
-             EXTRACT(MONTH FROM r.receipt_date) AS "month",
-             EXTRACT(YEAR FROM r.receipt_date) AS "year",
-             CAST(EXTRACT(MONTH FROM r.receipt_date) AS VARCHAR) || '-'
-               || CAST(EXTRACT(YEAR FROM r.receipt_date) AS VARCHAR) AS month_year,
+             EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS "month",
+             EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS "year",
+             CAST(EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS VARCHAR) || '-'
+               || CAST(EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS VARCHAR) AS month_year,
              p.product_name, p.product_cost, p.product_price, p.product_quantity
       FROM n_receipts r
       JOIN n_businesses b ON r.receipt_ref = b.receipt_ref

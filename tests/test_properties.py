@@ -41,8 +41,11 @@ def test_fanout_forms_agree(spark, group_promotions):
 
 
 def test_monthly_profit_adds_up(models):
-    monthly = models.business_monthly_profits.agg(F.sum("total_monthly_profit")).first()[0]
-    per_receipt = models.business_sales_profits.agg(F.sum("total_profit")).first()[0]
+    cents = "decimal(18,2)"
+    monthly = models.business_monthly_profits.agg(
+        F.sum(F.col("total_monthly_profit").cast(cents))).first()[0]
+    per_receipt = models.business_sales_profits.agg(
+        F.sum(F.col("total_profit").cast(cents))).first()[0]
     assert monthly == per_receipt
 
 

@@ -80,7 +80,8 @@ def brute_sale_profits(docs):
                 s = sums.setdefault(d["Reference"], [Decimal(0)] * 4)
                 for k, v in enumerate([cost, price, after, after - cost]):
                     s[k] += v
-    return {ref: tuple(v.quantize(CENT, ROUND_HALF_UP) for v in s) for ref, s in sums.items()}
+    return {ref: tuple(float(v.quantize(CENT, ROUND_HALF_UP)) for v in s)
+            for ref, s in sums.items()}
 
 
 def brute_top_customers(docs, k=10):
@@ -95,7 +96,7 @@ def brute_top_customers(docs, k=10):
         rows = [(c, v[0], v[1]) for (b, c), v in agg.items() if b == biz]
         rows.sort(key=lambda r: (-r[1], -r[2], r[0] is None, r[0] or ""))
         for rank, (c, amount, n) in enumerate(rows[:k], start=1):
-            out[(biz, rank)] = (c, amount, n)
+            out[(biz, rank)] = (c, float(amount), n)
     return out
 
 

@@ -1,11 +1,19 @@
-"""Money casts (see tillroll.schemas for the policy)."""
+"""Money expressions.
+
+Tables carry money as DOUBLE, as delivered or rounded once to cents, like the original tables.
+Every computation on money runs on exact narrow decimals (see tillroll.schemas): amounts are
+cast to cents, multiplied and summed as decimals, and converted back to DOUBLE once, so results
+do not depend on summation order or engine.
+"""
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from tillroll.schemas import DISCOUNT, MONEY, QUANTITY, TOTAL
 
 
 def as_money(c: Column) -> Column:
+    """An amount as exact cents, for arithmetic."""
     return c.cast(MONEY)
 
 
@@ -18,5 +26,15 @@ def as_discount(c: Column) -> Column:
 
 
 def as_total(c: Column) -> Column:
-    """Final rounding to cents, half up."""
+    """Round an exact result to cents, half up."""
     return c.cast(TOTAL)
+
+
+def to_amount(c: Column) -> Column:
+    """An exact decimal result, rounded half up to cents, as the table type of money."""
+    return c.cast(TOTAL).cast("double")
+
+
+def sum_cents(c: Column) -> Column:
+    """Sum of money amounts: each as exact cents, summed as a decimal, converted once."""
+    return to_amount(F.sum(c.cast(TOTAL)))

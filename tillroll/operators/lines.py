@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import (as_discount, as_money, as_quantity, calendar_month,
-                                calendar_year, month_year_label, parse_receipt_date)
+from tillroll.functions import (calendar_month, calendar_year, month_year_label,
+                                parse_receipt_date)
 from tillroll.operators.profit import matched_lines_in_receipt
 
 
@@ -17,14 +17,14 @@ def products(products: DataFrame, promotions: DataFrame) -> DataFrame:
     return (products.join(promos, ["receipt_ref", "product_name"], "left")
                     .select("receipt_ref", "product_name", "product_cost", "product_price",
                             "product_quantity",
-                            as_discount(F.coalesce(F.col("discount"), F.lit(0))).alias("discount"),
+                            F.coalesce(F.col("discount"), F.lit(0.0)).alias("discount"),
                             F.coalesce(F.col("per_quantity"), F.lit(0)).cast("bigint")
                              .alias("per_quantity")))
 
 
 def sales_details(receipts: DataFrame, businesses: DataFrame, products: DataFrame) -> DataFrame:
     """Receipt x product lines with business and month; ``receipt_ref`` appears once."""
-    d = F.col("receipt_date")
+    d = parse_receipt_date(F.col("receipt_date"))
     month, year = calendar_month(d), calendar_year(d)
     return (receipts.select("receipt_ref", "receipt_date")
                     .join(businesses.select("receipt_ref", "business_name"), "receipt_ref")
@@ -41,7 +41,7 @@ def products_in_receipt(stg: DataFrame) -> DataFrame:
     with the promotions of its own receipt, no join."""
     return matched_lines_in_receipt(stg).select(
         "receipt_ref", "product_name", "product_cost", "product_price", "product_quantity",
-        as_discount(F.coalesce(F.col("discount"), F.lit(0))).alias("discount"),
+        F.coalesce(F.col("discount"), F.lit(0.0)).alias("discount"),
         F.coalesce(F.col("per_quantity"), F.lit(0)).cast("bigint").alias("per_quantity"))
 
 
@@ -51,12 +51,13 @@ def sales_details_in_receipt(stg: DataFrame) -> DataFrame:
     month, year = calendar_month(d), calendar_year(d)
     return (stg.filter(F.col("Reference").isNotNull())
                .select(F.col("Reference").alias("receipt_ref"),
-                       F.col("Business.Name").alias("business_name"), d.alias("receipt_date"),
+                       F.col("Business.Name").alias("business_name"),
+                       F.col("Date").alias("receipt_date"),
                        month.alias("month"), year.alias("year"),
                        month_year_label(month, year).alias("month_year"),
                        F.explode("Products").alias("p"))
                .select("receipt_ref", "business_name", "receipt_date", "month", "year",
                        "month_year", F.col("p.Name").alias("product_name"),
-                       as_money(F.col("p.Cost")).alias("product_cost"),
-                       as_money(F.col("p.Price")).alias("product_price"),
-                       as_quantity(F.col("p.Quantity")).alias("product_quantity")))
+                       F.col("p.Cost").alias("product_cost"),
+                       F.col("p.Price").alias("product_price"),
+                       F.col("p.Quantity").alias("product_quantity")))

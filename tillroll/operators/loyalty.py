@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import as_money, as_total
+from tillroll.functions import sum_cents
 
 TOP_K = 10
 
@@ -19,13 +19,13 @@ def business_customers(stg: DataFrame) -> DataFrame:
         F.col("Reference").alias("receipt_ref"),
         F.col("Customer.Name").alias("customer_name"),
         F.col("Business.Name").alias("business_name"),
-        as_money(F.col("Total")).alias("amount_spent"))
+        F.col("Total").alias("amount_spent"))
 
 
 def business_customers_summary(customers: DataFrame) -> DataFrame:
     """Spend and purchase count per (business, customer); a NULL name is one group."""
     return (customers.groupBy("business_name", "customer_name")
-                     .agg(as_total(F.sum("amount_spent")).alias("amount_spent"),
+                     .agg(sum_cents(F.col("amount_spent")).alias("amount_spent"),
                           F.count("receipt_ref").alias("num_purchases")))
 
 

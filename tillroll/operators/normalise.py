@@ -1,5 +1,8 @@
 """Normalised tables: projections and explodes of the staging rows (N1-N7).
 
+Values keep their delivered types (money DOUBLE, quantities BIGINT, the date as text), as in
+the original tables; computations cast them (tillroll.functions.money).
+
 All are narrow transformations: no shuffle, and the partitioning of the staging rows (for
 example by ``Reference``) is kept, so later joins on ``receipt_ref`` can reuse it.
 """
@@ -7,7 +10,6 @@ example by ``Reference``) is kept, so later joins on ``receipt_ref`` can reuse i
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import as_discount, as_money, as_quantity, parse_receipt_date
 
 
 def _ref():
@@ -15,14 +17,15 @@ def _ref():
 
 
 def receipts(stg: DataFrame) -> DataFrame:
-    """Receipt header; the date is parsed here, once."""
+    """Receipt header. ``receipt_date`` stays the delivered ``yyyy/MM/dd`` text, as in the
+    original table; models parse it where they need calendar parts."""
     return stg.select(
         _ref(),
         F.col("Sequence").alias("sequence_num"),
-        parse_receipt_date(F.col("Date")).alias("receipt_date"),
-        as_money(F.col("GST")).alias("gst"),
+        F.col("Date").alias("receipt_date"),
+        F.col("GST").alias("gst"),
         F.col("Terminal").alias("terminal_num"),
-        as_money(F.col("Total")).alias("receipt_total"),
+        F.col("Total").alias("receipt_total"),
     )
 
 
@@ -45,7 +48,7 @@ def receipt_payments(stg: DataFrame) -> DataFrame:
     """One row per payment; NULL or empty lists produce no row."""
     return (stg.select(_ref(), F.explode("Payments").alias("p"))
                .select("receipt_ref", F.col("p.Method").alias("payment_method"),
-                       as_money(F.col("p.Amount")).alias("payment_amount")))
+                       F.col("p.Amount").alias("payment_amount")))
 
 
 def receipt_products(stg: DataFrame) -> DataFrame:
@@ -53,14 +56,14 @@ def receipt_products(stg: DataFrame) -> DataFrame:
     return (stg.select(_ref(), F.explode("Products").alias("p"))
                .select("receipt_ref",
                        F.col("p.Name").alias("product_name"),
-                       as_money(F.col("p.Cost")).alias("product_cost"),
-                       as_money(F.col("p.Price")).alias("product_price"),
-                       as_quantity(F.col("p.Quantity")).alias("product_quantity")))
+                       F.col("p.Cost").alias("product_cost"),
+                       F.col("p.Price").alias("product_price"),
+                       F.col("p.Quantity").alias("product_quantity")))
 
 
 def receipt_promotions(stg: DataFrame) -> DataFrame:
     return (stg.select(_ref(), F.explode("Promotions").alias("p"))
                .select("receipt_ref",
                        F.col("p.Product").alias("product_name"),
-                       as_discount(F.col("p.Discount")).alias("discount"),
+                       F.col("p.Discount").alias("discount"),
                        F.col("p.Per_Quantity").alias("per_quantity")))

@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from tillroll.functions import (as_discount, as_money, as_quantity, as_total, calendar_month,
-                                calendar_year, month_name, month_year_label, parse_receipt_date)
+from tillroll.functions import (as_discount, as_money, as_quantity, calendar_month,
+                                calendar_year, month_name, month_year_label, parse_receipt_date,
+                                sum_cents, to_amount)
 from tillroll.schemas import PROMOTION
 
 
 def business_sales(receipts: DataFrame, businesses: DataFrame) -> DataFrame:
     """Receipt header with its business and calendar month."""
-    d = F.col("receipt_date")
+    d = parse_receipt_date(F.col("receipt_date"))
     return (receipts.join(businesses, "receipt_ref", "inner")
                     .select("business_abn", "business_name", "receipt_ref", "receipt_date",
                             "receipt_total", "gst",
@@ -30,13 +31,14 @@ def _with_prices(lines: DataFrame) -> DataFrame:
     ``per_quantity`` (qualifying quantity floor(q / n) * n > 0); a zero ``per_quantity``
     never qualifies.
     """
-    qty, per = F.col("product_quantity"), F.col("per_quantity")
-    total_price = F.col("product_price") * qty
+    qty, per = as_quantity(F.col("product_quantity")), F.col("per_quantity")
+    discount = as_discount(F.col("discount"))
+    total_price = as_money(F.col("product_price")) * qty
     qualifying = F.floor(F.try_divide(qty, per)) * per
-    discounted = F.col("discount").isNotNull() & (qualifying > 0)
-    after = F.when(discounted, total_price * (F.lit(Decimal("1.00")) - F.col("discount"))
+    discounted = discount.isNotNull() & (qualifying > 0)
+    after = F.when(discounted, total_price * (F.lit(Decimal("1.00")) - discount)
                    ).otherwise(total_price)
-    return (lines.withColumn("total_cost", F.col("product_cost") * qty)
+    return (lines.withColumn("total_cost", as_money(F.col("product_cost")) * qty)
                  .withColumn("total_price", total_price)
                  .withColumn("discount_qlf_qty", qualifying)
                  .withColumn("price_after_discount", after)
@@ -54,10 +56,10 @@ def priced_lines(products: DataFrame, promotions: DataFrame) -> DataFrame:
 
 
 def _profit_sums() -> list[Column]:
-    return [as_total(F.sum("total_cost")).alias("total_cost"),
-            as_total(F.sum("total_price")).alias("total_price"),
-            as_total(F.sum("price_after_discount")).alias("total_price_after_discount"),
-            as_total(F.sum("profit")).alias("total_profit")]
+    return [to_amount(F.sum("total_cost")).alias("total_cost"),
+            to_amount(F.sum("total_price")).alias("total_price"),
+            to_amount(F.sum("price_after_discount")).alias("total_price_after_discount"),
+            to_amount(F.sum("profit")).alias("total_profit")]
 
 
 def sale_profits(products: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -76,7 +78,7 @@ def business_sales_profits(sales: DataFrame, profits: DataFrame) -> DataFrame:
 def business_monthly_profits(sales_profits: DataFrame) -> DataFrame:
     return (sales_profits
             .groupBy("business_abn", "business_name", "year", "month", "month_name")
-            .agg(as_total(F.sum("total_profit")).alias("total_monthly_profit"),
+            .agg(sum_cents(F.col("total_profit")).alias("total_monthly_profit"),
                  F.count("receipt_ref").alias("num_of_sales")))
 
 
@@ -106,8 +108,8 @@ def _sales_columns() -> dict[str, Column]:
     d = parse_receipt_date(F.col("Date"))
     return {
         "business_abn": F.col("Business.ABN"), "business_name": F.col("Business.Name"),
-        "receipt_ref": F.col("Reference"), "receipt_date": d,
-        "receipt_total": as_money(F.col("Total")), "gst": as_money(F.col("GST")),
+        "receipt_ref": F.col("Reference"), "receipt_date": F.col("Date"),
+        "receipt_total": F.col("Total"), "gst": F.col("GST"),
         "year": calendar_year(d), "month": calendar_month(d), "month_name": month_name(d),
     }
 
@@ -125,10 +127,10 @@ def matched_lines_in_receipt(stg: DataFrame, keep: dict[str, Column] | None = No
         promotions_for(F.col("p"), F.col("Promotions"))).alias("d"))
     return matched.select(
         *names, F.col("p.Name").alias("product_name"),
-        as_money(F.col("p.Cost")).alias("product_cost"),
-        as_money(F.col("p.Price")).alias("product_price"),
-        as_quantity(F.col("p.Quantity")).alias("product_quantity"),
-        as_discount(F.col("d.Discount")).alias("discount"),
+        F.col("p.Cost").alias("product_cost"),
+        F.col("p.Price").alias("product_price"),
+        F.col("p.Quantity").alias("product_quantity"),
+        F.col("d.Discount").alias("discount"),
         F.col("d.Per_Quantity").alias("per_quantity"))
 
 

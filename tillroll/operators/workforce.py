@@ -22,7 +22,7 @@ PERIOD_MONTH_NAMES = ["July", "June"]
 def business_employees(businesses: DataFrame, cashiers: DataFrame, receipts: DataFrame
                        ) -> DataFrame:
     """Distinct (business, year, month, month name, cashier)."""
-    d = F.col("receipt_date")
+    d = parse_receipt_date(F.col("receipt_date"))
     return (businesses.join(cashiers, "receipt_ref", "inner")
                       .join(receipts, "receipt_ref", "inner")
                       .select("business_name", calendar_year(d).alias("year"),
@@ -74,12 +74,13 @@ def turnover_by_period(stats: DataFrame, leavers: DataFrame) -> DataFrame:
     year missing June or July has a NULL average and rate.
     """
     # Pivot of the two month names as conditional aggregation: one exchange (the two-phase
-    # pivot operator needs two). At most one row per cell exists, so max picks it.
+    # pivot operator needs two). At most one row per cell exists, so max picks it. Headcounts
+    # are DOUBLE here, with NULL for a missing month, as in a pivoted frame.
     wide = (june_july_headcount(stats)
             .withColumn("fiscal_year", fiscal_year(F.col("year"), F.col("month")))
             .groupBy("business_name", "fiscal_year")
-            .agg(*[F.max(F.when(F.col("month_name") == m, F.col("num_employees"))).alias(m)
-                   for m in PERIOD_MONTH_NAMES]))
+            .agg(*[F.max(F.when(F.col("month_name") == m, F.col("num_employees")))
+                    .cast("double").alias(m) for m in PERIOD_MONTH_NAMES]))
     left = F.coalesce(F.col("num_employee_left"), F.lit(0)).cast("bigint")
     avg = (F.col("July") + F.col("June")) / 2
     return (wide.join(leavers.select("business_name", "fiscal_year", "num_employee_left"),

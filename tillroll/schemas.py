@@ -6,9 +6,10 @@ Schema inference is never used on receipts: files without promotions infer
 
 from pyspark.sql import types as T
 
-# Money and quantities become narrow decimals at the edge of normalisation, so that sums are
-# exact and identical on every engine and in every summation order. Totals are cast once, at the
-# end, to TOTAL (half-up rounding).
+# Tables carry money as DOUBLE and quantities as BIGINT, as delivered. Every computation casts
+# them to these narrow decimals, so that products and sums are exact and identical on every
+# engine and in every summation order; results are rounded once to TOTAL (half up) and
+# returned as DOUBLE (tillroll.functions.money).
 MONEY = T.DecimalType(10, 2)
 QUANTITY = T.DecimalType(6, 0)
 DISCOUNT = T.DecimalType(4, 2)
