@@ -77,20 +77,22 @@ def _line_items(spark: SparkSession, sf_dir: str, group_promotions: bool) -> Dat
             F.collect_list(product).alias("Products"),
             F.collect_list(promotion).alias("Promotions"))
 
-    # Two levels, (order, part name) then order. Partitioning on the order key first lets both
-    # aggregations run on the same partitioning: one exchange instead of two.
-    per_name = (lp.repartition("l_orderkey")
-                  .groupBy("l_orderkey", "p_name")
-                  .agg(F.collect_list(product).alias("products"),
-                       F.max(F.when(promoted, F.col("l_discount"))).alias("discount"),
-                       F.max(F.when(promoted, F.col("l_linenumber"))).alias("per_quantity")))
-    promotion = F.when(F.col("discount").isNotNull(), F.struct(
-        F.col("discount").alias("Discount"),
-        F.col("per_quantity").cast("bigint").alias("Per_Quantity"),
-        F.col("p_name").alias("Product")))
-    return per_name.groupBy("l_orderkey").agg(
-        F.flatten(F.collect_list("products")).alias("Products"),
-        F.collect_list(promotion).alias("Promotions"))
+    # Products are collected per order in one pass; promotions are first reduced per (order,
+    # part name) with fixed-width max aggregates, then collected per order. Partitioning the
+    # lines by order key once serves both aggregations and the join of their results.
+    by_order = lp.repartition("l_orderkey")
+    products = by_order.groupBy("l_orderkey").agg(F.collect_list(product).alias("Products"))
+    per_name = (by_order.filter(promoted)
+                .groupBy("l_orderkey", "p_name")
+                .agg(F.max("l_discount").alias("discount"),
+                     F.max("l_linenumber").alias("per_quantity")))
+    promotions = per_name.groupBy(F.col("l_orderkey").alias("promo_orderkey")).agg(
+        F.collect_list(F.struct(
+            F.col("discount").alias("Discount"),
+            F.col("per_quantity").cast("bigint").alias("Per_Quantity"),
+            F.col("p_name").alias("Product"))).alias("Promotions"))
+    return (products.join(promotions, products.l_orderkey == promotions.promo_orderkey, "left")
+                    .drop("promo_orderkey"))
 
 
 def receipts_from_tables(spark: SparkSession, sf_dir: str, group_promotions: bool = True
