@@ -48,3 +48,13 @@ def test_command_line_ingest_and_run(spark, tmp_dir, capsys):
     main(["run", "--source", src, "--prefix", "cli_", "--buckets", "2"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["staged_rows"] == 8 and "cli_turnover_summary" in out["tables"]
+
+
+def test_sizing_conf_for_a_large_input():
+    from tillroll.session import sizing_conf
+
+    conf = sizing_conf(100 << 40, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (512 << 20)
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 512 << 20
+    small = sizing_conf(10 << 20, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

@@ -25,7 +25,8 @@ def _money(x):
     return Decimal(str(x)).quantize(CENT)
 
 
-def generate(seed, n=150, duplicates=False):
+def generate(seed, n=150, duplicates=False, hot=False):
+    """``hot``: one business holds nine receipts in ten and one customer a third of all."""
     rnd = random.Random(seed)
     docs = []
     for i in range(n):
@@ -37,7 +38,8 @@ def generate(seed, n=150, duplicates=False):
                        "Per_Quantity": rnd.choice([0, 1, 2, 3, 5, -2])}
                       for _ in range(rnd.choice([0, 0, 1, 2, 3]))]
         total = rnd.choice([0.0, round(rnd.uniform(1, 200), 2)])
-        doc = {"Business": {"ABN": "9", "Name": rnd.choice(["Shop A", "Shop B"])},
+        business = ("Shop A" if hot and rnd.random() < 0.9 else rnd.choice(["Shop A", "Shop B"]))
+        doc = {"Business": {"ABN": "9", "Name": business},
                "Cashier": rnd.choice(CASHIERS),
                "Date": f"{rnd.choice([2022, 2023])}/{rnd.randint(1, 12):02d}/{rnd.randint(1, 28):02d}",
                "GST": round(total / 11, 2),
@@ -45,7 +47,9 @@ def generate(seed, n=150, duplicates=False):
                "Products": products, "Promotions": promotions,
                "Reference": f"T{i}", "Sequence": i, "Terminal": 1, "Total": total}
         c = rnd.random()
-        if c < 0.6:
+        if hot and i % 3 == 0:
+            doc["Customer"] = {"Name": "Lisa", "Points_Earnt": 1}
+        elif c < 0.6:
             doc["Customer"] = {"Name": rnd.choice(CUSTOMERS), "Points_Earnt": 1}
         elif c < 0.7:
             doc["Customer"] = {"Name": None, "Points_Earnt": 1}
@@ -100,9 +104,10 @@ def brute_top_customers(docs, k=10):
     return out
 
 
-@pytest.mark.parametrize("seed,duplicates", [(1, False), (2, False), (3, True)])
-def test_random_receipts_match_brute_force(spark, tmp_dir, seed, duplicates):
-    docs = generate(seed, duplicates=duplicates)
+@pytest.mark.parametrize("seed,duplicates,hot", [(1, False, False), (2, False, False),
+                                                 (3, True, False), (4, False, True)])
+def test_random_receipts_match_brute_force(spark, tmp_dir, seed, duplicates, hot):
+    docs = generate(seed, n=300 if hot else 150, duplicates=duplicates, hot=hot)
     stg = read_receipt_json(spark, write_documents(tmp_dir, docs, indent=None))
     m = ReceiptModels(stg)
     assert m.receipt_local is (not duplicates)

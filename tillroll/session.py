@@ -64,3 +64,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_master(cpus: int | None = None) -> str:
     return f"local[{cpus or os.cpu_count() or 8}]"
+
+
+def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 512 << 20,
+                open_cost_bytes: int = 1 << 20) -> dict[str, str]:
+    """Settings that keep each task near ``partition_bytes`` for a job over ``input_bytes``.
+
+    File splits are ``partition_bytes``; many small receipt documents are packed per task with
+    an open cost of ``open_cost_bytes`` each (the default 4 MB packs only 128 MB / 4 MB = 32
+    tiny files per task). The initial shuffle partition count covers the input at that size
+    (and at least two per core); adaptive execution then coalesces small shuffle partitions to
+    the advisory size and splits skewed ones. ``staging_buckets`` is a matching bucket count
+    for ``stage_receipts``.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.openCostInBytes": str(open_cost_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "staging_buckets": str(partitions),
+    }
