@@ -17,6 +17,7 @@ rc AS (
          o.o_orderkey AS sequence_num,
          o.o_orderkey % 5 + 1 AS terminal_num,
          strftime(o.o_orderdate, '%Y/%m/%d') AS receipt_date,
+         CAST(o.o_orderdate AS DATE) AS receipt_day,
          CASE WHEN o.o_orderkey % 17 = 0 THEN CAST(0 AS DECIMAL(10,2))
               ELSE CAST(o.o_totalprice AS DECIMAL(10,2)) END AS total_dec,
          o.o_orderpriority AS priority,
@@ -79,11 +80,10 @@ _MODELS = {
     "n_products": """SELECT receipt_ref, product_name, product_cost, product_price,
         product_quantity FROM lp""",
     "m_business_sales": """
-      SELECT b.business_abn, b.business_name, r.receipt_ref, r.receipt_date, r.receipt_total, r.gst,
-             EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS "year",
-             EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS "month",
-             strftime(CAST(r.receipt_date AS DATE), '%B') AS month_name
-      FROM n_receipts r JOIN n_businesses b ON r.receipt_ref = b.receipt_ref""",
+      SELECT business_abn, business_name, receipt_ref, receipt_date, receipt_total, gst,
+             year(receipt_day) AS "year", month(receipt_day) AS "month",
+             monthname(receipt_day) AS month_name
+      FROM rcpt""",
     "m_priced_lines": """
       SELECT p.receipt_ref, p.product_name,
              CAST(p.product_cost AS DECIMAL(10,2)) * CAST(p.product_quantity AS DECIMAL(6,0))
@@ -130,14 +130,10 @@ _MODELS = {
              count(receipt_ref) AS num_purchases
       FROM m_business_customers GROUP BY business_name, customer_name""",
     "m_business_employees": """
-      SELECT DISTINCT b.business_name,
-             EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS "year",
-             EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS "month",
-             strftime(CAST(r.receipt_date AS DATE), '%B') AS month_name,
-             c.cashier_name
-      FROM n_businesses b
-      JOIN n_cashiers c ON b.receipt_ref = c.receipt_ref
-      JOIN n_receipts r ON r.receipt_ref = b.receipt_ref""",
+      SELECT business_name, year(receipt_day) AS "year", month(receipt_day) AS "month",
+             monthname(receipt_day) AS month_name, cashier_name
+      FROM rcpt
+      GROUP BY ALL""",
     "m_business_employee_stats": """
       SELECT business_name, "year", "month", month_name, count(cashier_name) AS num_employees
       FROM m_business_employees GROUP BY business_name, "year", "month", month_name""",
@@ -227,15 +223,11 @@ _QUERIES = {
       FROM n_products p LEFT JOIN promo d
         ON p.receipt_ref = d.receipt_ref AND p.product_name = d.product_name""",
     "sales_details": """
-      SELECT r.receipt_ref, b.business_name, r.receipt_date,
-             EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS "month",
-             EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS "year",
-             CAST(EXTRACT(MONTH FROM CAST(r.receipt_date AS DATE)) AS VARCHAR) || '-'
-               || CAST(EXTRACT(YEAR FROM CAST(r.receipt_date AS DATE)) AS VARCHAR) AS month_year,
+      SELECT r.receipt_ref, r.business_name, r.receipt_date,
+             month(r.receipt_day) AS "month", year(r.receipt_day) AS "year",
+             format('{}-{}', month(r.receipt_day), year(r.receipt_day)) AS month_year,
              p.product_name, p.product_cost, p.product_price, p.product_quantity
-      FROM n_receipts r
-      JOIN n_businesses b ON r.receipt_ref = b.receipt_ref
-      JOIN n_products p ON r.receipt_ref = p.receipt_ref""",
+      FROM rcpt r JOIN lp p USING (receipt_ref)""",
     "staging_row_count": "SELECT count(*) AS num_rows FROM rcpt",
     "businesses": "SELECT DISTINCT business_name FROM n_businesses",
 }

@@ -85,7 +85,7 @@ def business_monthly_profits(sales_profits: DataFrame) -> DataFrame:
 def monthly_profit_series(monthly: DataFrame) -> DataFrame:
     """Profit series per business with a ``month_year`` label, in time order."""
     return (monthly.withColumn("month_year", month_year_label(F.col("month"), F.col("year")))
-                   .orderBy("business_name", "year", "month"))
+                   .orderBy(F.col("business_name").asc_nulls_last(), "year", "month"))
 
 
 # -- Receipt-local forms -------------------------------------------------------------------
