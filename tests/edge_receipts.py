@@ -66,6 +66,6 @@ def write_documents(directory, receipts=None, indent=4):
     """One pretty-printed JSON document per file, as a till exports them."""
     os.makedirs(directory, exist_ok=True)
     for i, doc in enumerate(receipts or EDGE_RECEIPTS):
-        with open(os.path.join(directory, f"{doc['Reference']}-{i}.json"), "w") as f:
+        with open(os.path.join(directory, f"{doc['Reference'] or 'none'}-{i}.json"), "w") as f:
             json.dump(doc, f, indent=indent)
     return directory

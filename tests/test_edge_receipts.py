@@ -100,9 +100,19 @@ def test_duplicate_reference_keeps_join_semantics(spark, tmp_dir):
     assert m.business_sales_profits.filter("receipt_ref = 'R1'").count() == 4
 
 
-def test_null_reference_takes_join_path(spark, staged):
-    with_null = staged.unionByName(staged.limit(1).withColumn("Reference", F.lit(None).cast("string")))
-    m = ReceiptModels(with_null)
-    assert m.receipt_local is False
-    assert m.business_sales.filter(F.col("receipt_ref").isNull()).count() == 0
-    assert rows(m.business_employees) == rows(ReceiptModels(staged).business_employees)
+def test_null_references_keep_join_semantics_in_receipt(spark, staged):
+    # Receipts without Reference: dropped by the inner joins, kept (as one NULL group, without
+    # promotions) by the left join and the per-receipt sum; both plan forms agree.
+    nulls = staged.filter("Reference in ('R1', 'R4', 'R5')").withColumn(
+        "Reference", F.lit(None).cast("string"))
+    with_null = staged.unionByName(nulls)
+    local = ReceiptModels(with_null)
+    assert local.receipt_local is True
+    joined = ReceiptModels(with_null, unique_reference=False)
+    for name in ["sale_profits", "products", "business_sales", "business_sales_profits",
+                 "business_employees", "sales_details"]:
+        assert rows(local.table(name)) == rows(joined.table(name)), name
+    null_group = local.sale_profits.filter(F.col("receipt_ref").isNull()).first()
+    # R1 (qty 5 of A at 10, cost 4), R4 (1), R5 (1 + 2): 9 units, no promotion applies
+    assert (null_group.total_cost, null_group.total_price) == (36.0, 90.0)
+    assert local.business_sales.filter(F.col("receipt_ref").isNull()).count() == 0

@@ -45,7 +45,8 @@ def generate(seed, n=150, duplicates=False, hot=False):
                "GST": round(total / 11, 2),
                "Payments": [{"Amount": total, "Method": "Card"}],
                "Products": products, "Promotions": promotions,
-               "Reference": f"T{i}", "Sequence": i, "Terminal": 1, "Total": total}
+               "Reference": None if rnd.random() < 0.05 else f"T{i}", "Sequence": i,
+               "Terminal": 1, "Total": total}
         c = rnd.random()
         if hot and i % 3 == 0:
             doc["Customer"] = {"Name": "Lisa", "Points_Earnt": 1}
@@ -63,11 +64,13 @@ def generate(seed, n=150, duplicates=False, hot=False):
 
 def brute_sale_profits(docs):
     """Left join of every product line with the promotions of the same Reference and product
-    name (all documents of that Reference), summed per Reference."""
+    name (all documents of that Reference; a NULL Reference matches nothing), summed per
+    Reference (the NULL ones form one group)."""
     promos = defaultdict(list)
     for d in docs:
         for p in d["Promotions"]:
-            promos[(d["Reference"], p["Product"])].append(p)
+            if d["Reference"] is not None:
+                promos[(d["Reference"], p["Product"])].append(p)
     sums = {}
     for d in docs:
         for p in d["Products"]:
@@ -94,7 +97,7 @@ def brute_top_customers(docs, k=10):
         if d.get("Customer") is not None and d["Business"] is not None and d["Total"] > 0:
             a = agg[(d["Business"]["Name"], d["Customer"]["Name"])]
             a[0] += _money(d["Total"])
-            a[1] += 1
+            a[1] += d["Reference"] is not None  # purchases count receipt references
     out = {}
     for biz in {b for b, _ in agg}:
         rows = [(c, v[0], v[1]) for (b, c), v in agg.items() if b == biz]

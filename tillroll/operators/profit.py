@@ -89,7 +89,7 @@ def monthly_profit_series(monthly: DataFrame) -> DataFrame:
 
 
 # -- Receipt-local forms -------------------------------------------------------------------
-# When every staging row has its own non-NULL Reference, all tables joined on receipt_ref are
+# When no two staging rows share a (non-NULL) Reference, all tables joined on receipt_ref are
 # projections of the same row, and each join rebuilds that row. The forms below match product
 # lines with the promotions of their own row instead of joining: no join, and the only
 # exchange left is the per-receipt aggregation, which a staging table bucketed by Reference
@@ -118,11 +118,13 @@ def matched_lines_in_receipt(stg: DataFrame, keep: dict[str, Column] | None = No
                              ) -> DataFrame:
     """Product lines with each promotion of the same receipt for the same product (a line
     without one is kept once with NULL terms), plus the ``keep`` columns of the receipt
-    (name -> expression; default: receipt_ref)."""
+    (name -> expression; default: receipt_ref). A receipt without Reference matches no
+    promotion, as a join on a NULL key matches nothing."""
     keep = keep or {"receipt_ref": F.col("Reference")}
     names = list(keep)
+    promotions = F.when(F.col("Reference").isNotNull(), F.col("Promotions")).alias("Promotions")
     exploded = stg.select(*[c.alias(n) for n, c in keep.items()],
-                          F.explode("Products").alias("p"), "Promotions")
+                          F.explode("Products").alias("p"), promotions)
     matched = exploded.select(*names, "p", F.explode_outer(
         promotions_for(F.col("p"), F.col("Promotions"))).alias("d"))
     return matched.select(

@@ -3,8 +3,8 @@
 Physical plan choices:
 
 * Every receipt-level join of the reference models is on ``receipt_ref``, and every normalised
-  table is a projection or explode of one staging row. When ``Reference`` is unique and never
-  NULL, each such join only rebuilds the staging row, so the receipt-local forms
+  table is a projection or explode of one staging row. When no two rows share a
+  ``Reference``, each such join only rebuilds the staging row, so the receipt-local forms
   (``*_in_receipt``) compute the same result inside the row with higher-order functions: Q1 up
   to the per-receipt profit, the product-line tables and the staff list need no join and no
   shuffle at all, and each analysis costs one shuffle, with partial aggregation before it.
@@ -44,8 +44,8 @@ MODEL_NAMES = [
 class ReceiptModels:
     """Lazy access to every model over one staging DataFrame.
 
-    ``unique_reference``: True/False states whether Reference is unique and non-NULL; None
-    checks it on first use of a join-based model. ``leavers`` optionally replaces the computed
+    ``unique_reference``: True/False states whether no two staging rows share a Reference;
+    None checks it on first use of a join-based model. ``leavers`` optionally replaces the computed
     leaver counts with a user table (business_name, fiscal_year, num_employee_left).
     """
 
@@ -58,7 +58,7 @@ class ReceiptModels:
 
     @cached_property
     def receipt_local(self) -> bool:
-        """Whether the receipt-local forms apply (Reference unique and non-NULL)."""
+        """Whether the receipt-local forms apply (no Reference on two rows)."""
         if self._unique is not None:
             return self._unique
         return reference_is_unique(self.staging)

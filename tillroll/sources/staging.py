@@ -71,17 +71,17 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 
 def reference_conflicts(stg: DataFrame) -> DataFrame:
-    """References that are NULL or appear on more than one staging row, with their count.
+    """References that appear on more than one staging row, with their count. (Rows without
+    Reference join nothing and need no check.)
 
     An aggregation over the Reference column alone. On the staging table (bucketed by
     Reference) it runs inside each bucket without a shuffle; on other input it shuffles that
     one column.
     """
     counts = stg.groupBy(STAGING_KEY).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter((F.col("n") > 1) | F.col(STAGING_KEY).isNull())
+    return counts.filter((F.col("n") > 1) & F.col(STAGING_KEY).isNotNull())
 
 
 def reference_is_unique(stg: DataFrame) -> bool:
-    """True when no staging row has a NULL or repeated ``Reference``; only a boolean reaches
-    the driver."""
+    """True when no two staging rows share a Reference; only a boolean reaches the driver."""
     return reference_conflicts(stg).isEmpty()
