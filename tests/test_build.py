@@ -56,5 +56,6 @@ def test_sizing_conf_for_a_large_input():
     conf = sizing_conf(100 << 40, total_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (512 << 20)
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 512 << 20
+    assert conf["staging_buckets"] == "100000"
     small = sizing_conf(10 << 20, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"

@@ -66,6 +66,10 @@ def local_master(cpus: int | None = None) -> str:
     return f"local[{cpus or os.cpu_count() or 8}]"
 
 
+# Fixed value: Spark's default limit on the bucket count of a table.
+MAX_BUCKETS = 100_000
+
+
 def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 512 << 20,
                 open_cost_bytes: int = 1 << 20) -> dict[str, str]:
     """Settings that keep each task near ``partition_bytes`` for a job over ``input_bytes``.
@@ -75,7 +79,8 @@ def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 512 <
     tiny files per task). The initial shuffle partition count covers the input at that size
     (and at least two per core); adaptive execution then coalesces small shuffle partitions to
     the advisory size and splits skewed ones. ``staging_buckets`` is a matching bucket count
-    for ``stage_receipts``.
+    for ``stage_receipts``, capped at Spark's bucket limit (``maxBuckets``, 100,000 by default;
+    at the cap a bucket simply holds more than one split).
     """
     partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
     return {
@@ -84,5 +89,5 @@ def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 512 <
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
-        "staging_buckets": str(partitions),
+        "staging_buckets": str(min(partitions, MAX_BUCKETS)),
     }
