@@ -97,3 +97,26 @@ def test_user_supplied_leavers(stg, spark):
                                         "num_employee_left bigint")
     m = ReceiptModels(stg, leavers=leavers)
     assert m.turnover_by_period.filter("num_employee_left <> 0").count() == 0
+
+
+def test_one_pass_contract_report_equals_per_table_report(stg, spark):
+    from tillroll.operators import normalise, quality
+
+    # inject NULLs at every level: row fields, list elements, element fields, Reference
+    damaged = stg.withColumn(
+        "Reference", F.when(F.col("Sequence") % 11 == 0, None).otherwise(F.col("Reference"))
+    ).withColumn(
+        "Cashier", F.when(F.col("Sequence") % 13 == 0, None).otherwise(F.col("Cashier"))
+    ).withColumn(
+        "Products", F.when(F.col("Sequence") % 7 == 0, F.array_union(
+            F.col("Products"), F.array(F.lit(None).cast("struct<Cost:double,Name:string,"
+                                                        "Price:double,Quantity:bigint>"))))
+        .otherwise(F.col("Products"))
+    ).withColumn(
+        "Payments", F.when(F.col("Sequence") % 5 == 0, None).otherwise(F.col("Payments")))
+    tables = {name: getattr(normalise, name)(damaged) for name in normalise.ROW_TABLES} | {
+        name: getattr(normalise, name)(damaged) for name in normalise.LINE_TABLES}
+    per_table = quality.contract_report(tables)
+    one_pass = quality.contract_report_in_receipt(damaged)
+    assert rows(one_pass) == rows(per_table)
+    assert one_pass.filter("null_count > 0").count() >= 4

@@ -1,10 +1,12 @@
-"""Table contracts: NULL counts of the declared NOT NULL columns (one pass per table)."""
+"""Table contracts: NULL counts of the declared NOT NULL columns, per table (one pass each,
+for any tables) or for all normalised tables from one pass over the staging rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators import normalise
 from tillroll.schemas import NOT_NULL_CONTRACT
 
 
@@ -31,3 +33,37 @@ def contract_report(tables: dict[str, DataFrame], contract: dict | None = None)
 def contract_violations(tables: dict[str, DataFrame], contract: dict | None = None) -> DataFrame:
     """Only the columns that break their NOT NULL contract."""
     return contract_report(tables, contract).filter(F.col("null_count") > 0)
+
+
+def _is_null_in(element, column: str):
+    """Predicate on one list element: its ``column`` is NULL (one-argument lambda; a second
+    argument would receive the element's index)."""
+    return lambda p: element(p)[column].isNull()
+
+
+def contract_report_in_receipt(stg: DataFrame, contract: dict | None = None) -> DataFrame:
+    """:func:`contract_report` of the normalised tables, computed from one aggregation over the
+    staging rows: row tables count NULL expressions, list tables count the list elements whose
+    column is NULL (and all elements of a receipt without Reference for ``receipt_ref``)."""
+    contract = contract or NOT_NULL_CONTRACT
+    counts: dict[str, Column] = {}
+    for table, cols in contract.items():
+        if table in normalise.ROW_TABLES:
+            exprs = normalise.ROW_TABLES[table]()
+            for c in cols:
+                counts[f"{table}:{c}"] = exprs[c].isNull().cast("bigint")
+            continue
+        field, element = normalise.LINE_TABLES[table]
+        items = F.col(field)
+        for c in cols:
+            if c == "receipt_ref":
+                n = F.when(F.col("Reference").isNull() & items.isNotNull(), F.size(items))
+            else:
+                n = F.size(F.filter(items, _is_null_in(element, c)))
+            counts[f"{table}:{c}"] = F.coalesce(n, F.lit(0)).cast("bigint")
+    sums = stg.agg(*[F.sum(e).alias(k) for k, e in counts.items()])
+    return (sums.unpivot([], list(counts), "key", "null_count")
+                .select(F.split("key", ":")[0].alias("table_name"),
+                        F.split("key", ":")[1].alias("column_name"),
+                        F.coalesce(F.col("null_count"), F.lit(0)).cast("bigint")
+                         .alias("null_count")))
