@@ -2,8 +2,8 @@
 
 For each model: hash exchanges, joins and top-k limits of the final adaptive plan, with the
 staging rows as (a) a table bucketed by Reference with receipt-local forms, (b) plain Parquet
-with receipt-local forms, (c) plain Parquet with the join forms. Plus the formatted plan of the
-headline query. Usage: python tools/explain_plans.py [sf_dir] > PLANS.md
+with receipt-local forms, (c) plain Parquet with the join forms. Plus the formatted plans of
+the headline query of Q1, Q2 and Q3. Usage: python tools/explain_plans.py [sf_dir] > PLANS.md
 """
 
 from __future__ import annotations
@@ -59,13 +59,15 @@ def main() -> None:
     for name in MODEL_NAMES:
         cells = " | ".join(shape(final_plan(m.table(name))) for m in forms.values())
         print(f"| {name} | {cells} |")
-    headline = forms["bucketed, receipt-local"].business_monthly_profits
-    headline.collect()
-    print("\n## business_monthly_profits, bucketed staging, receipt-local\n")
-    print("```")
-    print(spark._jvm.PythonSQLUtils.explainString(headline._jdf.queryExecution(),
-                                                  "formatted").strip())
-    print("```")
+    for name in ["business_monthly_profits", "top_ten_customers_by_business_value",
+                 "turnover_by_period"]:
+        df = forms["bucketed, receipt-local"].table(name)
+        df.collect()
+        print(f"\n## {name}, bucketed staging, receipt-local\n")
+        print("```")
+        print(spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(),
+                                                      "formatted").strip())
+        print("```")
     spark.stop()
 
 
