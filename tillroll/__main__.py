@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import Observation
+
 from tillroll.plans import run_pipeline
 from tillroll.session import build_session
 from tillroll.streaming import ingest_new_receipts
@@ -28,9 +30,11 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(args.master)
     if args.command == "run":
-        tables = run_pipeline(spark, args.source, args.layout, args.prefix, args.buckets)
-        rows = tables["staging_row_count"].first().num_rows
-        print(json.dumps({"staged_rows": rows, "tables": sorted(args.prefix + t for t in tables)}))
+        load = Observation("receipt_load")
+        tables = run_pipeline(spark, args.source, args.layout, args.prefix, args.buckets,
+                              load=load)
+        print(json.dumps({"staged_rows": load.get["num_rows"],
+                          "tables": sorted(args.prefix + t for t in tables)}))
     else:
         n = ingest_new_receipts(spark, args.source, args.staging, args.checkpoint, args.layout)
         print(json.dumps({"ingested_rows": n}))

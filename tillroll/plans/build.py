@@ -10,7 +10,8 @@ tables keyed by ``receipt_ref``, for users who join them again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.plans.pipeline import MODEL_NAMES, ReceiptModels
 from tillroll.sources.receipts import read_receipts
@@ -34,11 +35,17 @@ def build_all(models: ReceiptModels, prefix: str = "", names: list[str] | None =
 
 def run_pipeline(spark: SparkSession, source_dir: str, layout: str = "document",
                  prefix: str = "", num_buckets: int | None = None,
-                 unique_reference: bool | None = None) -> dict[str, DataFrame]:
+                 unique_reference: bool | None = None,
+                 load: Observation | None = None) -> dict[str, DataFrame]:
     """Read every receipt file of ``source_dir`` (JSON and CSV), replace the staging table,
-    and rebuild every model table. Returns the written tables, staging included."""
-    staged = stage_receipts(read_receipts(spark, source_dir, layout),
-                            table=prefix + STAGING_TABLE, num_buckets=num_buckets)
+    and rebuild every model table. Returns the written tables, staging included.
+
+    ``load`` (an ``Observation``) receives ``num_rows``, the number of receipts loaded, counted
+    while the staging table is written: no second pass over the files or the table."""
+    raw = read_receipts(spark, source_dir, layout)
+    if load is not None:
+        raw = raw.observe(load, F.count(F.lit(1)).alias("num_rows"))
+    staged = stage_receipts(raw, table=prefix + STAGING_TABLE, num_buckets=num_buckets)
     models = ReceiptModels(staged, unique_reference=unique_reference)
     tables = {STAGING_TABLE: staged}
     tables.update(build_all(models, prefix, num_buckets=num_buckets))

@@ -46,11 +46,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is ``spark.checkpoint.dir`` as configured for the cluster (a shared file
     system). Only when it is unset, as in local tests, a private folder is created and registered.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context; the setting is all there is
+        sc = None
+    configured = configured or (sc.getCheckpointDir() if sc is not None else None)
     if configured:
         return configured
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+    if sc is None:
+        return local
     sc.setCheckpointDir(local)
     # The context may append a random subfolder; report what it actually uses.
     return sc.getCheckpointDir() or local
