@@ -2,16 +2,17 @@
 
 Physical plan choices:
 
-* Every receipt-level join of the reference models is on ``receipt_ref``, and every normalised
-  table is a projection or explode of one staging row. When no two rows share a
+* Every receipt-level join of the original models is on ``receipt_ref``, and every
+  normalised table is a projection or explode of one staging row. When no two rows share a
   ``Reference``, each such join only rebuilds the staging row, so the receipt-local forms
-  (``*_in_receipt``) compute the same result inside the row with higher-order functions: Q1 up
-  to the per-receipt profit, the product-line tables and the staff list need no join and no
-  shuffle at all, and each analysis costs one shuffle, with partial aggregation before it.
+  (``*_in_receipt``) project the row instead of joining it back, and match each product line
+  with the promotions of its own row (array filter + explode_outer) instead of a join. No
+  receipt-level model joins; the per-receipt sums need one exchange, or none when the staging
+  table is bucketed by Reference; each analysis costs one shuffle after partial aggregation.
 * Whether the key condition holds is checked once, with an aggregation over the Reference
   column alone (``reference_is_unique``), unless the caller states it (``unique_reference``),
   for example for a staging table whose load deduplicated receipts. If it does not hold, the
-  general join forms run, with the bag semantics of the reference models.
+  general join forms run, with the bag semantics of the original models.
 * Aggregations by business use partial aggregation, so a business holding a third of all
   receipts costs one row per map task in the shuffle; top-k per business is cut in every map
   task before its shuffle (WindowGroupLimit). No broadcast hint is given: small sides are
@@ -45,8 +46,8 @@ class ReceiptModels:
     """Lazy access to every model over one staging DataFrame.
 
     ``unique_reference``: True/False states whether no two staging rows share a Reference;
-    None checks it on first use of a join-based model. ``leavers`` optionally replaces the computed
-    leaver counts with a user table (business_name, fiscal_year, num_employee_left).
+    None checks it on first use of a join-based model. ``leavers`` optionally replaces the
+    computed leaver counts with a user table (business_name, fiscal_year, num_employee_left).
     """
 
     def __init__(self, staging: DataFrame, unique_reference: bool | None = None,
