@@ -88,7 +88,11 @@ def main() -> None:
     timings, cold, unique, staged = _run(spark, sf_dir, "bench_stg_receipts", repeat)
     daily = _daily_job(staged, unique, "bench_")
 
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "total_model_build_time", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "cold": cold,
                       "daily_job": {"total": round(sum(daily.values()) + timings["stage"], 3),
