@@ -120,3 +120,22 @@ def test_one_pass_contract_report_equals_per_table_report(stg, spark):
     one_pass = quality.contract_report_in_receipt(damaged)
     assert rows(one_pass) == rows(per_table)
     assert one_pass.filter("null_count > 0").count() >= 4
+
+
+def test_operators_chain_with_transform(stg):
+    from tillroll.operators import loyalty
+
+    top = (stg.transform(loyalty.business_customers)
+              .transform(loyalty.business_customers_summary)
+              .transform(loyalty.top_customers_by_value))
+    assert rows(top) == rows(ReceiptModels(stg).top_ten_customers_by_business_value)
+
+
+def test_contract_violations_lists_only_broken_columns(stg):
+    from tillroll.operators import normalise, quality
+
+    damaged = stg.withColumn("Cashier", F.lit(None).cast("string"))
+    found = quality.contract_violations({"receipts": normalise.receipts(damaged),
+                                         "receipt_cashiers": normalise.receipt_cashiers(damaged)})
+    assert [(r.table_name, r.column_name, r.null_count) for r in found.collect()] == [
+        ("receipt_cashiers", "cashier_name", stg.count())]
