@@ -126,3 +126,24 @@ def test_random_receipts_match_brute_force(spark, tmp_dir, seed, duplicates, hot
             a = sorted(map(tuple, m.table(name).collect()), key=str)
             b = sorted(map(tuple, joined.table(name).collect()), key=str)
             assert a == b, name
+
+
+def test_many_copies_of_one_receipt(spark, tmp_dir):
+    # One receipt delivered 30 times (a "group of copies"), with a repeated product and two
+    # promotions for it: the left-join sums grow with the square of the copies.
+    base = generate(7, n=5)
+    hot = dict(base[0], Reference="HOT",
+               Products=[{"Cost": 2.5, "Name": "Latte", "Price": 4.0, "Quantity": 3},
+                         {"Cost": 2.5, "Name": "Latte", "Price": 4.0, "Quantity": 1}],
+               Promotions=[{"Product": "Latte", "Discount": 0.1, "Per_Quantity": 2},
+                           {"Product": "Latte", "Discount": 0.25, "Per_Quantity": -2}])
+    docs = base + [dict(hot) for _ in range(30)]
+    stg = read_receipt_json(spark, write_documents(tmp_dir, docs, indent=None))
+    m = ReceiptModels(stg)
+    assert m.receipt_local is False
+    got = {r.receipt_ref: (r.total_cost, r.total_price, r.total_price_after_discount,
+                           r.total_profit) for r in m.sale_profits.collect()}
+    assert got == brute_sale_profits(docs)
+    # cost 2.5 x (3 + 1) units per copy, 30 copies, each line counted once per promotion
+    # of all copies (30 x 2)
+    assert got["HOT"][0] == 2.5 * (3 + 1) * 30 * 60

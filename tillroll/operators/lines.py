@@ -11,7 +11,8 @@ from tillroll.operators.profit import matched_lines_in_receipt
 def products(products: DataFrame, promotions: DataFrame) -> DataFrame:
     """Product lines with their promotion terms; no promotion gives 0 and 0.
 
-    Bag semantics as in :func:`tillroll.operators.profit.priced_lines`.
+    Bag semantics of the left join: a line with two promotions for its product gives two rows
+    (the rows are the result).
     """
     promos = promotions.select("receipt_ref", "product_name", "discount", "per_quantity")
     return (products.join(promos, ["receipt_ref", "product_name"], "left")

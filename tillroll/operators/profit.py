@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -45,14 +45,42 @@ def _with_prices(lines: DataFrame) -> DataFrame:
                  .withColumn("profit", F.col("price_after_discount") - F.col("total_cost")))
 
 
-def priced_lines(products: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Product lines with their promotion (left join on receipt and product name), priced.
+_KEYS = ["receipt_ref", "product_name"]
+_STEP = "decimal(20,0)"
 
-    Bag semantics: two promotions for one product of a receipt give two rows, and the line is
-    counted twice downstream.
+
+def _qualifying_discounts(products: DataFrame, promotions: DataFrame) -> DataFrame:
+    """For every distinct (receipt, product, quantity) of the product lines, the sum of the
+    discounts of that receipt's promotions for that product that qualify at that quantity.
+
+    Qualifying (floor(q / n) * n > 0) means n > 0 and q >= n, or n < 0 and q > 0. The positive
+    thresholds are a running sum over thresholds and quantities in one ordered pass per
+    (receipt, product); both sides are first reduced to distinct values, so repeated copies of
+    a receipt add no rows to that pass.
     """
-    promos = promotions.select("receipt_ref", "product_name", "discount", "per_quantity")
-    return _with_prices(products.join(promos, ["receipt_ref", "product_name"], "left"))
+    per = F.col("per_quantity")
+    discount = as_discount(F.col("discount"))
+    usable = promotions.filter(discount.isNotNull())
+    thresholds = (usable.filter(per > 0)
+                  .groupBy(*_KEYS, per.cast(_STEP).alias("at"))
+                  .agg(F.sum(discount).alias("d"), F.lit(0).alias("kind")))
+    negative = (usable.filter(per < 0).groupBy(*_KEYS)
+                .agg(F.sum(discount).alias("d_negative")))
+    quantities = (products.select(*_KEYS, as_quantity(F.col("product_quantity")).cast(_STEP)
+                                  .alias("at"))
+                  .filter(F.col("at").isNotNull()).distinct()
+                  .select(*_KEYS, "at", F.lit(None).cast("decimal(14,2)").alias("d"),
+                          F.lit(1).alias("kind")))
+    upto = (Window.partitionBy(*_KEYS).orderBy("at", "kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = (thresholds.unionByName(quantities)
+               .withColumn("d_positive", F.sum("d").over(upto))
+               .filter(F.col("kind") == 1))
+    return (reached.join(negative, _KEYS, "left")
+                   .select(*_KEYS, "at", (F.coalesce("d_positive", F.lit(0))
+                                          + F.when(F.col("at") > 0, F.coalesce(
+                                              "d_negative", F.lit(0))).otherwise(0))
+                           .alias("qualifying_discount")))
 
 
 def _profit_sums() -> list[Column]:
@@ -63,8 +91,30 @@ def _profit_sums() -> list[Column]:
 
 
 def sale_profits(products: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Per receipt: cost, price, discounted price and profit, rounded to cents."""
-    return priced_lines(products, promotions).groupBy("receipt_ref").agg(*_profit_sums())
+    """Per receipt: cost, price, discounted price and profit, rounded to cents.
+
+    Same sums as over the left join of product lines with promotions on (receipt, product
+    name), with its bag semantics (a line with m promotions counts m times), but without
+    forming the (line, promotion) pairs, whose number grows with the square of the copies of a
+    repeated receipt: a line with m >= 1 promotions contributes m x its cost and price and
+    total price x (m - sum of qualifying discounts) as discounted price.
+    """
+    counted = (promotions.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("m"))
+               .filter(F.col("receipt_ref").isNotNull() & F.col("product_name").isNotNull()))
+    qty = as_quantity(F.col("product_quantity"))
+    lines = (products.withColumn("at", qty.cast(_STEP))
+             .join(counted, _KEYS, "left")
+             .join(_qualifying_discounts(products, promotions), _KEYS + ["at"], "left"))
+    m = F.coalesce(F.col("m"), F.lit(0)).cast("decimal(10,0)")
+    total_price = as_money(F.col("product_price")) * qty
+    copies = F.greatest(m, F.lit(1).cast("decimal(10,0)"))
+    discounted = F.when(m == 0, total_price).otherwise(
+        total_price * (m - F.coalesce(F.col("qualifying_discount"), F.lit(0))))
+    sums = (lines.withColumn("total_cost", as_money(F.col("product_cost")) * qty * copies)
+                 .withColumn("total_price", total_price * copies)
+                 .withColumn("price_after_discount", discounted)
+                 .withColumn("profit", F.col("price_after_discount") - F.col("total_cost")))
+    return sums.groupBy("receipt_ref").agg(*_profit_sums())
 
 
 def business_sales_profits(sales: DataFrame, profits: DataFrame) -> DataFrame:
