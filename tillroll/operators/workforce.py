@@ -21,10 +21,18 @@ PERIOD_MONTH_NAMES = ["July", "June"]
 
 def business_employees(businesses: DataFrame, cashiers: DataFrame, receipts: DataFrame
                        ) -> DataFrame:
-    """Distinct (business, year, month, month name, cashier)."""
+    """Distinct (business, year, month, month name, cashier).
+
+    The result is a set, so each input is reduced to its distinct (receipt, value) pairs before
+    the joins: copies of a receipt then add no join rows (the plain three-way join would form
+    k^3 rows for k copies before the DISTINCT).
+    """
     d = parse_receipt_date(F.col("receipt_date"))
-    return (businesses.join(cashiers, "receipt_ref", "inner")
-                      .join(receipts, "receipt_ref", "inner")
+    return (businesses.select("receipt_ref", "business_name").distinct()
+                      .join(cashiers.select("receipt_ref", "cashier_name").distinct(),
+                            "receipt_ref", "inner")
+                      .join(receipts.select("receipt_ref", "receipt_date").distinct(),
+                            "receipt_ref", "inner")
                       .select("business_name", calendar_year(d).alias("year"),
                               calendar_month(d).alias("month"), month_name(d).alias("month_name"),
                               "cashier_name")
