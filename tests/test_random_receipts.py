@@ -147,3 +147,16 @@ def test_many_copies_of_one_receipt(spark, tmp_dir):
     # cost 2.5 x (3 + 1) units per copy, 30 copies, each line counted once per promotion
     # of all copies (30 x 2)
     assert got["HOT"][0] == 2.5 * (3 + 1) * 30 * 60
+
+
+def test_monthly_profit_by_counts_equals_sum_over_pairs(spark, tmp_dir):
+    from tillroll.operators import profit
+
+    base = generate(8, n=60, duplicates=True)
+    docs = base + [dict(base[1]) for _ in range(12)]
+    stg = read_receipt_json(spark, write_documents(tmp_dir, docs, indent=None))
+    m = ReceiptModels(stg)
+    assert m.receipt_local is False
+    by_pairs = profit.business_monthly_profits(m.business_sales_profits)
+    assert sorted(map(tuple, m.business_monthly_profits.collect()), key=str) == \
+        sorted(map(tuple, by_pairs.collect()), key=str)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from tillroll.functions import (as_discount, as_money, as_quantity, calendar_month,
+from tillroll.functions import (as_discount, as_money, as_quantity, as_total, calendar_month,
                                 calendar_year, month_name, month_year_label, parse_receipt_date,
                                 sum_cents, to_amount)
 from tillroll.schemas import PROMOTION
@@ -132,6 +132,27 @@ def business_monthly_profits(sales_profits: DataFrame) -> DataFrame:
                  F.count("receipt_ref").alias("num_of_sales")))
 
 
+def business_monthly_profits_by_counts(receipts: DataFrame, businesses: DataFrame,
+                                       profits: DataFrame) -> DataFrame:
+    """:func:`business_monthly_profits` of ``business_sales_profits(business_sales(receipts,
+    businesses), profits)``, without forming the (receipt row, business row) pairs of a
+    repeated receipt: each receipt's distinct months and businesses carry their row counts, and
+    a (business, month) combination counts their product times."""
+    d = parse_receipt_date(F.col("receipt_date"))
+    months = (receipts.groupBy("receipt_ref", calendar_year(d).alias("year"),
+                               calendar_month(d).alias("month"), month_name(d).alias("month_name"))
+              .agg(F.count(F.lit(1)).alias("n_months")))
+    firms = (businesses.groupBy("receipt_ref", "business_abn", "business_name")
+             .agg(F.count(F.lit(1)).alias("n_firms")))
+    copies = (F.col("n_months") * F.col("n_firms")).cast("decimal(20,0)")
+    return (firms.join(months, "receipt_ref").join(profits.select("receipt_ref", "total_profit"),
+                                                   "receipt_ref")
+            .groupBy("business_abn", "business_name", "year", "month", "month_name")
+            .agg(to_amount(F.sum(as_total(F.col("total_profit")) * copies))
+                 .alias("total_monthly_profit"),
+                 F.sum(F.col("n_months") * F.col("n_firms")).alias("num_of_sales")))
+
+
 def monthly_profit_series(monthly: DataFrame) -> DataFrame:
     """Profit series per business with a ``month_year`` label, in time order."""
     return (monthly.withColumn("month_year", month_year_label(F.col("month"), F.col("year")))

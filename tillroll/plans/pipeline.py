@@ -129,7 +129,11 @@ class ReceiptModels:
 
     @cached_property
     def business_monthly_profits(self) -> DataFrame:
-        return profit.business_monthly_profits(self.business_sales_profits)
+        if self.receipt_local:
+            return profit.business_monthly_profits(self.business_sales_profits)
+        # repeated receipts: sums from counted distinct values, not from the pairs
+        return profit.business_monthly_profits_by_counts(self.receipts, self.receipt_businesses,
+                                                         self.sale_profits)
 
     @cached_property
     def monthly_profit_series(self) -> DataFrame:
