@@ -150,7 +150,8 @@ def business_monthly_profits_by_counts(receipts: DataFrame, businesses: DataFram
             .groupBy("business_abn", "business_name", "year", "month", "month_name")
             .agg(to_amount(F.sum(as_total(F.col("total_profit")) * copies))
                  .alias("total_monthly_profit"),
-                 F.sum(F.col("n_months") * F.col("n_firms")).alias("num_of_sales")))
+                 F.coalesce(F.sum(F.col("n_months") * F.col("n_firms")), F.lit(0))
+                  .cast("bigint").alias("num_of_sales")))
 
 
 def monthly_profit_series(monthly: DataFrame) -> DataFrame:
