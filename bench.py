@@ -78,7 +78,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     warehouse = tempfile.mkdtemp(prefix="tillroll-bench-")
     spark = build_session(local_master(cpus), app_name="tillroll-bench",
-                          shuffle_partitions=cpus * 2,
+                          shuffle_partitions=cpus,  # one per core: stages at sf0.1 are small
                           extra={"spark.driver.memory": "16g",
                                  "spark.sql.warehouse.dir": warehouse})
     spark.sparkContext.setLogLevel("ERROR")
