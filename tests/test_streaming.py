@@ -19,3 +19,14 @@ def test_incremental_ingest_reads_each_file_once(spark, tmp_dir):
     staged = spark.read.parquet(out)
     assert staged.count() == 8
     assert ReceiptModels(staged).sale_profits.count() == 7
+
+
+def test_incremental_ingest_of_json_lines(spark, tmp_dir):
+    from tests.conftest import SMALL_SF
+    from tillroll.sources import receipts_from_tables, write_receipts_json
+
+    src = os.path.join(tmp_dir, "lines")
+    write_receipts_json(receipts_from_tables(spark, SMALL_SF), src)
+    out = os.path.join(tmp_dir, "stg")
+    n = ingest_new_receipts(spark, src, out, os.path.join(tmp_dir, "ckpt"), layout="lines")
+    assert n == spark.read.parquet(out).count() == 1500
