@@ -29,19 +29,38 @@ def key_bitmap(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFra
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")))
 
 
-def probably_in(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows whose key may be among ``keys``: no false negatives, so a join after it stays exact.
+def _flagged(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """The frame with a column that says whether the key may be among ``keys``.
 
     The broadcast side is the bitmap, whose size is fixed by ``bits`` and not by the data.
     """
     slot = F.pmod(F.xxhash64(column), F.lit(bits)) + 1
-    position = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.expr("substring(bitmap, cast(position div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    columns = df.columns
-    return (df.withColumn("part", F.bitmap_bucket_number(slot)).withColumn("position", position)
-            .join(F.broadcast(key_bitmap(keys, key, bits)), "part")
-            .filter(byte.bitwiseAND(F.expr("cast(pow(2, position % 8) as int)")) > 0)
-            .select(*columns))
+    part, bitmap, position = "__filter_part", "__filter_bitmap", "__filter_position"
+    byte = F.conv(F.hex(F.expr(f"substring({bitmap}, cast({position} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    found = byte.bitwiseAND(F.expr(f"cast(pow(2, {position} % 8) as int)")) > 0
+    bitmaps = key_bitmap(keys, key, bits).toDF(part, bitmap)
+    return (df.withColumns({part: F.bitmap_bucket_number(slot), position: F.bitmap_bit_position(slot)})
+            .join(F.broadcast(bitmaps), part, "left")
+            .withColumn("__maybe", F.coalesce(found, F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns], "__maybe"))
+
+
+def probably_in(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows whose key may be among ``keys``: no false negatives, so a join after it stays exact."""
+    return _flagged(df, column, keys, key, bits).filter("__maybe").drop("__maybe")
+
+
+def parted(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is surely not among ``keys``, the rest). Only the rest needs a shuffle to
+    be looked up exactly, so wide rows mostly stay where they are."""
+    flagged = _flagged(df, column, keys, key, bits)
+    return flagged.filter("not __maybe").drop("__maybe"), flagged.filter("__maybe").drop("__maybe")
+
+
+def without(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """The frame less the rows whose key is among ``keys`` (rows without a key stay)."""
+    surely, rest = parted(df, column, keys, key)
+    names = keys.select(F.col(key).alias("__gone"))
+    return surely.unionByName(rest.join(names, rest[column] == names["__gone"], "left_anti"))
 
 
 def shuffle_width(spark: SparkSession) -> int:
