@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers that don't have it installed.
+
+    Operators whose per-batch code runs in Python workers need it there. The package's sources are
+    sent once per application as a small zip file through Spark's own file distribution.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tillroll_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tillroll-package-")  # read by the driver's file server only
+    path = os.path.join(folder, "tillroll.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for here, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(here, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._tillroll_shipped = True
+
+
 def local_master(cpus: int | None = None) -> str:
     return f"local[{cpus or os.cpu_count() or 8}]"
 
