@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import bpe, decontaminate, langid, near_dedup, secrets
 from tillroll.llm.queries import tokenizer
-from tillroll.llm.scratch import parted, without, written
+from tillroll.llm.scratch import parted, prepare, without, written
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents whose language can't be told (``und``: no letter at all) go; the
     others take the predicted language as theirs."""
+    prepare(spark)
     found = langid.identify_languages(docs)
     return found.filter("lang_pred <> 'und'").select(
         *[F.col("lang_pred").alias("lang") if c == "lang" else c for c in docs.columns])
@@ -30,6 +31,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one of them is kept at all); rows without a doc_id stay, one for each text. Rows of other ids
     are not shuffled: which ids go or repeat is found on ids alone.
     """
+    prepare(spark)
     found = written(near_dedup.near_duplicates(docs).select("doc_id", "kept"), "kept")
     by_id = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
     special = written(by_id.filter("not kept or rows > 1 or doc_id is null"), "special")
@@ -47,6 +49,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that hold a window of a benchmark item go (all rows of their ids)."""
+    prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hit = decontaminate.decontaminate(docs, benchmark).filter("n_hit > 0").select("doc_id").distinct()
     return without(docs, "doc_id", written(hit, "hit"), "doc_id").select(*docs.columns)
@@ -54,12 +57,14 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: secrets in the texts are masked; every document stays, n_chars follows."""
+    prepare(spark)
     clean = secrets.redact_secrets(docs)
     return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: token ids of each text, with the digests of ids and of the decoded bytes."""
+    prepare(spark)
     return bpe.encode_documents(docs, *tokenizer())
 
 

@@ -4,9 +4,10 @@ Plan, all tables distributed:
 
 1. one pass over the texts gives each document its set size, a digest of its shingle set, band
    keys and the packed low bits of its minima; documents with equal sets become one class;
-2. classes that share a band key are candidates. First only each band group's smallest member is
-   compared with the others (as many pairs as members); candidates whose collision-corrected
-   b-bit estimate is near the threshold or above are confirmed on full sets;
+2. classes that share a band key are candidates. First each class is paired with one other only,
+   the smallest of the smallest members of its band groups (no more pairs than classes); pairs
+   whose collision-corrected b-bit estimate is near the threshold or above are confirmed on full
+   sets;
 3. components of the confirmed links leave few groups with members of different components. In
    those, all pairs across components are estimated inside the tasks (groups over a block size
    are dealt out as pairs of blocks), and only pairs that pass the estimate are emitted and
@@ -287,7 +288,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     members = classes.select("node", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).filter("n > 1")
     shared = written(members.join(hubs, "band").select("band", "node", "u"), "bands")
-    stars = shared.filter("node <> u").select("u", F.col("node").alias("v")).distinct()
+    stars = shared.filter("node <> u").groupBy(F.col("node").alias("v")).agg(F.min("u").alias("u")).select("u", "v")
     first_pairs = written(_estimated(stars, classes, params), "pairs")
     links = written(_confirmed(first_pairs, docs, classes, params), "links")
     roots = connected_components(links)

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import bpe, chat, decontaminate, html_text, langid, merkle, near_dedup, quality, secrets, warc
-from tillroll.session import ship_package
+from tillroll.llm.scratch import prepare
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -107,7 +107,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
-    ship_package(spark)
     return corpus_pipeline.run(spark, sf_dir)
 
 

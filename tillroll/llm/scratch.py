@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, ship_package
 
 #: Bits of the fixed-size filter (2 MB), whatever the number of keys.
 FILTER_BITS = 1 << 24
@@ -63,5 +63,18 @@ def without(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     return surely.unionByName(rest.join(names, rest[column] == names["__gone"], "left_anti"))
 
 
+#: Rows of an Arrow batch that goes to a Python worker, where the session has Spark's default.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators' Python workers need: the package, and batches of bounded size (texts
+    are long rows, so Spark's default of 10,000 rows makes large ones)."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
