@@ -4,14 +4,19 @@ Plan, all tables distributed:
 
 1. one pass over the texts gives each document its set size, a digest of its shingle set, band
    keys and the packed low bits of its minima; documents with equal sets become one class;
-2. classes that share a band key are candidates. First each class is paired with one other only,
-   the smallest of the smallest members of its band groups (no more pairs than classes); pairs
-   whose collision-corrected b-bit estimate is near the threshold or above are confirmed on full
-   sets;
+2. classes that share a band key are candidates. First only each band group's smallest member is
+   compared with the others (as many pairs as members); candidates whose collision-corrected
+   b-bit estimate is near the threshold or above, and whose parity sketches don't rule a link out,
+   are confirmed on full sets;
 3. components of the confirmed links leave few groups with members of different components. In
    those, all pairs across components are estimated inside the tasks (groups over a block size
-   are dealt out as pairs of blocks), and only pairs that pass the estimate are emitted and
-   confirmed. So no candidate pair is lost and no group is expanded into all its pairs.
+   are dealt out as pairs of blocks), and only pairs that pass the estimate and the sketch are
+   emitted and confirmed. So no candidate pair is lost and no group is expanded into all its pairs.
+
+The parity sketch has a bit per slot: whether an odd number of the set's shingles falls there. Two
+sketches differ in no more bits than the sets in elements, so a pair over the allowed difference is
+surely no link. It keeps groups of near copies just below the threshold from being confirmed pair
+by pair.
 """
 
 from __future__ import annotations
@@ -45,6 +50,7 @@ class NearDedupParams:
     bits: int = 4
     margin: float = 0.15
     block: int = 4096
+    parity_bits: int = 2048
     seed: int = 77
 
     @property
@@ -117,8 +123,21 @@ def estimate(a: np.ndarray, b: np.ndarray, n_minima: int, bits: int) -> np.ndarr
     return ((1 - unequal / n_minima) - chance) / (1 - chance)
 
 
+def parity_sketch(own: np.ndarray, bits: int) -> np.ndarray:
+    """Which slots hold an odd number of the set's elements, packed."""
+    slots = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((slots & 1).astype(np.uint8)).view(np.uint64)
+
+
+def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """False where set sizes or parity sketches rule a link out; never for a link."""
+    fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    differ = np.bitwise_count(a ^ b).sum(axis=1).astype(np.int64)
+    return fits & (differ * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def sign(docs: DataFrame, params: NearDedupParams) -> DataFrame:
-    """(doc_id, n_shingles, node, bands, sig) of each (doc_id, text) row; node is null for an empty set."""
+    """(doc_id, n_shingles, node, bands, sig, parity) of each (doc_id, text) row; node is null for an empty set."""
     n_bytes = params.minima * params.bits // 8
 
     def run(batches):
@@ -130,8 +149,10 @@ def sign(docs: DataFrame, params: NearDedupParams) -> DataFrame:
                 edges = np.zeros(len(full) + 1, np.int64)
                 np.cumsum(counts[full], out=edges[1:])
                 node: list = [None] * (j - i)
+                parity = np.zeros((j - i, params.parity_bits // 64), np.uint64)
                 for k, a, b in zip(full.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
                     node[k] = hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest()
+                    parity[k] = parity_sketch(sets[a:b], params.parity_bits)
                 keys = np.zeros((j - i, params.bands), np.uint64)
                 packed = np.zeros((j - i, -(-n_bytes // 8)), np.uint64)
                 if len(full):
@@ -140,28 +161,32 @@ def sign(docs: DataFrame, params: NearDedupParams) -> DataFrame:
                 yield pa.record_batch([
                     batch.column(0).slice(i, j - i), pa.array(counts), pa.array(node, pa.binary()),
                     bs.list_column(pa.array(keys.view(np.int64).ravel()), np.full(j - i, params.bands)),
-                    bs.binary_column(packed)], ["doc_id", "n_shingles", "node", "bands", "sig"])
+                    bs.binary_column(packed), bs.binary_column(parity)], ["doc_id", "n_shingles", "node", "bands", "sig", "parity"])
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node binary, bands array<long>, sig binary, parity binary")
+
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node binary, bands array<long>, sig binary")
+def _matrix(column) -> np.ndarray:
+    """A column of equally long binary values as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, params: NearDedupParams) -> DataFrame:
-    """Of the pairs (u, v) those whose estimate and set sizes allow the threshold."""
+    """Of the pairs (u, v) those whose estimate, set sizes and sketches allow the threshold."""
     side = lambda name: classes.select(F.col("node").alias(name), F.col("sig").alias(f"{name}_sig"),
-                                       F.col("n_shingles").alias(f"{name}_n"))
+                                       F.col("parity").alias(f"{name}_parity"), F.col("n_shingles").alias(f"{name}_n"))
     least, n_minima, bits, percent = params.percent / 100 - params.margin, params.minima, params.bits, params.percent
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            n, m = batch.column("u_n").to_numpy(), batch.column("v_n").to_numpy()
-            good = (estimate(sig("u_sig"), sig("v_sig"), n_minima, bits) >= least) & (
-                100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            of = lambda c: _matrix(batch.column(c))
+            good = estimate(of("u_sig"), of("v_sig"), n_minima, bits) >= least
+            good &= may_link(batch.column("u_n").to_numpy(), batch.column("v_n").to_numpy(), of("u_parity"), of("v_parity"), percent)
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
-    return (pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_sig", "v_sig", "u_n", "v_n")
+    return (pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "u_sig", "v_sig", "u_parity", "v_parity", "u_n", "v_n")
             .mapInArrow(run, "u binary, v binary"))
 
 
@@ -228,13 +253,13 @@ def _groups(batches, keys: list[str]):
 
 def _across(members: DataFrame, params: NearDedupParams) -> DataFrame:
     """Estimated pairs (u, v) across components within the band groups of ``members``
-    (band, node, root, sig, n_shingles): every such pair is looked at, those that pass are emitted."""
+    (band, node, root, sig, parity, n_shingles): every such pair is looked at, those that pass are emitted."""
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / params.block).cast("int").alias("blocks"))
     dealt = (members.join(sizes, "band")
              .withColumn("own", F.pmod(F.hash("node"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-             .select("band", "lo", "hi", "own", "node", "root", "sig", "n_shingles")
+             .select("band", "lo", "hi", "own", "node", "root", "sig", "parity", "n_shingles")
              .repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi"))
     least, n_minima, bits, percent = params.percent / 100 - params.margin, params.minima, params.bits, params.percent
 
@@ -247,7 +272,7 @@ def _across(members: DataFrame, params: NearDedupParams) -> DataFrame:
             node = table.column("node").to_pylist()
             number: dict[bytes, int] = {}
             root = np.array([number.setdefault(r, len(number)) for r in table.column("root").to_pylist()])
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint64).reshape(n, -1)
+            sig, parity = _matrix(table.column("sig")), _matrix(table.column("parity"))
             size, own = table.column("n_shingles").to_numpy(), table.column("own").to_numpy()
             cross_only = key[1] != key[2]
             rows = np.arange(n)
@@ -256,11 +281,12 @@ def _across(members: DataFrame, params: NearDedupParams) -> DataFrame:
                 if not len(rows):
                     break
                 there = rows + step
-                use = (root[rows] != root[there]) & (100 * np.minimum(size[rows], size[there]) >= percent * np.maximum(size[rows], size[there]))
+                use = root[rows] != root[there]
                 use &= ~cross_only[rows] | (own[rows] != own[there])
                 a, b = rows[use], there[use]
                 if len(a):
                     good = estimate(sig[a], sig[b], n_minima, bits) >= least
+                    good[good] = may_link(size[a[good]], size[b[good]], parity[a[good]], parity[b[good]], percent)
                     found = [tuple(sorted((node[x], node[y]))) for x, y in zip(a[good], b[good])]
                     if found:
                         yield pa.record_batch([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["u", "v"])
@@ -284,11 +310,11 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     firsts = found.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     classes = written(
         found.join(firsts.filter("first_id is not null"), "node").filter("doc_id = first_id")
-        .select("node", "first_id", "n_shingles", "bands", "sig").dropDuplicates(["node"]), "classes")
+        .select("node", "first_id", "n_shingles", "bands", "sig", "parity").dropDuplicates(["node"]), "classes")
     members = classes.select("node", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).filter("n > 1")
     shared = written(members.join(hubs, "band").select("band", "node", "u"), "bands")
-    stars = shared.filter("node <> u").groupBy(F.col("node").alias("v")).agg(F.min("u").alias("u")).select("u", "v")
+    stars = shared.filter("node <> u").select("u", F.col("node").alias("v")).distinct()
     first_pairs = written(_estimated(stars, classes, params), "pairs")
     links = written(_confirmed(first_pairs, docs, classes, params), "links")
     roots = connected_components(links)
@@ -297,7 +323,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         "band", "node", F.coalesce("root", "node").alias("root"))
     mixed = (labelled.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
              .filter("a <> b").select("band"))
-    crossing = labelled.join(mixed, "band").join(classes.select("node", "sig", "n_shingles"), "node")
+    crossing = labelled.join(mixed, "band").join(classes.select("node", "sig", "parity", "n_shingles"), "node")
     more_pairs = written(_across(crossing, params).join(first_pairs, ["u", "v"], "left_anti"), "pairs")
     if more_pairs.limit(1).count():
         more = _confirmed(more_pairs, docs, classes, params)
