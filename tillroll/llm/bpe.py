@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from heapq import heappop, heappush
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct pre-tokens a worker remembers; older ones are forgotten, results don't depend on it.
-CACHE_SIZE = 400_000
+CACHE_SIZE = 1_000_000
 _LONG_PIECE = 64  # longer pre-tokens are not remembered
 #: Ranks per word of the lower bitmap level (Python integers are the words): 2 ** 8.
 WORD_SHIFT, WORD_MASK = 8, 255
@@ -109,40 +110,50 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Codec:
-    """Encoder and decoder of one worker; pre-tokens seen before are remembered (bounded)."""
+    """Encoder and decoder of one worker; pre-tokens seen before are remembered (bounded).
 
-    def __init__(self, rank_path: str, pattern: str):
+    Two generations: when the young one is full it becomes the old one, whose entries return to
+    the young one as they are met again.
+    """
+
+    def __init__(self, rank_path: str, pattern: str, cache_size: int = CACHE_SIZE):
         self.ranks = load_ranks(rank_path)
-        self.tokens = {i: t for t, i in self.ranks.items()}
         self.queue = RankQueue(max(self.ranks.values()) + 1)
+        self.tokens: list[bytes] = [b""] * len(self.queue.buckets)
+        for token, i in self.ranks.items():
+            self.tokens[i] = token
+        self.names = list(map(str, range(len(self.tokens))))
         self.split = regex.compile(pattern).findall
+        self.half = cache_size // 2
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.old.get(piece)
+        ids = self.young.get(piece) or self.old.get(piece)
         if ids is None:
             ids = tuple(encode_piece(piece.encode("utf-8", "surrogatepass"), self.ranks, self.queue))
         if len(piece) <= _LONG_PIECE:
-            if len(self.young) >= CACHE_SIZE // 2:
+            if len(self.young) >= self.half:
                 self.old, self.young = self.young, {}
             self.young[piece] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known, extend, piece_ids = self.young.get, out.extend, self._piece
-        for piece in self.split(text):
-            ids = known(piece)
-            if ids is None:
-                ids = piece_ids(piece)
-                known = self.young.get
-            extend(ids)
-        return out
+        pieces = self.split(text)
+        found = list(map(self.young.get, pieces))
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            found[at] = self._piece(pieces[at])
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def written(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by one space."""
+        return " ".join(map(self.names.__getitem__, ids))
+
 
 _codecs: dict[tuple[str, str], Codec] = {}
 
@@ -173,7 +184,7 @@ def encode_documents(documents: DataFrame, rank_path: str, pattern: str, id_col:
                 for text in part.column(1):
                     ids = own.encode(text.as_py() or "")
                     counts.append(len(ids))
-                    digests.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                    digests.append(hashlib.sha256(own.written(ids).encode()).hexdigest())
                     decoded.append(hashlib.sha256(own.decode(ids)).hexdigest())
                     if not digests_only:
                         lists.append(ids)
