@@ -102,11 +102,12 @@ def training_rows(documents: DataFrame, text_col: str, lang_col: str, usable: Co
     labelled = documents.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     ids = labelled.select(F.col(lang_col).alias("lang"), order.alias("order"))
     first = Window.partitionBy("lang").orderBy("order")
-    limits = (ids.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= params.per_language)
-              .groupBy("lang").agg(F.max("order").alias("last")))
     largest = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages).select("lang")
-    chosen = (labelled.select(F.col(lang_col).alias("lang"), order.alias("order"), F.col(text_col).alias("text"))
-              .join(limits.join(largest, "lang"), "lang").filter(F.col("order") <= F.col("last")).select("lang", "order", "text"))
+    last = (ids.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= params.per_language)
+            .groupBy("lang").agg(F.max("order").alias("last")).join(largest, "lang").collect())
+    # At most max_languages limits: the texts are filtered where they are read and never shuffled.
+    limit = F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r["last"])])[F.col(lang_col)] if last else F.lit(None).cast("long")
+    chosen = labelled.filter(order <= limit).select(F.col(lang_col).alias("lang"), order.alias("order"), F.col(text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
