@@ -20,7 +20,7 @@ from tillroll.llm import bytesets as bs
 
 #: Byte kinds: letters of either case, digits, white space, sentence marks, other ASCII, UTF-8 leads and trails.
 _KINDS = 9
-_KIND = np.full(256, 6, np.int64)
+_KIND = np.full(256, 6, np.uint8)
 _KIND[ord("a"):ord("z") + 1] = 0
 _KIND[ord("A"):ord("Z") + 1] = 1
 _KIND[ord("0"):ord("9") + 1] = 2
@@ -69,7 +69,7 @@ def encode_passages(offsets: np.ndarray, data: np.ndarray, i: int, j: int, words
         kind = _KIND[text]
         lo, hi = begin[limits], end[np.append(limits[1:], len(begin)) - 1]
         width = (hi - lo).astype(float)
-        sums = np.zeros(len(text) + 1)
+        sums = np.zeros(len(text) + 1, np.int32)
         for k in range(_KINDS):
             np.cumsum(kind == k, out=sums[1:])
             out[used, k] = (sums[hi] - sums[lo]) / width
