@@ -63,17 +63,20 @@ def without(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     return surely.unionByName(rest.join(names, rest[column] == names["__gone"], "left_anti"))
 
 
-#: Rows of an Arrow batch that goes to a Python worker, where the session has Spark's default.
-BATCH_ROWS = 2000
+#: Rows and bytes of an Arrow batch that goes to a Python worker, where the session has Spark's
+#: defaults. Texts and sets are long values: batches of the default size cost each task several
+#: hundred MB outside the heap.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+              "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
 
 
 def prepare(spark: SparkSession) -> None:
     """What the operators' Python workers need: the package, and batches of bounded size (texts
     are long rows, so Spark's default of 10,000 rows makes large ones)."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, BATCH_ROWS)
+    for key, (default, ours) in BATCH_CONF.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, ours)
 
 
 def shuffle_width(spark: SparkSession) -> int:
