@@ -66,8 +66,8 @@ def without(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
 #: Rows and bytes of an Arrow batch that goes to a Python worker, where the session has Spark's
 #: defaults. Texts and sets are long values: batches of the default size cost each task several
 #: hundred MB outside the heap.
-BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
-              "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+              "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b")}
 
 
 def prepare(spark: SparkSession) -> None:
