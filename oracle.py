@@ -12,11 +12,11 @@ from tillroll.schemas import NOT_NULL_CONTRACT
 # Flat receipts, lines and payments (same fixed values as the Spark mapping).
 _BASE = """
 rc AS (
-  SELECT o.o_orderkey AS okey,
-         CAST(o.o_orderkey AS VARCHAR) AS receipt_ref,
+  SELECT o.o_orderkey AS okey, copies.k AS copy,
+         {reference} AS receipt_ref,
          o.o_orderkey AS sequence_num,
          o.o_orderkey % 5 + 1 AS terminal_num,
-         strftime(o.o_orderdate, '%Y/%m/%d') AS receipt_date,
+         {date} AS receipt_date,
          CAST(o.o_orderdate AS DATE) AS receipt_day,
          CASE WHEN o.o_orderkey % 17 = 0 THEN CAST(0 AS DECIMAL(10,2))
               ELSE CAST(o.o_totalprice AS DECIMAL(10,2)) END AS total_dec,
@@ -29,6 +29,7 @@ rc AS (
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN (VALUES (1), (2)) copies(k) ON {delivered}
 ),
 rcpt AS (
   SELECT *,
@@ -39,27 +40,18 @@ rcpt AS (
   FROM rc
 ),
 lp AS (
-  SELECT CAST(l.l_orderkey AS VARCHAR) AS receipt_ref,
+  SELECT rc.okey, rc.copy, rc.receipt_ref,
          p.p_name AS product_name,
          CAST(CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) * 0.6 AS DECIMAL(10,2)) AS DOUBLE)
            AS product_cost,
-         CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS product_price,
-         CAST(trunc(l.l_quantity) AS BIGINT) AS product_quantity,
-         l.l_discount, l.l_linenumber
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE l.l_orderkey IN (SELECT okey FROM rc)
+         CAST({price} AS DOUBLE) AS product_price,
+         {quantity} AS product_quantity,
+         {discount} AS discount, l.l_discount, l.l_linenumber
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN rc ON rc.okey = l.l_orderkey
 ),
 promo AS (
-  SELECT receipt_ref, product_name,
-         max(l_discount) AS discount,
-         CAST(max(l_linenumber) AS BIGINT) AS per_quantity
-  FROM lp WHERE l_discount >= 0.05
-  GROUP BY receipt_ref, product_name
-),
-promo_lines AS (
-  SELECT receipt_ref, product_name, l_discount AS discount,
-         CAST(l_linenumber AS BIGINT) AS per_quantity
-  FROM lp WHERE l_discount >= 0.05
+  SELECT receipt_ref, product_name, discount, CAST(l_linenumber AS BIGINT) AS per_quantity
+  FROM lp WHERE l_discount > 0
 ),
 pay AS (
   SELECT receipt_ref, priority AS payment_method, receipt_total AS payment_amount
@@ -84,20 +76,19 @@ _MODELS = {
              year(receipt_day) AS "year", month(receipt_day) AS "month",
              monthname(receipt_day) AS month_name
       FROM rcpt""",
+    # Exact arithmetic on the delivered values, rounded to cents only in the sums below.
+    "m_exact_lines": """
+      SELECT receipt_ref, product_name, product_quantity,
+             CAST(product_cost AS DECIMAL(20,6)) * CAST(product_quantity AS DECIMAL(12,4)) AS total_cost,
+             CAST(product_price AS DECIMAL(20,6)) * CAST(product_quantity AS DECIMAL(12,4)) AS total_price
+      FROM n_products""",
     "m_priced_lines": """
-      SELECT p.receipt_ref, p.product_name,
-             CAST(p.product_cost AS DECIMAL(10,2)) * CAST(p.product_quantity AS DECIMAL(6,0))
-               AS total_cost,
-             CAST(p.product_price AS DECIMAL(10,2)) * CAST(p.product_quantity AS DECIMAL(6,0))
-               AS total_price,
-             CASE WHEN d.discount IS NOT NULL AND d.per_quantity <> 0
-                       AND floor(p.product_quantity / d.per_quantity) * d.per_quantity > 0
-                  THEN CAST(p.product_price AS DECIMAL(10,2))
-                       * CAST(p.product_quantity AS DECIMAL(6,0))
-                       * (1.00 - CAST(d.discount AS DECIMAL(4,2)))
-                  ELSE CAST(p.product_price AS DECIMAL(10,2))
-                       * CAST(p.product_quantity AS DECIMAL(6,0)) END AS price_after_discount
-      FROM n_products p LEFT JOIN {promo} d
+      SELECT p.receipt_ref, total_cost, total_price,
+             CASE WHEN floor(p.product_quantity / nullif(d.per_quantity, 0)) * d.per_quantity > 0
+                       AND d.discount IS NOT NULL
+                  THEN CAST(total_price AS DECIMAL(28,10)) * (1 - CAST(d.discount AS DECIMAL(8,7)))
+                  ELSE CAST(total_price AS DECIMAL(28,10)) END AS price_after_discount
+      FROM m_exact_lines p LEFT JOIN promo d
         ON p.receipt_ref = d.receipt_ref AND p.product_name = d.product_name""",
     "m_sale_profits": """
       SELECT receipt_ref,
@@ -125,7 +116,7 @@ _MODELS = {
       FROM rcpt WHERE has_customer AND business_name IS NOT NULL AND total_dec > 0""",
     "m_business_customers_summary": """
       SELECT business_name, customer_name,
-             CAST(CAST(sum(CAST(amount_spent AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE)
+             CAST(CAST(sum(CAST(amount_spent AS DECIMAL(18,6))) AS DECIMAL(18,2)) AS DOUBLE)
                AS amount_spent,
              count(receipt_ref) AS num_purchases
       FROM m_business_customers GROUP BY business_name, customer_name""",
@@ -257,13 +248,66 @@ _QUERIES["receipt_products_from_json"] = _QUERIES["receipt_products"]
 _QUERIES["receipts_from_csv"] = _QUERIES["receipts"]
 
 
-def _with(query_key: str) -> str:
-    promo = "promo_lines" if query_key == "sale_profits_fanout" else "promo"
-    ctes = [_BASE.strip()]
-    for name, body in _MODELS.items():
-        ctes.append(f"{name} AS ({body.format(promo=promo)})")
+# What the variants of the mapping change, in the same terms as the module docstring of the mapping.
+_PLAIN = {
+    "reference": "CAST(o.o_orderkey AS VARCHAR)",
+    "date": "strftime(o.o_orderdate, '%Y/%m/%d')",
+    "delivered": "copies.k = 1",
+    "price": "CAST(p.p_retailprice AS DECIMAL(10,2))",
+    "quantity": "trunc(l.l_quantity)::DOUBLE",
+    "discount": "l.l_discount",
+}
+_FINE_TERMS = {
+    "price": "CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) * 1.0003 AS DECIMAL(12,4))",
+    "quantity": "l.l_quantity / 4",
+    "discount": "l.l_discount / 8",
+}
+_REPEATED = {
+    "reference": "CASE WHEN o.o_orderkey % 97 <> 0 THEN CAST(o.o_orderkey AS VARCHAR) END",
+    "delivered": "(copies.k = 1 OR o.o_orderkey % 50 = 0)",
+}
+_MIXED_DATES = {
+    "date": """CASE o.o_orderkey % 3 WHEN 0 THEN strftime(o.o_orderdate, '%Y/%m/%d')
+        WHEN 1 THEN strftime(o.o_orderdate, '%Y-%m-%d') ELSE strftime(o.o_orderdate, '%Y/%-m/%-d') END""",
+}
+# The joins on receipt_ref as plain SQL joins, for receipts that repeat or lack it.
+_QUERIES_REPEATED = {
+    "business_sales": """
+      SELECT b.business_abn, b.business_name, r.receipt_ref, r.receipt_date, r.receipt_total, r.gst,
+             year(r.receipt_day) AS "year", month(r.receipt_day) AS "month", monthname(r.receipt_day) AS month_name
+      FROM rcpt r JOIN n_businesses b ON r.receipt_ref = b.receipt_ref""",
+    "business_employees": """
+      SELECT DISTINCT b.business_name, year(r.receipt_day) AS "year", month(r.receipt_day) AS "month",
+             monthname(r.receipt_day) AS month_name, c.cashier_name
+      FROM n_businesses b JOIN n_cashiers c ON b.receipt_ref = c.receipt_ref JOIN rcpt r ON r.receipt_ref = b.receipt_ref""",
+    "sales_details": """
+      SELECT r.receipt_ref, b.business_name, r.receipt_date,
+             month(r.receipt_day) AS "month", year(r.receipt_day) AS "year",
+             format('{}-{}', month(r.receipt_day), year(r.receipt_day)) AS month_year,
+             p.product_name, p.product_cost, p.product_price, p.product_quantity
+      FROM rcpt r JOIN n_businesses b ON r.receipt_ref = b.receipt_ref JOIN n_products p ON r.receipt_ref = p.receipt_ref""",
+}
+VARIANTS = {
+    "_fine_terms": (_FINE_TERMS, ["sale_profits", "business_monthly_profits"]),
+    "_repeated": (_REPEATED, ["business_sales", "sale_profits", "business_sales_profits", "business_monthly_profits",
+                              "business_employees", "products", "sales_details"]),
+    "_mixed_dates": (_MIXED_DATES, ["business_sales"]),
+}
+
+
+def _with(changes: dict | None = None, models: dict | None = None) -> str:
+    ctes = [_BASE.strip().format(**_PLAIN | (changes or {}))]
+    ctes += [f"{name} AS ({body})" for name, body in (_MODELS | (models or {})).items()]
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
 def oracle_queries() -> dict[str, str]:
-    return {k: _with(k) + v for k, v in _QUERIES.items()}
+    out = {k: _with() + v for k, v in _QUERIES.items()}
+    for suffix, (changes, names) in VARIANTS.items():
+        joined = suffix == "_repeated"
+        models = {"m_business_sales": _QUERIES_REPEATED["business_sales"],
+                  "m_business_employees": _QUERIES_REPEATED["business_employees"]} if joined else None
+        for name in names:
+            query = _QUERIES_REPEATED.get(name, _QUERIES[name]) if joined else _QUERIES[name]
+            out[name + suffix] = _with(changes, models) + query
+    return out

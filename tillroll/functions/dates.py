@@ -3,16 +3,18 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Receipt dates are written as year/month/day text; the month name is the full
+# Receipt dates are written as year, month, day with slashes or hyphens, padded or not; the month name is the full
 # English name; the fiscal year starts in July.
-RECEIPT_DATE_FORMAT = "yyyy/MM/dd"
+RECEIPT_DATE_FORMATS = ("yyyy/M/d", "yyyy-M-d")
 MONTH_NAME_FORMAT = "MMMM"
 FISCAL_YEAR_FIRST_MONTH = 7
 
 
 def parse_receipt_date(c: Column) -> Column:
-    """``'2022/07/02'`` -> DATE. A plain CAST rejects the slashes under ANSI mode."""
-    return F.to_date(c, RECEIPT_DATE_FORMAT)
+    """``'2022/07/02'``, ``'2022-07-02'`` or ``'2022/7/2'`` -> DATE; other text fails the job."""
+    parsed = F.coalesce(*[F.try_to_date(c, f) for f in RECEIPT_DATE_FORMATS])
+    return F.when(c.isNotNull() & parsed.isNull(),
+                  F.raise_error(F.concat(F.lit("not a receipt date: "), c)).cast("date")).otherwise(parsed)
 
 
 def calendar_year(d: Column) -> Column:

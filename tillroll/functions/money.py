@@ -1,9 +1,10 @@
 """Money expressions.
 
 Tables carry money as DOUBLE, as delivered or rounded once to cents, like the original tables.
-Every computation on money runs on exact narrow decimals (see tillroll.schemas): amounts are
-cast to cents, multiplied and summed as decimals, and converted back to DOUBLE once, so results
-do not depend on summation order or engine.
+Every computation on money runs on exact decimals (see tillroll.schemas): amounts, quantities
+and discounts keep the decimals they were delivered with, are multiplied and summed as decimals,
+and are rounded to cents and converted back to DOUBLE once, so results do not depend on summation
+order or engine.
 """
 
 from pyspark.sql import Column
@@ -13,7 +14,7 @@ from tillroll.schemas import DISCOUNT, MONEY, QUANTITY, TOTAL
 
 
 def as_money(c: Column) -> Column:
-    """An amount as exact cents, for arithmetic."""
+    """An amount as an exact decimal, for arithmetic."""
     return c.cast(MONEY)
 
 
@@ -35,6 +36,11 @@ def to_amount(c: Column) -> Column:
     return c.cast(TOTAL).cast("double")
 
 
+def sum_exact(c: Column) -> Column:
+    """Sum of delivered money amounts as an exact decimal, not yet rounded."""
+    return F.sum(c.cast(MONEY))
+
+
 def sum_cents(c: Column) -> Column:
-    """Sum of money amounts: each as exact cents, summed as a decimal, converted once."""
+    """Sum of amounts that were rounded to cents before: summed as a decimal, converted once."""
     return to_amount(F.sum(c.cast(TOTAL)))

@@ -3,9 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import sum_cents
+from tillroll.functions import sum_exact, to_amount
 
 TOP_K = 10
+# The unrounded sum, by which customers are ranked; no column of the finished tables.
+EXACT_SPENT = "_exact_spent"
 
 
 def business_customers(stg: DataFrame) -> DataFrame:
@@ -22,11 +24,23 @@ def business_customers(stg: DataFrame) -> DataFrame:
         F.col("Total").alias("amount_spent"))
 
 
-def business_customers_summary(customers: DataFrame) -> DataFrame:
-    """Spend and purchase count per (business, customer); a NULL name is one group."""
+def customer_totals(customers: DataFrame) -> DataFrame:
+    """Spend, rounded and exact, and purchase count per (business, customer); a NULL name is one
+    group."""
     return (customers.groupBy("business_name", "customer_name")
-                     .agg(sum_cents(F.col("amount_spent")).alias("amount_spent"),
-                          F.count("receipt_ref").alias("num_purchases")))
+                     .agg(to_amount(sum_exact(F.col("amount_spent"))).alias("amount_spent"),
+                          F.count("receipt_ref").alias("num_purchases"),
+                          sum_exact(F.col("amount_spent")).alias(EXACT_SPENT)))
+
+
+def business_customers_summary(customers: DataFrame) -> DataFrame:
+    """Spend and purchase count per (business, customer)."""
+    return customer_totals(customers).drop(EXACT_SPENT)
+
+
+def _exact_spent(summary: DataFrame) -> DataFrame:
+    """The summary with the sum that ranks: the exact one where it came along, else the shown."""
+    return summary if EXACT_SPENT in summary.columns else summary.withColumn(EXACT_SPENT, F.col("amount_spent"))
 
 
 def _top_k(summary: DataFrame, order: list[Column], columns: list[str], k: int) -> DataFrame:
@@ -35,17 +49,17 @@ def _top_k(summary: DataFrame, order: list[Column], columns: list[str], k: int)
     # every map task before the shuffle (WindowGroupLimit), so a business with a third of all
     # customers still sends only k rows per task to its window partition.
     w = Window.partitionBy("business_name").orderBy(*order, F.col("customer_name").asc_nulls_last())
-    ranked = summary.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
+    ranked = _exact_spent(summary).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
     return ranked.select(*columns, F.col("_rn").cast("bigint").alias("ranking"))
 
 
 def top_customers_by_value(summary: DataFrame, k: int = TOP_K) -> DataFrame:
     return _top_k(summary,
-                  [F.col("amount_spent").desc_nulls_last(), F.col("num_purchases").desc()],
+                  [F.col(EXACT_SPENT).desc_nulls_last(), F.col("num_purchases").desc()],
                   ["business_name", "customer_name", "amount_spent", "num_purchases"], k)
 
 
 def top_customers_by_purchases(summary: DataFrame, k: int = TOP_K) -> DataFrame:
     return _top_k(summary,
-                  [F.col("num_purchases").desc(), F.col("amount_spent").desc_nulls_last()],
+                  [F.col("num_purchases").desc(), F.col(EXACT_SPENT).desc_nulls_last()],
                   ["business_name", "customer_name", "num_purchases", "amount_spent"], k)

@@ -9,7 +9,7 @@ from pyspark.sql.types import ArrayType
 from tillroll.functions import (as_discount, as_money, as_quantity, as_total, calendar_month,
                                 calendar_year, month_name, month_year_label, parse_receipt_date,
                                 sum_cents, to_amount)
-from tillroll.schemas import PROMOTION
+from tillroll.schemas import EXACT, PROMOTION
 
 
 def business_sales(receipts: DataFrame, businesses: DataFrame) -> DataFrame:
@@ -36,8 +36,8 @@ def _with_prices(lines: DataFrame) -> DataFrame:
     total_price = as_money(F.col("product_price")) * qty
     qualifying = F.floor(F.try_divide(qty, per)) * per
     discounted = discount.isNotNull() & (qualifying > 0)
-    after = F.when(discounted, total_price * (F.lit(Decimal("1.00")) - discount)
-                   ).otherwise(total_price)
+    after = F.when(discounted, total_price * (F.lit(Decimal("1")) - discount)
+                   ).otherwise(total_price).cast(EXACT)
     return (lines.withColumn("total_cost", as_money(F.col("product_cost")) * qty)
                  .withColumn("total_price", total_price)
                  .withColumn("discount_qlf_qty", qualifying)
@@ -46,7 +46,9 @@ def _with_prices(lines: DataFrame) -> DataFrame:
 
 
 _KEYS = ["receipt_ref", "product_name"]
-_STEP = "decimal(20,0)"
+_STEP = "decimal(23,3)"
+# Sum of the discounts of one receipt's promotions for one product.
+_DISCOUNTS = "decimal(11,6)"
 
 
 def _qualifying_discounts(products: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -69,7 +71,7 @@ def _qualifying_discounts(products: DataFrame, promotions: DataFrame) -> DataFra
     quantities = (products.select(*_KEYS, as_quantity(F.col("product_quantity")).cast(_STEP)
                                   .alias("at"))
                   .filter(F.col("at").isNotNull()).distinct()
-                  .select(*_KEYS, "at", F.lit(None).cast("decimal(14,2)").alias("d"),
+                  .select(*_KEYS, "at", F.lit(None).cast("decimal(17,6)").alias("d"),
                           F.lit(1).alias("kind")))
     upto = (Window.partitionBy(*_KEYS).orderBy("at", "kind")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -108,9 +110,10 @@ def sale_profits(products: DataFrame, promotions: DataFrame) -> DataFrame:
     m = F.coalesce(F.col("m"), F.lit(0)).cast("decimal(10,0)")
     total_price = as_money(F.col("product_price")) * qty
     copies = F.greatest(m, F.lit(1).cast("decimal(10,0)"))
-    discounted = F.when(m == 0, total_price).otherwise(
-        total_price * (m - F.coalesce(F.col("qualifying_discount"), F.lit(0))))
-    sums = (lines.withColumn("total_cost", as_money(F.col("product_cost")) * qty * copies)
+    off = F.coalesce(F.col("qualifying_discount"), F.lit(0)).cast(_DISCOUNTS)
+    discounted = F.when(m == 0, total_price.cast(EXACT)).otherwise(
+        ((total_price * m).cast(EXACT) - (total_price * off).cast(EXACT)).cast(EXACT))
+    sums = (lines.withColumn("total_cost", (as_money(F.col("product_cost")) * qty * copies).cast(EXACT))
                  .withColumn("total_price", total_price * copies)
                  .withColumn("price_after_discount", discounted)
                  .withColumn("profit", F.col("price_after_discount") - F.col("total_cost")))

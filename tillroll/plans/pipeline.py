@@ -148,13 +148,18 @@ class ReceiptModels:
     def business_customers_summary(self) -> DataFrame:
         return loyalty.business_customers_summary(self.business_customers)
 
+    @cached_property
+    def customer_totals(self) -> DataFrame:
+        """The summary with unrounded sums, which the rankings go by."""
+        return loyalty.customer_totals(self.business_customers)
+
     @cached_property
     def top_ten_customers_by_business_value(self) -> DataFrame:
-        return loyalty.top_customers_by_value(self.business_customers_summary, self.top_k)
+        return loyalty.top_customers_by_value(self.customer_totals, self.top_k)
 
     @cached_property
     def top_ten_customers_by_num_purchases(self) -> DataFrame:
-        return loyalty.top_customers_by_purchases(self.business_customers_summary, self.top_k)
+        return loyalty.top_customers_by_purchases(self.customer_totals, self.top_k)
 
     # -- Q3 ----------------------------------------------------------------------------------
     @cached_property

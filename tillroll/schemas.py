@@ -6,13 +6,15 @@ Schema inference is never used on receipts: files without promotions infer
 
 from pyspark.sql import types as T
 
-# Tables carry money as DOUBLE and quantities as BIGINT, as delivered. Every computation casts
-# them to these narrow decimals, so that products and sums are exact and identical on every
-# engine and in every summation order; results are rounded once to TOTAL (half up) and
-# returned as DOUBLE (tillroll.functions.money).
-MONEY = T.DecimalType(10, 2)
-QUANTITY = T.DecimalType(6, 0)
-DISCOUNT = T.DecimalType(4, 2)
+# Tables carry money and quantities as DOUBLE, as delivered. Every computation casts them to
+# these decimals, wide enough for prices of four decimals, fractional quantities and discounts
+# of six decimals: a line is then decimal(25,7), a discounted line decimal(34,13) and their sum
+# decimal(38,13), all exact. Results are rounded once, at the end, to TOTAL (half up) and
+# returned as DOUBLE (tillroll.functions.money). Values out of range fail (ANSI mode is on).
+MONEY = T.DecimalType(12, 4)
+QUANTITY = T.DecimalType(12, 3)
+DISCOUNT = T.DecimalType(7, 6)
+EXACT = T.DecimalType(34, 13)
 TOTAL = T.DecimalType(18, 2)
 
 BUSINESS = T.StructType([
@@ -34,7 +36,7 @@ PRODUCT = T.StructType([
     T.StructField("Cost", T.DoubleType()),
     T.StructField("Name", T.StringType()),
     T.StructField("Price", T.DoubleType()),
-    T.StructField("Quantity", T.LongType()),
+    T.StructField("Quantity", T.DoubleType()),
 ])
 
 PROMOTION = T.StructType([
@@ -75,7 +77,7 @@ RECEIPT_CSV = T.StructType([
     T.StructField("Customer_Points", T.LongType()),
 ])
 
-# Declared NOT NULL columns of the normalised tables (the table contracts).
+# Declared NOT NULL columns of the normalised tables (the table contracts).
 NOT_NULL_CONTRACT = {
     "receipts": ["receipt_ref", "sequence_num", "receipt_date", "gst", "terminal_num",
                  "receipt_total"],

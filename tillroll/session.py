@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 # runtime broadcast of small join sides, skew-join splitting) and no web UI.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -45,7 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate files.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured for the cluster (a shared file
-    system). Only when it is unset, as in local tests, a private folder is created and registered.
+    system); without it the call fails, as executors would not see a folder of the driver's. Only
+    in local mode, as in tests, a private folder is created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,9 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = configured or (sc.getCheckpointDir() if sc is not None else None)
     if configured:
         return configured
+    if not (sc is not None and sc.master.startswith("local") and "cluster" not in sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    if sc is None:
-        return local
     sc.setCheckpointDir(local)
     # The context may append a random subfolder; report what it actually uses.
     return sc.getCheckpointDir() or local

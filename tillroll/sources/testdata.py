@@ -17,9 +17,16 @@ Fixed values of the mapping (the SQL oracle uses the same ones):
   (order priority, Total - 10.00)
 * Products = one per line item: part name, Price = part retail price, Cost = Price x 0.6,
   Quantity = line quantity
-* Promotions = line items with discount >= 0.05; grouped by (order, part name) taking the largest
-  discount and the largest line number as Per_Quantity; ungrouped (one per such line) when
-  ``group_promotions=False``, which repeats a promotion for a product and fans lines out.
+* Promotions = one per line item with a discount: the discount, the line number as Per_Quantity
+  and the part name (a part that an order holds twice repeats its promotions and fans lines out)
+
+Variants, for queries that need what the plain mapping never holds:
+
+* ``fine_terms``: Price x 1.0003 with four decimals, Quantity = line quantity / 4, Discount =
+  discount / 8
+* ``repeated``: every order whose key is a multiple of 50 is delivered twice, and Reference is
+  missing where the key is a multiple of 97
+* ``mixed_dates``: Date as yyyy/MM/dd, yyyy-MM-dd or yyyy/M/d by order key mod 3
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schemas import CUSTOMER, MONEY, PAYMENT, PRODUCT, PROMOTION, RECEIPT
+from tillroll.schemas import CUSTOMER, PAYMENT, PRODUCT, PROMOTION, RECEIPT
 
 # Fixed values (see module docstring).
 TERMINALS = 5
@@ -41,72 +48,62 @@ SPLIT_PAYMENT_EVERY = 7
 CASH_PART = Decimal("10.00")
 GST_RATE = Decimal("0.10")
 COST_RATE = Decimal("0.6")
-PROMOTION_MIN_DISCOUNT = 0.05
+FINE_PRICE = Decimal("1.0003")
+FINE_QUANTITY = 4
+FINE_DISCOUNT = 8
+REPEATED_EVERY = 50
+NO_REFERENCE_EVERY = 97
+CENTS = T.DecimalType(10, 2)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _line_items(spark: SparkSession, sf_dir: str, group_promotions: bool) -> DataFrame:
+def _line_items(spark: SparkSession, sf_dir: str, fine_terms: bool) -> DataFrame:
     """Per order: the product list and the promotion list.
 
-    An order's lines become one receipt document, so they are collected per order: the array
-    is the size of one receipt, as in the document model itself (partial aggregation merges
-    the pieces of an order from several tasks)."""
+    An order's lines become one receipt document, so they are collected per order, both lists in
+    one aggregation: the arrays are the size of one receipt, as in the document model itself
+    (partial aggregation merges the pieces of an order from several tasks)."""
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     lp = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
 
-    price = F.col("p_retailprice").cast(MONEY)
+    price = F.col("p_retailprice").cast(CENTS)
+    cost = (price * F.lit(COST_RATE)).cast(CENTS)
+    quantity, discount = F.col("l_quantity").cast("bigint").cast("double"), F.col("l_discount")
+    if fine_terms:
+        price = (price * F.lit(FINE_PRICE)).cast("decimal(12,4)")
+        quantity, discount = F.col("l_quantity") / FINE_QUANTITY, discount / FINE_DISCOUNT
     product = F.struct(
-        (price * F.lit(COST_RATE)).cast(MONEY).cast("double").alias("Cost"),
+        cost.cast("double").alias("Cost"),
         F.col("p_name").alias("Name"),
         price.cast("double").alias("Price"),
-        F.col("l_quantity").cast("bigint").alias("Quantity"),
+        quantity.alias("Quantity"),
     )
-    promoted = F.col("l_discount") >= F.lit(PROMOTION_MIN_DISCOUNT)
-
-    if not group_promotions:
-        promotion = F.when(promoted, F.struct(
-            F.col("l_discount").alias("Discount"),
-            F.col("l_linenumber").cast("bigint").alias("Per_Quantity"),
-            F.col("p_name").alias("Product")))
-        return lp.groupBy("l_orderkey").agg(
-            F.collect_list(product).alias("Products"),
-            F.collect_list(promotion).alias("Promotions"))
-
-    # Products are collected per order in one pass; promotions are first reduced per (order,
-    # part name) with fixed-width max aggregates, then collected per order. Partitioning the
-    # lines by order key once serves both aggregations and the join of their results.
-    by_order = lp.repartition("l_orderkey")
-    products = by_order.groupBy("l_orderkey").agg(F.collect_list(product).alias("Products"))
-    per_name = (by_order.filter(promoted)
-                .groupBy("l_orderkey", "p_name")
-                .agg(F.max("l_discount").alias("discount"),
-                     F.max("l_linenumber").alias("per_quantity")))
-    promotions = per_name.groupBy(F.col("l_orderkey").alias("promo_orderkey")).agg(
-        F.collect_list(F.struct(
-            F.col("discount").alias("Discount"),
-            F.col("per_quantity").cast("bigint").alias("Per_Quantity"),
-            F.col("p_name").alias("Product"))).alias("Promotions"))
-    return (products.join(promotions, products.l_orderkey == promotions.promo_orderkey, "left")
-                    .drop("promo_orderkey"))
-
-
-def receipts_from_tables(spark: SparkSession, sf_dir: str, group_promotions: bool = True
-                         ) -> DataFrame:
+    promotion = F.when(F.col("l_discount") > 0, F.struct(
+        discount.alias("Discount"),
+        F.col("l_linenumber").cast("bigint").alias("Per_Quantity"),
+        F.col("p_name").alias("Product")))
+    return lp.groupBy("l_orderkey").agg(
+        F.collect_list(product).alias("Products"),
+        F.collect_list(promotion).alias("Promotions"))
+
+
+def receipts_from_tables(spark: SparkSession, sf_dir: str, fine_terms: bool = False,
+                         repeated: bool = False, mixed_dates: bool = False) -> DataFrame:
     """The staging table (one nested row per order) built from the test tables."""
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    items = _line_items(spark, sf_dir, group_promotions)
+    items = _line_items(spark, sf_dir, fine_terms)
 
     key = F.col("o_orderkey")
-    total = (F.when(key % ZERO_TOTAL_EVERY == 0, F.lit(0).cast(MONEY))
-              .otherwise(F.col("o_totalprice").cast(MONEY)))
+    total = (F.when(key % ZERO_TOTAL_EVERY == 0, F.lit(0).cast(CENTS))
+              .otherwise(F.col("o_totalprice").cast(CENTS)))
     priority = F.col("o_orderpriority")
     single = F.array(F.struct(total.cast("double").alias("Amount"), priority.alias("Method")))
     split = F.array(
@@ -120,22 +117,32 @@ def receipts_from_tables(spark: SparkSession, sf_dir: str, group_promotions: boo
               .join(customers, orders.o_custkey == customers.c_custkey, "inner")
               .join(nations, F.col("c_nationkey") == nations.n_nationkey, "inner")
               .join(items, key == items.l_orderkey, "left"))
+    date = F.date_format(F.col("o_orderdate"), "yyyy/MM/dd")
+    if mixed_dates:
+        date = (F.when(key % 3 == 0, date).when(key % 3 == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
+                .otherwise(F.date_format("o_orderdate", "yyyy/M/d")))
+    reference = key.cast("string")
+    if repeated:
+        reference = F.when(key % NO_REFERENCE_EVERY != 0, reference)
     empty = lambda t: F.array().cast(T.ArrayType(t))
     staged = joined.select(
         F.struct(F.col("n_nationkey").cast("string").alias("ABN"),
                  F.col("n_name").alias("Name")).alias("Business"),
         F.concat(F.lit("Clerk#"), (key % CASHIERS).cast("string")).alias("Cashier"),
         customer.cast(CUSTOMER).alias("Customer"),
-        F.date_format(F.col("o_orderdate"), "yyyy/MM/dd").alias("Date"),
-        (total * F.lit(GST_RATE)).cast(MONEY).cast("double").alias("GST"),
+        date.alias("Date"),
+        (total * F.lit(GST_RATE)).cast(CENTS).cast("double").alias("GST"),
         F.when(key % SPLIT_PAYMENT_EVERY == 0, split).otherwise(single)
          .cast(T.ArrayType(PAYMENT)).alias("Payments"),
         F.coalesce(F.col("Products").cast(T.ArrayType(PRODUCT)), empty(PRODUCT)).alias("Products"),
         F.coalesce(F.col("Promotions").cast(T.ArrayType(PROMOTION)),
                    empty(PROMOTION)).alias("Promotions"),
-        key.cast("string").alias("Reference"),
+        reference.alias("Reference"),
         key.alias("Sequence"),
         (key % TERMINALS + 1).alias("Terminal"),
         total.cast("double").alias("Total"),
     )
-    return staged.select(*[F.col(f.name).cast(f.dataType) for f in RECEIPT])
+    staged = staged.select(*[F.col(f.name).cast(f.dataType) for f in RECEIPT])
+    if repeated:
+        staged = staged.unionByName(staged.filter(F.col("Sequence") % REPEATED_EVERY == 0))
+    return staged
