@@ -1,7 +1,10 @@
 from decimal import Decimal
 
+import pytest
+
 from tests.edge_receipts import write_documents
-from tillroll.plans import MODEL_NAMES, run_pipeline
+from tillroll.plans import MODEL_NAMES, run_daily, run_pipeline
+from tillroll.sources import RunStore
 
 
 def test_daily_job_writes_every_model(spark, tmp_dir):
@@ -42,20 +45,84 @@ def test_command_line_ingest_and_run(spark, tmp_dir, capsys):
     from tillroll.__main__ import main
 
     src = write_documents(os.path.join(tmp_dir, "in"))
-    main(["ingest", "--source", src, "--staging", os.path.join(tmp_dir, "stg"),
-          "--checkpoint", os.path.join(tmp_dir, "ckpt")])
+    main(["ingest", "--source", src, "--staging", os.path.join(tmp_dir, "stg")])
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"ingested_rows": 8}
-    main(["run", "--source", src, "--prefix", "cli_", "--buckets", "2"])
-    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["staged_rows"] == 8 and "cli_turnover_summary" in out["tables"]
+    root = os.path.join(tmp_dir, "root")
+    for origin in (["--source", src], ["--staging", os.path.join(tmp_dir, "stg")]):
+        main(["run", "--root", root, "--top-k", "1", *origin])
+        out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+        assert out["staged_rows"] == 8 and "turnover_summary" in out["tables"]
+        store = RunStore(spark, root)
+        assert store.current() == out["run"]
+        assert store.table("top_ten_customers_by_business_value").agg({"ranking": "max"}).first()[0] == 1
+
+
+def test_runs_are_atomic_and_repeatable(spark, tmp_dir):
+    import os
+
+    from tests.edge_receipts import EDGE_RECEIPTS
+
+    root, src = os.path.join(tmp_dir, "root"), os.path.join(tmp_dir, "in")
+    store = RunStore(spark, root)
+    assert store.current() is None
+    write_documents(src, EDGE_RECEIPTS[:3])
+    first, _ = run_daily(spark, root, src)
+    assert store.table("receipts").count() == 3
+    # a run that fails midway, or is killed before its commit, changes nothing for readers
+    os.makedirs(os.path.join(tmp_dir, "bad"))
+    with open(os.path.join(tmp_dir, "bad", "x.json"), "w") as f:
+        f.write('{"Date": "2022/07/02", "Reference": 7, "Total": "no number"}')
+    with pytest.raises(Exception):
+        run_daily(spark, root, os.path.join(tmp_dir, "bad"))
+    half = store.new_run()
+    store.write(spark.range(1), half, "receipts")
+    assert store.current() == first and store.table("receipts").count() == 3
+    write_documents(src, EDGE_RECEIPTS)
+    second, _ = run_daily(spark, root, src)
+    assert second > first and store.current() == second
+    served = store.table("receipts", ["receipt_ref"], where="receipt_ref <> 'R1'", order_by=["receipt_ref"])
+    assert served.columns == ["receipt_ref"] and "R1" not in [r.receipt_ref for r in served.collect()]
+
+
+def test_second_run_in_another_process(tmp_dir):
+    """Neither a shared catalog nor spark.checkpoint.dir ties the runs together."""
+    import os
+    import subprocess
+    import sys
+
+    from tests.edge_receipts import EDGE_RECEIPTS
+
+    src, stg, root = (os.path.join(tmp_dir, x) for x in ("in", "stg", "root"))
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; from tillroll.session import build_session; from tillroll.streaming import ingest_new_receipts;"
+            "from tillroll.plans import run_daily; s = build_session('local[2]', shuffle_partitions=2);"
+            "print('N', ingest_new_receipts(s, sys.argv[1], sys.argv[2]), run_daily(s, sys.argv[3], staging=sys.argv[2])[1]['receipts'].count())")
+    seen = []
+    for upto in (3, 8):
+        write_documents(src, EDGE_RECEIPTS[:upto])
+        env = {**os.environ, "PYTHONPATH": here}
+        out = subprocess.run([sys.executable, "-c", code, src, stg, root], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
+        seen.append([line for line in out.stdout.splitlines() if line.startswith("N ")])
+    assert seen == [["N 3 3"], ["N 5 8"]]
+
+
+def test_malformed_documents_are_set_aside(spark, tmp_dir):
+    import os
+
+    src = write_documents(os.path.join(tmp_dir, "in"))
+    with open(os.path.join(src, "bad.json"), "w") as f:
+        f.write('{"Total": "no number"}')
+    _, tables = run_daily(spark, os.path.join(tmp_dir, "root"), src, strict=False)
+    assert tables["receipts"].count() == 8 and tables["rejected_documents"].count() == 1
 
 
 def test_sizing_conf_for_a_large_input():
     from tillroll.session import sizing_conf
 
     conf = sizing_conf(100 << 40, total_cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (512 << 20)
+    partitions, splits = int(conf["spark.sql.shuffle.partitions"]), (100 << 40) // int(conf["spark.sql.files.maxPartitionBytes"])
+    assert partitions == 8000
+    assert partitions * splits < 2 * 10 ** 9  # blocks between map and reduce tasks
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 512 << 20
-    assert conf["staging_buckets"] == "100000"
     small = sizing_conf(10 << 20, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"

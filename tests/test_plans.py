@@ -18,8 +18,8 @@ def optimized(df) -> str:
 
 @pytest.fixture(scope="module")
 def staged(spark):
-    """The staging rows as a table bucketed by Reference, as the load writes them."""
-    return stage_receipts(receipts_from_tables(spark, SMALL_SF), table="stg_plans")
+    """The staging rows as a table bucketed by Reference, which users may ask for."""
+    return stage_receipts(receipts_from_tables(spark, SMALL_SF), table="stg_plans", num_buckets=8)
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +54,29 @@ def test_receipt_local_needs_at_most_one_shuffle_without_buckets(unbucketed, nam
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
 
 
+def test_load_adds_no_shuffle_and_mapping_scans_lines_once(spark, tmp_dir):
+    from tests.edge_receipts import write_documents
+    from tillroll.sources import RunStore, read_receipts
+
+    store = RunStore(spark, f"{tmp_dir}/root")
+    raw = read_receipts(spark, write_documents(f"{tmp_dir}/in"))
+    assert "Exchange" not in executed(raw) and store.write(raw, store.new_run(), "stg").count() == 8
+    plan = executed(receipts_from_tables(spark, SMALL_SF)).split("Initial Plan")[0]
+    assert plan.count("lineitem.parquet") == 1
+
+
+def test_building_a_model_runs_no_job(spark):
+    import __spark_entry__ as entry
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    read = len(tracker.getJobIdsForGroup("build"))
+    models = entry._models(spark, SMALL_SF)
+    schemas = len(tracker.getJobIdsForGroup("build")) - read  # reading Parquet schemas
+    models.sale_profits, models.products, models.business_monthly_profits
+    assert len(tracker.getJobIdsForGroup("build")) - read == schemas
+
+
 def test_join_forms_still_available(unbucketed):
     plan = executed(ReceiptModels(unbucketed, unique_reference=False).sale_profits)
     assert "Join" in plan

@@ -7,7 +7,8 @@ import json
 
 from pyspark.sql import Observation
 
-from tillroll.plans import run_pipeline
+from tillroll.operators.loyalty import TOP_K
+from tillroll.plans.build import run_daily
 from tillroll.session import build_session
 from tillroll.streaming import ingest_new_receipts
 
@@ -17,10 +18,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master", help="only for local runs; spark-submit sets it otherwise")
     sub = parser.add_subparsers(dest="command", required=True)
     run = sub.add_parser("run", help="read every receipt file, stage them, rebuild every model")
-    run.add_argument("--source", required=True)
+    run.add_argument("--root", required=True, help="shared folder of the daily runs")
+    origin = run.add_mutually_exclusive_group(required=True)
+    origin.add_argument("--source", help="folder of receipt files")
+    origin.add_argument("--staging", help="Parquet path that ingest keeps up to date")
     run.add_argument("--layout", choices=["document", "lines"], default="document")
-    run.add_argument("--prefix", default="")
-    run.add_argument("--buckets", type=int)
+    run.add_argument("--tolerant", action="store_true", help="set malformed documents aside")
+    run.add_argument("--leavers", help="CSV of business_name,fiscal_year,num_employee_left")
+    run.add_argument("--top-k", type=int, default=TOP_K)
     ingest = sub.add_parser("ingest", help="append receipts of new files to a staging path")
     ingest.add_argument("--source", required=True)
     ingest.add_argument("--staging", required=True)
@@ -31,10 +36,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     if args.command == "run":
         load = Observation("receipt_load")
-        tables = run_pipeline(spark, args.source, args.layout, args.prefix, args.buckets,
-                              load=load)
-        print(json.dumps({"staged_rows": load.get["num_rows"],
-                          "tables": sorted(args.prefix + t for t in tables)}))
+        leavers = args.leavers and spark.read.option("header", True).option("mode", "FAILFAST").schema(
+            "business_name string, fiscal_year long, num_employee_left long").csv(args.leavers)
+        name, tables = run_daily(spark, args.root, args.source, args.layout, args.staging, not args.tolerant,
+                                 leavers=leavers or None, top_k=args.top_k, load=load)
+        print(json.dumps({"run": name, "staged_rows": load.get["num_rows"], "tables": sorted(tables)}))
     else:
         n = ingest_new_receipts(spark, args.source, args.staging, args.checkpoint, args.layout)
         print(json.dumps({"ingested_rows": n}))

@@ -45,8 +45,10 @@ def business_employee_stats(employees: DataFrame) -> DataFrame:
 
 
 def employee_attendences(employees: DataFrame) -> DataFrame:
-    """Monthly list of cashier names, sorted, comma separated."""
-    names = F.array_join(F.array_sort(F.collect_set("cashier_name")), ", ")
+    """Monthly list of cashier names, sorted, comma separated; NULL if a month has none. The
+    input holds a name once a month."""
+    names = F.when(F.count("cashier_name") > 0,
+                   F.array_join(F.array_sort(F.collect_list("cashier_name")), ", "))
     return employees.groupBy(*MONTH_KEYS).agg(names.alias("unique_employees"))
 
 

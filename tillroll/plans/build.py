@@ -1,11 +1,14 @@
 """The daily job: load the receipt folder, stage it, and write every model as a table.
 
-Models are written in dependency order (MODEL_NAMES is topologically sorted) and each later
-model reads the tables already written, as a SQL model reads its upstream tables. Writing to
-the shared warehouse also cuts the lineage: a lost executor costs a recomputation from the
-last written table, not from the raw files. Only the staging table is bucketed (by Reference);
-model tables are read whole by their readers. ``bucket_receipt_tables=True`` also buckets the
-tables keyed by ``receipt_ref``, for users who join them again.
+Models are written in dependency order (MODEL_NAMES is topologically sorted). Models that sum up
+another one read its written table; the receipt-level ones start from staging, as their rows are
+projections of a staging row. Written tables also cut the lineage: a lost executor costs a
+recomputation from the last written table, not from the raw files.
+
+``run_daily`` writes to a run folder and commits it (``RunStore``): repeatable in any session and
+atomic for readers. ``run_pipeline`` replaces tables of the session catalog, for use within one
+session or with a persistent catalog. ``bucket_receipt_tables=True`` buckets the tables keyed by
+``receipt_ref``, for users who join them again.
 """
 
 from __future__ import annotations
@@ -13,8 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.loyalty import TOP_K
 from tillroll.plans.pipeline import MODEL_NAMES, ReceiptModels
-from tillroll.sources.receipts import read_receipts
+from tillroll.schemas import RECEIPT
+from tillroll.sources.receipts import CORRUPT_COLUMN, read_receipts
+from tillroll.sources.runs import RunStore
 from tillroll.sources.staging import STAGING_TABLE, materialise, stage_receipts
 
 
@@ -33,6 +39,43 @@ def build_all(models: ReceiptModels, prefix: str = "", names: list[str] | None =
     return written
 
 
+def run_daily(spark: SparkSession, root: str, source_dir: str | None = None, layout: str = "document",
+              staging: str | None = None, strict: bool = True, unique_reference: bool | None = None,
+              leavers: DataFrame | None = None, top_k: int = TOP_K,
+              load: Observation | None = None) -> tuple[str, dict[str, DataFrame]]:
+    """One run of the daily job into ``root``; returns its id and tables once it is committed.
+
+    The receipts come from the files of ``source_dir``, which are staged in the run's folder, or
+    from ``staging``, a Parquet path that ``ingest_new_receipts`` keeps up to date. With
+    ``strict=False`` malformed documents are set aside in the run's table ``rejected_documents``
+    instead of failing the load."""
+    store = RunStore(spark, root)
+    run = store.new_run()
+    tables: dict[str, DataFrame] = {}
+    if staging is not None:
+        staged = spark.read.schema(RECEIPT).parquet(staging)
+        if load is not None:
+            staged = staged.observe(load, F.count(F.lit(1)).alias("num_rows"))
+            staged = store.write(staged, run, STAGING_TABLE)
+    else:
+        raw = read_receipts(spark, source_dir, layout, strict)
+        if not strict:
+            loaded = store.write(raw, run, "loaded_documents")
+            bad = loaded.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+            tables["rejected_documents"] = store.write(bad, run, "rejected_documents")
+            raw = loaded.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+        if load is not None:
+            raw = raw.observe(load, F.count(F.lit(1)).alias("num_rows"))
+        staged = store.write(raw, run, STAGING_TABLE)
+    models = ReceiptModels(staged, unique_reference=unique_reference, leavers=leavers, top_k=top_k)
+    tables[STAGING_TABLE] = staged
+    for name in MODEL_NAMES:
+        tables[name] = store.write(models.table(name), run, name)
+        models.use(name, tables[name])
+    store.commit(run)
+    return run, tables
+
+
 def run_pipeline(spark: SparkSession, source_dir: str, layout: str = "document",
                  prefix: str = "", num_buckets: int | None = None,
                  unique_reference: bool | None = None,

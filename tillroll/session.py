@@ -97,28 +97,30 @@ def local_master(cpus: int | None = None) -> str:
     return f"local[{cpus or os.cpu_count() or 8}]"
 
 
-# Fixed value: Spark's default limit on the bucket count of a table.
-MAX_BUCKETS = 100_000
-
-
-def sizing_conf(input_bytes: int, total_cores: int, partition_bytes: int = 512 << 20,
-                open_cost_bytes: int = 1 << 20) -> dict[str, str]:
-    """Settings that keep each task near ``partition_bytes`` for a job over ``input_bytes``.
-
-    File splits are ``partition_bytes``; many small receipt documents are packed per task with
-    an open cost of ``open_cost_bytes`` each (the default 4 MB packs only 128 MB / 4 MB = 32
-    tiny files per task). The initial shuffle partition count covers the input at that size
-    (and at least two per core); adaptive execution then coalesces small shuffle partitions to
-    the advisory size and splits skewed ones. ``staging_buckets`` is a matching bucket count
-    for ``stage_receipts``, capped at Spark's bucket limit (``maxBuckets``, 100,000 by default;
-    at the cap a bucket simply holds more than one split).
+# Bounds of the shuffle partition count: beyond the upper one the blocks between map and reduce
+# tasks get too many and too small.
+MAX_SHUFFLE_PARTITIONS = 8000
+
+
+def sizing_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20,
+                open_cost_bytes: int = 1 << 20, shuffled_share: float = 0.02,
+                partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``.
+
+    File splits are ``split_bytes``; many small receipt documents are packed per task with an
+    open cost of ``open_cost_bytes`` each (the default 4 MB packs only 128 MB / 4 MB = 32 tiny
+    files per task). The load itself doesn't shuffle, and the models shuffle one small row per
+    receipt or per group and task, about ``shuffled_share`` of the input: the initial shuffle
+    partition count follows these bytes, at least two per core, at most
+    ``MAX_SHUFFLE_PARTITIONS``; adaptive execution then coalesces small partitions to the
+    advisory size and splits skewed ones.
     """
-    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    wanted = -(-int(input_bytes * shuffled_share) // partition_bytes)
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(min(2 * total_cores, MAX_SHUFFLE_PARTITIONS), wanted))
     return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.files.openCostInBytes": str(open_cost_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
-        "staging_buckets": str(min(partitions, MAX_BUCKETS)),
     }

@@ -47,8 +47,12 @@ def read_receipt_json(spark: SparkSession, path: str, layout: str = "document",
 def read_receipt_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read flat receipt headers from ``*.csv`` files (header line required) into the
     receipt shape. Line-item lists are NULL, which every explode treats as empty."""
-    flat = (spark.read.option("header", True).option("mode", "FAILFAST")
-            .option("pathGlobFilter", "*.csv").schema(RECEIPT_CSV).csv(path))
+    return shape_csv(spark.read.option("header", True).option("mode", "FAILFAST")
+                     .option("pathGlobFilter", "*.csv").schema(RECEIPT_CSV).csv(path))
+
+
+def shape_csv(flat: DataFrame) -> DataFrame:
+    """Flat header rows, of a batch or a stream, in the receipt shape."""
     customer = F.when(F.col("Customer_Name").isNotNull() | F.col("Customer_Points").isNotNull(),
                       F.struct(F.col("Customer_Name").alias("Name"),
                                F.col("Customer_Points").alias("Points_Earnt")))
@@ -62,10 +66,11 @@ def read_receipt_csv(spark: SparkSession, path: str) -> DataFrame:
                            else F.lit(None).cast(f.dataType).alias(f.name) for f in RECEIPT])
 
 
-def read_receipts(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+def read_receipts(spark: SparkSession, path: str, layout: str = "document", strict: bool = True) -> DataFrame:
     """All receipts of a directory: JSON documents plus CSV headers, as one bag. A suffix with
-    no file simply contributes no row (the schemas are fixed, nothing is inferred)."""
-    return read_receipt_json(spark, path, layout).unionByName(
+    no file simply contributes no row (the schemas are fixed, nothing is inferred). ``strict`` as
+    in :func:`read_receipt_json`."""
+    return read_receipt_json(spark, path, layout, strict).unionByName(
         read_receipt_csv(spark, path), allowMissingColumns=True)
 
 

@@ -1,8 +1,11 @@
 """Staging and model tables: full-refresh writes, reads, counts, drops.
 
 Tables are Parquet in the session catalog (``spark.sql.warehouse.dir`` on shared storage on a
-cluster). The staging table is bucketed by ``Reference``: every model joins normalised tables on
-``receipt_ref``, and with a bucketed scan these joins need no shuffle.
+cluster). The daily job writes run folders instead (``tillroll.sources.runs``).
+
+Staging is written as it is read, without a shuffle: after the explode all lines of a receipt are
+in one task, so an aggregation by receipt only moves one small row per receipt, while bucketing
+the documents by ``Reference`` would move all of them.
 """
 
 from __future__ import annotations
@@ -18,17 +21,16 @@ def stage_receipts(df: DataFrame, table: str = STAGING_TABLE, num_buckets: int |
                    ) -> DataFrame:
     """Replace the staging table with ``df`` (full refresh) and return the table.
 
-    ``num_buckets`` defaults to ``spark.sql.shuffle.partitions``; on a cluster pick it so that a
-    bucket holds a few hundred MB. The rows are first rebalanced by Reference into that many
-    partitions, so each write task writes one bucket (without it every input task writes a
-    file per bucket: tasks x buckets files); adaptive execution may still split an oversized
-    partition, which only adds a file to that bucket.
+    With ``num_buckets`` the table is bucketed by Reference, for users who join it again and
+    again: the rows are first rebalanced by Reference into that many partitions, so each write
+    task writes one bucket (without it every input task writes a file per bucket).
     """
     spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.hint("rebalance", n, STAGING_KEY)
-       .write.mode("overwrite").format("parquet")
-       .bucketBy(n, STAGING_KEY).saveAsTable(table))
+    writer = df.hint("rebalance", num_buckets, STAGING_KEY) if num_buckets else df
+    writer = writer.write.mode("overwrite").format("parquet")
+    if num_buckets:
+        writer = writer.bucketBy(num_buckets, STAGING_KEY)
+    writer.saveAsTable(table)
     return spark.table(table)
 
 
@@ -56,9 +58,12 @@ def materialise(df: DataFrame, table: str, bucket_by: str | None = None,
 
 
 def read_table(spark: SparkSession, table: str, columns: list[str] | None = None,
-               order_by: list | None = None) -> DataFrame:
-    """Serve a finished table, optionally with a column list and a presentation order."""
+               order_by: list | None = None, where=None) -> DataFrame:
+    """Serve a finished table, optionally with a filter (pushed down to the files, for example
+    one business), a column list and a presentation order."""
     df = spark.table(table)
+    if where is not None:
+        df = df.filter(where)
     if columns:
         df = df.select(*columns)
     if order_by:
@@ -74,9 +79,8 @@ def reference_conflicts(stg: DataFrame) -> DataFrame:
     """References that appear on more than one staging row, with their count. (Rows without
     Reference join nothing and need no check.)
 
-    An aggregation over the Reference column alone. On the staging table (bucketed by
-    Reference) it runs inside each bucket without a shuffle; on other input it shuffles that
-    one column.
+    An aggregation over the Reference column alone, which is all that it shuffles (nothing, on a
+    table bucketed by Reference).
     """
     counts = stg.groupBy(STAGING_KEY).agg(F.count(F.lit(1)).alias("n"))
     return counts.filter((F.col("n") > 1) & F.col(STAGING_KEY).isNotNull())

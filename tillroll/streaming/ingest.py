@@ -3,30 +3,40 @@
 The batch load replaces the staging table with every file of the receipt folder each day. With
 immutable receipt files the same staging rows come from appending only the files that arrived
 since the last run: a file stream with ``trigger(availableNow=True)`` reads exactly the new
-files (its checkpoint remembers the ones already read), appends them to a Parquet staging path
-through the exactly-once file sink, and stops. A lost executor or a failed run is retried from
-the checkpoint without duplicating or losing files. Rows are kept as a bag, like the batch load
-(no deduplication, so no unbounded streaming state).
+files, JSON documents and CSV headers alike (its checkpoint remembers the ones already read),
+appends them to a Parquet staging path through the exactly-once file sink, and stops. A lost
+executor or a failed run is retried from the checkpoint without duplicating or losing files. Rows
+are kept as a bag, like the batch load (no deduplication, so no unbounded streaming state).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.schemas import RECEIPT
-from tillroll.session import checkpoint_root
+from tillroll.schemas import RECEIPT, RECEIPT_CSV
+from tillroll.sources.receipts import shape_csv
 
 
 def receipt_stream(spark: SparkSession, source_dir: str, layout: str = "document",
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the receipt files arriving in ``source_dir`` (fixed schema)."""
-    reader = (spark.readStream.schema(RECEIPT)
-              .option("multiLine", layout == "document")
-              .option("pathGlobFilter", "*.json")
-              .option("mode", "FAILFAST"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(source_dir)
+    """Streaming DataFrame of the receipt files arriving in ``source_dir`` (fixed schemas)."""
+    def reader(suffix: str):
+        out = spark.readStream.option("pathGlobFilter", f"*.{suffix}").option("mode", "FAILFAST")
+        return out.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else out
+
+    documents = reader("json").schema(RECEIPT).option("multiLine", layout == "document").json(source_dir)
+    headers = reader("csv").schema(RECEIPT_CSV).option("header", True).csv(source_dir)
+    return documents.unionByName(shape_csv(headers))
+
+
+def _staged_rows(spark: SparkSession, path: str) -> int:
+    try:
+        return spark.read.schema(RECEIPT).parquet(path).count()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
 
 
 def ingest_new_receipts(spark: SparkSession, source_dir: str, staging_path: str,
@@ -34,12 +44,12 @@ def ingest_new_receipts(spark: SparkSession, source_dir: str, staging_path: str,
                         max_files_per_trigger: int | None = None) -> int:
     """Append the receipts of files not yet ingested to ``staging_path``; return how many.
 
-    ``checkpoint`` defaults to a folder named after the staging path under the shared
-    checkpoint root; it must survive between runs.
+    ``checkpoint`` defaults to a folder beside the staging path; it must survive between runs, as
+    the staging path itself must. The count is that of the staged rows after the run less those
+    before (Parquet footers only), whatever the number of micro-batches.
     """
-    if checkpoint is None:
-        name = staging_path.rstrip("/").replace(":", "_").replace("/", "_")
-        checkpoint = f"{checkpoint_root(spark).rstrip('/')}/ingest{name}"
+    checkpoint = checkpoint or staging_path.rstrip("/") + "_checkpoint"
+    before = _staged_rows(spark, staging_path)
     query = (receipt_stream(spark, source_dir, layout, max_files_per_trigger)
              .writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
@@ -50,4 +60,4 @@ def ingest_new_receipts(spark: SparkSession, source_dir: str, staging_path: str,
     exc = query.exception()
     if exc is not None:
         raise exc
-    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+    return _staged_rows(spark, staging_path) - before
