@@ -1,11 +1,13 @@
-"""Document fingerprints: a Merkle tree over sections, paragraphs and pieces of paragraphs.
-
-Sections end at blank lines and, so that a text without any still has several, after paragraphs
-whose hash ends in three zero bits; paragraphs are lines; a paragraph's leaves are pieces of a
-sentence (cut after ``.``, ``!``, ``?``, ``;`` or ``|``) or of words whose bytes end in a fixed
-pattern. All cuts depend on the content near them, so an edit moves no later boundary. Each inner
-hash covers its children in order: equal roots mean equal texts, and two trees can be compared
-from the root down, opening only branches that differ.
+"""Document fingerprints: a Merkle tree over sections and paragraphs.
+
+Paragraphs (lines) are the tree's leaves. Sections end at blank lines and, so that a text without
+any still has several, after paragraphs whose hash ends in three zero bits: the cuts depend on the
+content near them, so an edit moves no later boundary. Each inner hash covers its children in
+order: equal roots mean equal texts, and two trees can be compared from the root down, opening
+only branches that differ.
+
+Likeness goes by smaller units, as a text may be one paragraph: pieces of up to three words that
+don't cross the end of a sentence, each with a short hash, weighed by their bytes.
 """
 
 from __future__ import annotations
@@ -19,44 +21,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tillroll.llm import bytesets as bs
 from tillroll.llm.scratch import shuffle_width
 
-_PIECE = re.compile(rb"[^.!?;|]*[.!?;|]+[ \t]*|[^.!?;|]+")
-_WORDS = re.compile(rb"(?:\S+\s*){1,12}|\s+")
+_PIECE = re.compile(rb"[^\s.!?;|]+[.!?;|]+\s*|(?:[^\s.!?;|]+\s+){1,2}[^\s.!?;|]+[.!?;|]*\s*|\S+\s*|\s+")
 _DIGEST = 16
 
 
 @dataclass(frozen=True)
 class Tree:
-    """``paragraphs``: (section number, start byte, end byte, hash); ``leaves``: hash and length."""
+    """``paragraphs``: (section number, start byte, end byte, hash); ``pieces``: short hash and
+    length of each piece."""
 
     root: bytes
     sections: list[bytes]
     paragraphs: list[tuple[int, int, int, bytes]]
-    leaves: list[tuple[bytes, int]]
+    pieces: list[tuple[int, int]]
 
 
 def _hash(*parts: bytes) -> bytes:
     return hashlib.blake2b(b"".join(parts), digest_size=_DIGEST).digest()
 
 
-def _pieces(line: bytes) -> list[bytes]:
-    out = []
-    for piece in _PIECE.findall(line):
-        out += [piece] if len(piece) <= 160 else _WORDS.findall(piece)
-    return out
-
-
 def build_tree(text: bytes) -> Tree:
     """The tree of a UTF-8 text; an empty text has a root and nothing below."""
-    sections, paragraphs, leaves, branch, at = [], [], [], [], 0
+    sections, paragraphs, branch, at = [], [], [], 0
     lines = text.split(b"\n") if text else []
     for line in lines:
-        own = [(_hash(b"\x00", p), len(p)) for p in _pieces(line)]
-        leaves += own
-        digest = _hash(b"\x01", *[h for h, _ in own])
+        digest = _hash(b"\x01", line)
         paragraphs.append((len(sections), at, at + len(line), digest))
         branch.append(digest)
         at += len(line) + 1
@@ -65,17 +59,16 @@ def build_tree(text: bytes) -> Tree:
             branch = []
     if branch:
         sections.append(_hash(b"\x02", *branch))
-    return Tree(_hash(b"\x03", *sections), sections, paragraphs, leaves)
+    return Tree(_hash(b"\x03", *sections), sections, paragraphs, [(xxh3_64_intdigest(p), len(p)) for p in _PIECE.findall(text)])
 
 
 def likeness(a: Tree, b: Tree) -> float:
-    """Share of the two texts' bytes that stand in common leaves (0 to 1); 1 for equal roots."""
+    """Share of the two texts' bytes that stand in common pieces (0 to 1); 1 for equal roots."""
     if a.root == b.root:
         return 1.0
-    x, y = Counter(h for h, _ in a.leaves), Counter(h for h, _ in b.leaves)
-    total = sum(n for _, n in a.leaves) + sum(n for _, n in b.leaves)
-    size = dict(a.leaves)
-    both = sum(min(n, y[h]) * size[h] for h, n in x.items() if h in y)
+    x, y, size = Counter(h for h, _ in a.pieces), Counter(h for h, _ in b.pieces), dict(a.pieces)
+    total = sum(n for _, n in a.pieces) + sum(n for _, n in b.pieces)
+    both = sum(min(x[h], y[h]) * size[h] for h in x.keys() & y.keys())
     return min(1.0, 2 * both / total) if total else 0.0
 
 
