@@ -126,3 +126,20 @@ def test_sizing_conf_for_a_large_input():
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 512 << 20
     small = sizing_conf(10 << 20, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_written_receipt_profits_are_not_computed_twice(spark, tmp_dir):
+    from tests.conftest import SMALL_SF, rows
+    from tillroll.plans import ReceiptModels
+    from tillroll.sources import receipts_from_tables
+    from pyspark.sql import functions as F
+
+    stg = receipts_from_tables(spark, SMALL_SF).withColumn(
+        "Reference", F.when(F.col("Sequence") % 97 != 0, F.col("Reference")))
+    models = ReceiptModels(stg, unique_reference=True)
+    want = rows(models.sale_profits)
+    again = ReceiptModels(stg, unique_reference=True)
+    path = f"{tmp_dir}/bsp"
+    again.business_sales_profits.write.parquet(path)
+    again.use("business_sales_profits", spark.read.parquet(path))
+    assert rows(again.sale_profits) == want

@@ -24,6 +24,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators import lines, loyalty, normalise, profit, quality, workforce
 from tillroll.sources.staging import reference_is_unique, staging_row_count
@@ -31,7 +32,7 @@ from tillroll.sources.staging import reference_is_unique, staging_row_count
 MODEL_NAMES = [
     "receipts", "receipt_businesses", "receipt_cashiers", "receipt_customers",
     "receipt_payments", "receipt_products", "receipt_promotions",
-    "business_sales", "sale_profits", "business_sales_profits", "business_monthly_profits",
+    "business_sales", "business_sales_profits", "sale_profits", "business_monthly_profits",
     "monthly_profit_series",
     "business_customers", "business_customers_summary", "top_ten_customers_by_business_value",
     "top_ten_customers_by_num_purchases",
@@ -56,6 +57,7 @@ class ReceiptModels:
         self._unique = unique_reference
         self._leavers = leavers
         self.top_k = top_k
+        self._served: set[str] = set()
 
     @cached_property
     def receipt_local(self) -> bool:
@@ -75,6 +77,7 @@ class ReceiptModels:
         if name not in MODEL_NAMES:
             raise KeyError(name)
         self.__dict__[name] = df
+        self._served.add(name)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in MODEL_NAMES}
@@ -117,6 +120,10 @@ class ReceiptModels:
 
     @cached_property
     def sale_profits(self) -> DataFrame:
+        if self.receipt_local and "business_sales_profits" in self._served:
+            # already computed per receipt and written: a projection, plus the group without Reference
+            rest = profit.sale_profits_in_receipt(self.staging.filter(F.col("Reference").isNull()))
+            return self.business_sales_profits.select(*rest.columns).unionByName(rest)
         if self.receipt_local:
             return profit.sale_profits_in_receipt(self.staging)
         return profit.sale_profits(self.receipt_products, self.receipt_promotions)
