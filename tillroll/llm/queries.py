@@ -77,7 +77,7 @@ def tokenizer() -> tuple[str, str]:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(table(spark, sf_dir, "documents"), *tokenizer(), digests_only=True).select(
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), *tokenizer(), digests_only=True, cache_size=1_000_000).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
