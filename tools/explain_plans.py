@@ -42,7 +42,7 @@ def main() -> None:
                                  "spark.sql.maxMetadataStringLength": "400"})
     spark.sparkContext.setLogLevel("ERROR")
     stg = receipts_from_tables(spark, sf_dir)
-    bucketed = stage_receipts(stg, table="plans_stg")
+    bucketed = stage_receipts(stg, table="plans_stg", num_buckets=8)
     stg.write.parquet(scratch + "/plain")
     plain = spark.read.parquet(scratch + "/plain")
     forms = {"bucketed, receipt-local": ReceiptModels(bucketed, unique_reference=True),
@@ -59,15 +59,6 @@ def main() -> None:
     for name in MODEL_NAMES:
         cells = " | ".join(shape(final_plan(m.table(name))) for m in forms.values())
         print(f"| {name} | {cells} |")
-    for name in ["business_monthly_profits", "top_ten_customers_by_business_value",
-                 "turnover_by_period"]:
-        df = forms["bucketed, receipt-local"].table(name)
-        df.collect()
-        print(f"\n## {name}, bucketed staging, receipt-local\n")
-        print("```")
-        print(spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(),
-                                                      "formatted").strip())
-        print("```")
     spark.stop()
 
 
