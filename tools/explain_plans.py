@@ -2,8 +2,8 @@
 
 For each model: hash exchanges, joins and top-k limits of the final adaptive plan, with the
 staging rows as (a) a table bucketed by Reference with receipt-local forms, (b) plain Parquet
-with receipt-local forms, (c) plain Parquet with the join forms. Plus the formatted plans of
-the headline query of Q1, Q2 and Q3. Usage: python tools/explain_plans.py [sf_dir] > PLANS.md
+with receipt-local forms, (c) plain Parquet with the join forms.
+Usage: python tools/explain_plans.py [sf_dir] > PLANS.md
 """
 
 from __future__ import annotations
