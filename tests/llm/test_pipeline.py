@@ -39,3 +39,13 @@ def test_empty_documents(spark, tmp_dir):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     _documents(spark, []).write.parquet(f"{tmp_dir}/documents.parquet")
     assert corpus_pipeline.run(spark, tmp_dir).collect() == []
+
+
+def test_near_copies_are_linked_from_a_similarity_of_80_percent(spark, tmp_dir):
+    words = [f"v{k}" for k in range(100)]
+    copy = lambda changed: " ".join("other" if k in changed else w for k, w in enumerate(words))
+    # Of 96 shingles each inner change takes 5: the first two share 86 of 106 (0.81).
+    rows = corpus(3, n_base=10) + [(5000, copy([])), (5001, copy([30, 70])), (5002, copy([10, 40, 60, 90]))]
+    at_80, at_85 = ({i for i, (_, _, k) in brute(rows, percent).items() if k} for percent in (80, 85))
+    got = {r["doc_id"] for r in corpus_pipeline.deduplicate(spark, _documents(spark, rows), tmp_dir).collect()}
+    assert got == at_80 != at_85
