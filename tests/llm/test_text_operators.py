@@ -3,9 +3,10 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from tillroll.llm import bpe, chat, decontaminate, html_text, merkle, secrets, warc
+from tillroll.llm import bpe, bytesets, chat, decontaminate, html_text, merkle, secrets, warc
 
 
 # Byte-level BPE
@@ -83,6 +84,32 @@ def test_novel_strings_need_a_sensitive_context_and_novelty(make):
     assert masked[1] == "Authorization: Bearer [SECRET] end" and masked[2] == rows[1][1]
 
 
+def _novel(*texts):
+    offsets, data = bytesets.string_buffers(pa.array(texts))
+    found = secrets.scan_rows(offsets, data, 0, len(texts), secrets.SecretParams())
+    return [[t[a:b] for kind, a, b in spans if kind == "novel"] for t, spans in zip(texts, found)]
+
+
+def test_values_of_assignments_are_novelty_candidates():
+    odd = "Zq8x/7Lw2Pk+Vt5Rm9Yc3Hn"
+    for name in ("AWS_SECRET_ACCESS_KEY", "é private_key", "pwd", "auth", "?user=me&session", "signature", "STRIPE_KEY"):
+        assert _novel(f"{name}={odd}", f"{name}={odd}== x") == [[odd], [odd + "=="]]
+    assert _novel(f"model={odd}") == [[]]
+
+
+def test_random_letters_are_novel_and_words_are_not():
+    assert _novel("Bearer qXvJkZwPbTfYhGmDcRxL", "Bearer QXVJKZWPBTFYHGMDCRXL") == [["qXvJkZwPbTfYhGmDcRxL"], ["QXVJKZWPBTFYHGMDCRXL"]]
+    assert _novel("access to internationalization", "private Datenschutzbeauftragter", "session getAuthenticatedUserProfile",
+                  "auth src/main/java/org/apache") == [[], [], [], []]
+
+
+def test_candidates_that_plain_spans_cover_in_part():
+    key = "Zq8xLw2PkVt5Rm9Yc3Hn" + "0123456789abcdef" + "Gd4sWj7TbQf6XzKe1UyMoCp8"
+    text = f"bearer {key} end"
+    assert _novel(text, "bearer 4f0123456789abcdef04", 'token = "abcdefghijkl0123"') == [[key], [], []]
+    assert secrets._masked(text, [("novel", 7, 67), ("hex", 27, 43)], "#") == "bearer # end"
+
+
 def test_overlapping_spans_are_masked_once():
     text = 'x token="0123456789abcdef01" y'
     assert secrets._masked(text, secrets.plain_spans(text), "#") == 'x #" y'

@@ -1,10 +1,12 @@
 """Secret scan: three fixed patterns, and dictionary-primed compression novelty.
 
-Novelty: a candidate is a run of key-like characters with letters and digits after a sensitive
-word. A zstandard compressor primed with the text around it and with common code identifiers
+Novelty: a candidate is a run of key-like characters after a sensitive word; at "=" a run is split
+into name and value, so that the name is part of the value's context. A zstandard compressor primed with the text around it and with common code identifiers
 compresses the candidate alone; the bytes it needs beyond an empty frame, per character, are its
 novelty. A name or a value that the surroundings or the identifiers explain costs little; a random
-key costs almost a byte per character and is reported.
+key costs almost a byte per character and is reported. A compressor primed with so little text
+can't tell a rare word from random letters, so a candidate without digits must also be unlike
+words: most of its letter pairs are none that words are made of.
 """
 
 from __future__ import annotations
@@ -30,7 +32,16 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 #: Stems without which ASSIGN can't match.
 STEMS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 #: Words that make a context sensitive.
-SENSITIVE = re.compile(r"secret|token|passw|pwd|api[_-]?key|auth|bearer|credential|private|access|session|signature|\bkey\b", re.I | re.A)
+SENSITIVE = re.compile(r"secret|token|passw|pwd|api[_-]?key|auth|bearer|credential|private|access|session|signature|(?<![a-z])key(?![a-z])", re.I | re.A)
+#: Letter pairs that make up most of the words of English, German, French, Spanish and source code.
+PAIRS = frozenset((
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch "
+    "ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po "
+    "we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke fr oo av ag "
+    "if ap gr od bo sp rd do uc bu ei ov by rm ep tt oc fa ef cu rn sc gi da yo cr cl du ga qu ue ff ba ey ls va um pp ua up lu go ht ru "
+    "ug ds lt pi rc rr eg au ck ew mu br bi pt ak pu ui rg ib tl ny ki rk ys ob mm fu ph og ms ye ud mb ip ub oi rl gu dr hr cc tw ft wn "
+    "nu af hu nn eo vo rv nf xp gn sm fl iz ok nl my gl aw ju oa eq sy sl ps jo lf nv je nk kn gs dy hy ze ks xt bs ik dd pf sk tz zu "
+    "hl ka rz eu ko ku kt lb lk rb zt zi hn ah oh uf eh ih ux ez ja cq").split())
 #: Common identifiers of source code, the fixed part of the dictionary.
 IDENTIFIERS = (
     "import from return function class public private static const let var def self this null None true false "
@@ -44,20 +55,22 @@ _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[list(b"0123456789abcdef")] = True
 _KEY_BYTE = np.zeros(256, bool)
 _KEY_BYTE[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-")] = True
-_DIGIT = np.zeros(256, np.int64)
-_DIGIT[list(b"0123456789")] = 1
+_VALUE = re.compile(rb"[^=]+(?:=+\Z)?")
+_LETTERS = re.compile(r"[a-z]+")
 
 
 @dataclass(frozen=True)
 class SecretParams:
     """``least``: characters of a novelty candidate; ``before``: characters in which a sensitive
     word must stand; ``around``: characters on each side that prime the dictionary; ``novelty``:
-    marginal bytes per character from which a candidate is reported."""
+    marginal bytes per character from which a candidate is reported; ``common``: share of word-like
+    letter pairs from which a candidate without digits counts as words."""
 
     least: int = 16
     before: int = 48
     around: int = 512
     novelty: float = 0.8
+    common: float = 0.75
 
 
 def plain_spans(text: str) -> list[tuple[str, int, int]]:
@@ -75,6 +88,14 @@ def marginal_bytes(candidate: bytes, surroundings: bytes) -> int:
     return len(compressor.compress(candidate)) - len(compressor.compress(b""))
 
 
+def like_words(candidate: str, common: float) -> bool:
+    """Whether a candidate has no digit and as many common letter pairs as words have."""
+    if any(c.isdigit() for c in candidate):
+        return False
+    pairs = [run[k:k + 2] for run in _LETTERS.findall(candidate.lower()) for k in range(len(run) - 1)]
+    return sum(p in PAIRS for p in pairs) >= common * len(pairs)
+
+
 def novel_spans(text: str, candidates: list[tuple[int, int]], params: SecretParams) -> list[tuple[str, int, int]]:
     """Candidates (code points) in a sensitive context that their surroundings don't explain."""
     out = []
@@ -82,6 +103,8 @@ def novel_spans(text: str, candidates: list[tuple[int, int]], params: SecretPara
         context = text[max(0, a - params.before):a]
         if not SENSITIVE.search(context):
             continue
+        if like_words(text[a:b], params.common):
+            continue
         candidate = text[a:b].encode()
         around = (text[max(0, a - params.around):a] + " " + text[b:b + params.around]).encode("utf-8", "surrogatepass")
         if marginal_bytes(candidate, around) >= params.novelty * len(candidate):
@@ -90,7 +113,7 @@ def novel_spans(text: str, candidates: list[tuple[int, int]], params: SecretPara
 
 
 def _suspects(raw: np.ndarray, starts: np.ndarray, least: int) -> tuple[set[int], dict[int, list[tuple[int, int]]]]:
-    """Rows that a plain pattern may match; key-like runs with letters and digits by row (bytes)."""
+    """Rows that a plain pattern may match; key-like runs, split at "=", by row (bytes)."""
     rows: set[int] = set()
     row_of = lambda at: np.searchsorted(starts, at, "right") - 1
     begin, end = bs.word_spans(raw, _HEX_BYTE)
@@ -107,16 +130,31 @@ def _suspects(raw: np.ndarray, starts: np.ndarray, least: int) -> tuple[set[int]
     begin, end = bs.word_spans(raw, _KEY_BYTE)
     long = end - begin >= least
     begin, end = begin[long], end[long]
-    digits = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum(_DIGIT[raw], out=digits[1:])
-    n = digits[end] - digits[begin]
-    mixed = (n > 0) & (n < end - begin)
     runs: dict[int, list[tuple[int, int]]] = {}
-    for a, b in zip(begin[mixed].tolist(), end[mixed].tolist()):
-        runs.setdefault(int(row_of(a)), []).append((a, b))
+    for a, b in zip(begin.tolist(), end.tolist()):
+        for m in _VALUE.finditer(text, a, b):
+            if m.end() - m.start() >= least:
+                runs.setdefault(int(row_of(a)), []).append(m.span())
     return rows, runs
 
 
+def _uncovered(points: list[tuple[int, int]], spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Of the sorted points (start, end) those that the spans together don't cover."""
+    merged: list[list[int]] = []
+    for x, y in sorted(s[1:] for s in spans):
+        if merged and x <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], y)
+        else:
+            merged.append([x, y])
+    out, at = [], 0
+    for a, b in points:
+        while at < len(merged) and merged[at][1] <= a:
+            at += 1
+        if at == len(merged) or not merged[at][0] <= a < b <= merged[at][1]:
+            out.append((a, b))
+    return out
+
+
 def scan_rows(offsets: np.ndarray, data: np.ndarray, i: int, j: int, params: SecretParams) -> list[list[tuple[str, int, int]]]:
     """All spans (code points) of rows i..j, by start and then kind."""
     raw, starts = bs.joined(offsets, data, i, j, gap=0x0A)
@@ -127,9 +165,13 @@ def scan_rows(offsets: np.ndarray, data: np.ndarray, i: int, j: int, params: Sec
         text = own.decode("utf-8", "replace")
         spans = plain_spans(text) if k in rows else []
         if k in runs:
-            taken = sorted(s[1:] for s in spans)
-            points = [(len(own[:a - starts[k]].decode("utf-8", "replace")), b - a) for a, b in runs[k]]
-            free = [(a, a + n) for a, n in points if not any(x < a + n and a < y for x, y in taken)]
+            points, chars, done = [], 0, 0
+            for a, b in runs[k]:
+                a, b = a - int(starts[k]), b - int(starts[k])
+                chars += len(own[done:a].decode("utf-8", "replace"))
+                points.append((chars, chars + b - a))
+                chars, done = chars + b - a, b
+            free = _uncovered(points, spans)
             spans += novel_spans(text, free, params)
         out[k] = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return out
@@ -143,7 +185,7 @@ def scan_secrets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(doc_id, spans): per document row its spans (kind, start, end) in code points, end exclusive.
 
     Kinds ``assign``, ``access`` and ``hex`` are all matches of the fixed patterns; ``novel`` spans
-    are added where none of those overlaps. Null and empty texts have no spans; repeated rows each
+    are added where those don't cover them. Null and empty texts have no spans; repeated rows each
     keep their row. No shuffle; memory is bounded by a slice of rows or the longest text.
     """
     def run(batches):
