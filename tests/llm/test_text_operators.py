@@ -110,6 +110,14 @@ def test_candidates_that_plain_spans_cover_in_part():
     assert secrets._masked(text, [("novel", 7, 67), ("hex", 27, 43)], "#") == "bearer # end"
 
 
+def test_copies_of_a_key_do_not_explain_it():
+    odd = "Zq8x/7Lw2Pk+Vt5Rm9Yc3Hn"
+    bearer = f"Authorization: Bearer {odd}"
+    far = "some words " * 45  # the other copy straddles the edge of the surroundings
+    assert _novel(f"{bearer}\n{bearer} end", f"{odd} was seen before; {bearer}", f"{bearer} {far}{odd}", f"{odd} {far} {bearer}",
+                  f"key={odd}== {bearer}") == [[odd, odd], [odd], [odd], [odd], [odd + "==", odd]]
+
+
 def test_overlapping_spans_are_masked_once():
     text = 'x token="0123456789abcdef01" y'
     assert secrets._masked(text, secrets.plain_spans(text), "#") == 'x #" y'

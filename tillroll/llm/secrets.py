@@ -1,12 +1,13 @@
 """Secret scan: three fixed patterns, and dictionary-primed compression novelty.
 
 Novelty: a candidate is a run of key-like characters after a sensitive word; at "=" a run is split
-into name and value, so that the name is part of the value's context. A zstandard compressor primed with the text around it and with common code identifiers
-compresses the candidate alone; the bytes it needs beyond an empty frame, per character, are its
-novelty. A name or a value that the surroundings or the identifiers explain costs little; a random
-key costs almost a byte per character and is reported. A compressor primed with so little text
-can't tell a rare word from random letters, so a candidate without digits must also be unlike
-words: most of its letter pairs are none that words are made of.
+into name and value, so that the name is part of the value's context. A zstandard compressor primed
+with the text around it, less copies of the candidate, and with common code identifiers compresses
+the candidate alone; the bytes it needs beyond an empty frame, per character, are its novelty. A
+name or a value that the surroundings or the identifiers explain costs little; a random key costs
+almost a byte per character and is reported. A compressor primed with so little text can't tell a
+rare word from random letters, so a candidate without digits must also be unlike words: fewer of its
+letter pairs are common ones than in words.
 """
 
 from __future__ import annotations
@@ -96,6 +97,14 @@ def like_words(candidate: str, common: float) -> bool:
     return sum(p in PAIRS for p in pairs) >= common * len(pairs)
 
 
+def _surroundings(text: str, a: int, b: int, around: int) -> str:
+    """The text on both sides of a candidate, blank where the candidate (less padding) stands again."""
+    same = text[a:b].rstrip("=")
+    blank, n = " " * len(same), b - a
+    before = text[max(0, a - around - n):a].replace(same, blank)
+    return before[max(0, len(before) - around):] + " " + text[b:b + around + n].replace(same, blank)[:around]
+
+
 def novel_spans(text: str, candidates: list[tuple[int, int]], params: SecretParams) -> list[tuple[str, int, int]]:
     """Candidates (code points) in a sensitive context that their surroundings don't explain."""
     out = []
@@ -106,7 +115,7 @@ def novel_spans(text: str, candidates: list[tuple[int, int]], params: SecretPara
         if like_words(text[a:b], params.common):
             continue
         candidate = text[a:b].encode()
-        around = (text[max(0, a - params.around):a] + " " + text[b:b + params.around]).encode("utf-8", "surrogatepass")
+        around = _surroundings(text, a, b, params.around).encode("utf-8", "surrogatepass")
         if marginal_bytes(candidate, around) >= params.novelty * len(candidate):
             out.append(("novel", a, b))
     return out
