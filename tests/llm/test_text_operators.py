@@ -118,6 +118,15 @@ def test_copies_of_a_key_do_not_explain_it():
                   f"key={odd}== {bearer}") == [[odd, odd], [odd], [odd], [odd], [odd + "==", odd]]
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+                                      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_random_strings_of_any_length_are_novel(alphabet):
+    draw = random.Random(11)
+    keys = ["".join(draw.choices(alphabet, k=n)) for n in (24, 60, 61, 64, 80, 160, 400, 800, 1600, 6400)]
+    assert _novel(*[f"bearer {k} end" for k in keys]) == [[k] for k in keys]
+    assert _novel("bearer " + "A1" * 400, "bearer " + "/session/config1/default/string/object" * 9) == [[], []]
+
+
 def test_overlapping_spans_are_masked_once():
     text = 'x token="0123456789abcdef01" y'
     assert secrets._masked(text, secrets.plain_spans(text), "#") == 'x #" y'

@@ -51,6 +51,8 @@ IDENTIFIERS = (
     "Authorization Bearer Basic username password secret key value default host port localhost database "
     "connection session cookie header request response content application json https http www com org version "
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ").encode()
+#: Fixed values of zstandard: a block's header; literals of a block up to this size are stored raw.
+BLOCK_HEADER, BLOCK = 3, 60
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[list(b"0123456789abcdef")] = True
@@ -83,10 +85,20 @@ def plain_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def marginal_bytes(candidate: bytes, surroundings: bytes) -> int:
-    """Bytes that the candidate adds to a frame whose dictionary holds its surroundings."""
+    """Bytes that the candidate adds to a frame whose dictionary holds its surroundings.
+
+    Long candidates go in as blocks too short for entropy coding, which would pack random characters
+    to their alphabet's entropy; each block still finds matches in all that stands before it.
+    """
     primed = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + surroundings, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     compressor = zstandard.ZstdCompressor(level=3, dict_data=primed, write_checksum=False, write_content_size=False)
-    return len(compressor.compress(candidate)) - len(compressor.compress(b""))
+    empty = len(compressor.compress(b""))
+    if len(candidate) <= BLOCK:
+        return len(compressor.compress(candidate)) - empty
+    stream, size = compressor.compressobj(size=len(candidate)), 0
+    for k in range(0, len(candidate), BLOCK):
+        size += len(stream.compress(candidate[k:k + BLOCK])) + len(stream.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)) - BLOCK_HEADER
+    return size + len(stream.flush()) - empty
 
 
 def like_words(candidate: str, common: float) -> bool:
