@@ -243,3 +243,23 @@ def test_small_payloads_are_all_stored(spark, make):
 ])
 def test_rendering(page, text):
     assert html_text.render(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<style>@media print { .main, nav {display:none} }</style><nav>n</nav><p class=main>m", "n\n\nm"),
+    ("<style media=print>.main{display:none}</style><p class=main>m", "m"),
+    ("<style>@media screen{.x{display:none}} @media (max-width:6em){.y{display:none}} .w{display:none}</style><p class=x>no<p class=y>yes<p class=w>no", "yes"),
+    ("<style>.tab{display:none} .tab.active{display:block}</style><p class=tab>no</p><p class='tab active'>yes</p>", "yes"),
+    ("<style>.x{display:none} .x{display:block}</style><p class=x>yes", "yes"),
+    ("<style>.x{display:block} .x{display:none}</style><p class=x>no", ""),
+    ("<style>#a{display:none} .x{display:block}</style><p class=x id=a>no", ""),
+    ("<style>.m{display:none} .m:hover{display:block}</style><p class=m>no", ""),
+    ("<style>.m{display:none} .open .m, .a > .m{display:block}</style><p class=m>no</p><div class=open><b><i class=m>yes</i></b></div><div class=a><b><i class=m>no</i></b><i class=m>too</i></div>", "yes\ntoo"),
+    ("<style>/* .x{display:none} */ .y{backface-visibility:hidden}</style><p class=x>yes<p class=y>yes", "yes\n\nyes"),
+    ("<style>.x{display:none}</style><p class=x style='display:block'>yes", "yes"),
+    ("<div data-n=O'Brien>Hello</div><p>Don't go</p>", "Hello\n\nDon't go"),
+    ("<a href='x>y' title=\"a>b\" c = 'd>e'>t</a>", "t"), ("<p title=it's hidden>no</p>x", "x"),
+    ("<a href=\"u'>t</a><p>w</p>", "t\n\nw"),
+])
+def test_visible_text_of_styles_and_quotes(page, text):
+    assert html_text.render(page) == text
