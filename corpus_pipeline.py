@@ -28,36 +28,49 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *[F.col("lang_pred").alias("lang") if c == "lang" else c for c in docs.columns])
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """The documents with an ``__id``: the doc_id, or for rows without one a number beyond all ids,
+    the same for equal texts. Only rows without a doc_id are shuffled."""
+    nameless = docs.filter("doc_id is null")
+    if not nameless.limit(1).count():
+        return docs.withColumn("__id", F.col("doc_id").cast("long"))
+    digest = F.sha2(F.concat(F.col("text").isNull().cast("string"), F.coalesce("text", F.lit(""))), 256)
+    beyond = docs.agg(F.greatest(F.max("doc_id").cast("long"), F.lit(-1).cast("long"))).first()[0] + 1
+    numbers = written(nameless.select(digest.alias("__digest")).distinct()
+                      .withColumn("__id", F.lit(beyond).cast("long") + F.monotonically_increasing_id()), "numbers")
+    numbered = nameless.withColumn("__digest", digest).join(numbers, "__digest").drop("__digest")
+    return docs.filter("doc_id is not null").withColumn("__id", F.col("doc_id").cast("long")).unionByName(numbered)
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9 at a similarity of 0.8: of each group of linked documents only the one with the
     smallest doc_id stays.
 
     Rows that repeat a doc_id are one document, of which the row with the smallest text stays (if
-    one of them is kept at all); rows without a doc_id stay, one for each text. Rows of other ids
-    are not shuffled: which ids go or repeat is found on ids alone.
+    one of them is kept at all). Of rows without a doc_id those with equal texts are one document;
+    it comes after all that have an id. Rows of other ids are not shuffled: which ids go or repeat
+    is found on ids alone.
     """
     prepare(spark)
-    found = written(near_dedup.near_duplicates(docs, params=NEAR).select("doc_id", "kept"), "kept")
+    rows = named(docs)
+    found = written(near_dedup.near_duplicates(rows, "__id", params=NEAR).select("doc_id", "kept"), "kept")
     by_id = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
-    special = written(by_id.filter("not kept or rows > 1 or doc_id is null"), "special")
-    plain, rest = parted(docs, "doc_id", special, "doc_id")
-    looked_up = rest.join(special.withColumnRenamed("doc_id", "special_id"), rest["doc_id"].eqNullSafe(F.col("special_id")), "left")
+    special = written(by_id.filter("not kept or rows > 1").withColumnRenamed("doc_id", "special_id"), "special")
+    plain, rest = parted(rows, "__id", special, "special_id")
+    looked_up = rest.join(special, rest["__id"] == special["special_id"], "left")
     stays = looked_up.filter("rows is null").select(*docs.columns)
-    repeated = looked_up.filter("kept and (rows > 1 or special_id is null) and rows is not null")
-    columns = [F.col(c) for c in docs.columns]
-    one = F.min(F.struct(F.coalesce("text", F.lit("")).alias("__text"), *columns)).alias("one")
-    named = repeated.filter("doc_id is not null").groupBy("doc_id").agg(one)
-    unnamed = repeated.filter("doc_id is null").groupBy("text").agg(one)
-    kept = [df.select(*[F.col(f"one.`{c}`") for c in docs.columns]) for df in (named, unnamed)]
-    return plain.unionByName(stays).unionByName(kept[0]).unionByName(kept[1]).select(*docs.columns)
+    one = F.min(F.struct(F.coalesce("text", F.lit("")).alias("__text"), *[F.col(c) for c in docs.columns])).alias("one")
+    repeated = looked_up.filter("kept and rows > 1").groupBy("__id").agg(one).select(*[F.col(f"one.`{c}`") for c in docs.columns])
+    return plain.select(*docs.columns).unionByName(stays).unionByName(repeated)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that hold a window of a benchmark item go (all rows of their ids)."""
     prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontaminate.decontaminate(docs, benchmark).filter("n_hit > 0").select("doc_id").distinct()
-    return without(docs, "doc_id", written(hit, "hit"), "doc_id").select(*docs.columns)
+    rows = named(docs)
+    hit = decontaminate.decontaminate(rows, benchmark, "__id").filter("n_hit > 0").select("doc_id").distinct()
+    return without(rows, "__id", written(hit.withColumnRenamed("doc_id", "hit_id"), "hit"), "hit_id").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

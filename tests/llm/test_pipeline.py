@@ -49,3 +49,16 @@ def test_near_copies_are_linked_from_a_similarity_of_80_percent(spark, tmp_dir):
     at_80, at_85 = ({i for i, (_, _, k) in brute(rows, percent).items() if k} for percent in (80, 85))
     got = {r["doc_id"] for r in corpus_pipeline.deduplicate(spark, _documents(spark, rows), tmp_dir).collect()}
     assert got == at_80 != at_85
+
+
+def test_rows_without_an_id_are_deduplicated_and_cleaned(spark, tmp_dir):
+    words = [f"v{k}" for k in range(100)]
+    copy = lambda at: " ".join("other" if k == at else w for k, w in enumerate(words))
+    alone = " ".join(f"u{k}" for k in range(100))
+    docs = _documents(spark, [(7, copy(-1)), (None, copy(-1)), (None, copy(50)), (None, alone), (None, alone + " end"), (None, "a few other words")])
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.deduplicate(spark, docs, tmp_dir).collect()]
+    assert (7, copy(-1)) in out and (None, "a few other words") in out and len(out) == 3
+    assert len({(None, alone), (None, alone + " end")} & set(out)) == 1
+    spark.createDataFrame([(1, "some benchmark passage")], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    docs = _documents(spark, [(None, "has some benchmark passage inside"), (None, "clean"), (3, "clean too"), (4, "some benchmark passage")])
+    assert {r["text"] for r in corpus_pipeline.clean_of_benchmark(spark, docs, tmp_dir).collect()} == {"clean", "clean too"}
