@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, and DuckDB SQL where it exists.
+"""The registered queries of the operators and the pipeline, and DuckDB SQL where it exists.
 
 Each query applies its operator with production parameters to its whole table and derives the
 digest columns from the operator's own output.
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, chat, decontaminate, html_text, langid, merkle, near_dedup, quality, secrets, warc
+from tillroll.llm import bpe, chat, decontaminate, html_text, langid, merkle, near_dedup, quality, secrets, token_files, warc
 from tillroll.llm.scratch import prepare
 
 
@@ -105,11 +105,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    encoded = token_files.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    manifest = token_files.write_token_files(encoded, token_files.token_folder(spark))
+    return token_files.read_token_files(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_language, op2_merkle, op3_html, op4_quality, op5_warc, op6_decontaminate, op7_bpe, op8_chat, op9_near_dedup, op10_secrets)
+    own = (op1_language, op2_merkle, op3_html, op4_quality, op5_warc, op6_decontaminate, op7_bpe, op8_chat, op9_near_dedup, op10_secrets, op13_token_files)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
