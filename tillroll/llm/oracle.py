@@ -64,5 +64,32 @@ o AS (SELECT s.doc_id, len(s.x)::BIGINT AS n_shingles, coalesce(root.root, s.doc
 SELECT *, doc_id = component_id AS kept FROM o"""
 
 
+_OP12_START = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+e AS MATERIALIZED (SELECT r, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+s AS (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS c, x FROM v
+      QUALIFY row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), x) <= 40),
+m0 AS MATERIALIZED (SELECT c, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM s)"""
+
+_OP12_ASSIGN = """,
+a{k} AS MATERIALIZED (
+  SELECT r, arg_min(c, struct_pack(d := d, c := c)) AS c, min(d) AS d FROM (
+    SELECT e.r, m.c, sum((e.x - m.x) * (e.x - m.x)) AS d FROM e JOIN m{k} m USING (i) GROUP BY e.r, m.c) GROUP BY r)"""
+
+_OP12_MOVE = """,
+n{k} AS (SELECT c, i, sum(x) AS total, count(*) AS n FROM a{k} JOIN e USING (r) GROUP BY c, i),
+m{next} AS MATERIALIZED (
+  SELECT c, i, coalesce((total - ((total % n) + n) % n) // n, x)::BIGINT AS x FROM m{k} LEFT JOIN n{k} USING (c, i))"""
+
+_OP12_END = """
+SELECT v.vec_id, a5.c::INTEGER AS cluster, a5.d::BIGINT AS distance, (sum(a5.d) OVER (PARTITION BY a5.c))::BIGINT AS cluster_inertia,
+  (sum(a5.d) OVER ())::BIGINT AS inertia, h.sha AS centroid_sha256
+FROM a5 JOIN v USING (r) JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS sha FROM m5 GROUP BY c) h ON h.c = a5.c"""
+
+OP12 = _OP12_START + "".join(_OP12_ASSIGN.format(k=k) + _OP12_MOVE.format(k=k, next=k + 1) for k in range(5)) + _OP12_ASSIGN.format(k=5) + _OP12_END
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5, "op6_decontaminate": OP6, "op8_chat": OP8, "op9_near_dedup": OP9}
+    return {"op5_warc": OP5, "op6_decontaminate": OP6, "op8_chat": OP8, "op9_near_dedup": OP9, "op12_clusters": OP12}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, chat, decontaminate, html_text, langid, merkle, near_dedup, quality, secrets, token_files, warc
+from tillroll.llm import bpe, chat, clustering, decontaminate, html_text, langid, merkle, near_dedup, quality, secrets, token_files, warc
 from tillroll.llm.scratch import prepare
 
 
@@ -105,6 +105,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.describe_clusters(*clustering.cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     encoded = token_files.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -118,5 +122,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_language, op2_merkle, op3_html, op4_quality, op5_warc, op6_decontaminate, op7_bpe, op8_chat, op9_near_dedup, op10_secrets, op13_token_files)
+    own = (op1_language, op2_merkle, op3_html, op4_quality, op5_warc, op6_decontaminate, op7_bpe, op8_chat, op9_near_dedup, op10_secrets, op12_clusters, op13_token_files)
     return {f.__name__: f for f in own} | {"pipeline": pipeline}
