@@ -64,6 +64,50 @@ o AS (SELECT s.doc_id, len(s.x)::BIGINT AS n_shingles, coalesce(root.root, s.doc
 SELECT *, doc_id = component_id AS kept FROM o"""
 
 
+# Damage by CRC-32, then a table of cheapest edits that grows by one turn a step (of each conversation
+# and grammar state the cheapest, ASCII-least one), with the repaired turns beside the edits.
+OP11 = r"""
+WITH RECURSIVE crc AS (SELECT list(t ORDER BY b) AS tab FROM (SELECT b, list_reduce(list_concat([b::BIGINT], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(b))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+m AS (SELECT k.*, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT)),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM k, crc),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM m WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS before FROM d),
+t AS MATERIALIZED (SELECT *, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again > 1 THEN 'd'
+        WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN '-' ELSE 't' END AS f FROM n),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank,
+        count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+        count(*) FILTER (n > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS turns FROM t GROUP BY conv_id),
+ins(g, to_g, cost, a, o) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']),
+        (1, 1, 0, '', []::VARCHAR[]), (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []::VARCHAR[]),
+        (2, 3, 3, 'I', ['assistant:']), (3, 3, 0, '', []::VARCHAR[]), (3, 2, 3, 'I', ['user:'])),
+keep(g, r, to_g) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+put(g, role, to_g) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+p(conv_id, n, g, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, struct_pack(cost := 0, audit := '', texts := []::VARCHAR[]) FROM stats
+  UNION ALL
+  SELECT conv_id, n, g, min(best) FROM (
+    SELECT p.conv_id, t.n, e.to_g AS g, struct_pack(cost := p.best.cost + i.cost + e.cost, audit := p.best.audit || i.a || e.a,
+           texts := list_concat(list_concat(p.best.texts, i.o), CASE WHEN e.a = 'D' THEN []::VARCHAR[] ELSE [e.role || ':' || t.text] END)) AS best
+    FROM p JOIN ins i ON i.g = p.g JOIN t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.n = p.n + 1
+    JOIN LATERAL (SELECT 'D' AS a, 4 AS cost, i.to_g AS to_g, '' AS role
+      UNION ALL SELECT 'K', CASE WHEN t.f = 't' THEN 3 ELSE 0 END, keep.to_g, t.role FROM keep WHERE keep.g = i.to_g AND keep.r = t.r AND t.f IN ('-', 't')
+      UNION ALL SELECT 'R', CASE WHEN t.f = 't' THEN 6 ELSE 3 END, put.to_g, put.role FROM put WHERE put.g = i.to_g AND t.f IN ('-', 't')) e ON true)
+  GROUP BY conv_id, n, g),
+z AS (SELECT p.conv_id, min(struct_pack(cost := best.cost + i.cost, audit := best.audit || i.a, texts := list_concat(best.texts, i.o))) AS best
+      FROM p JOIN stats s ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.turns = p.n JOIN ins i ON i.g = p.g WHERE i.to_g IN (0, 3) GROUP BY p.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(z.best.cost, 0)::BIGINT AS cost,
+  coalesce(z.best.audit, '') AS audit, sha256(coalesce(array_to_string(z.best.texts, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 _OP12_START = """
 WITH v AS MATERIALIZED (
   SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
@@ -92,4 +136,4 @@ OP12 = _OP12_START + "".join(_OP12_ASSIGN.format(k=k) + _OP12_MOVE.format(k=k, n
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5, "op6_decontaminate": OP6, "op8_chat": OP8, "op9_near_dedup": OP9, "op12_clusters": OP12}
+    return {"op5_warc": OP5, "op6_decontaminate": OP6, "op8_chat": OP8, "op9_near_dedup": OP9, "op11_repair": OP11, "op12_clusters": OP12}
