@@ -136,8 +136,9 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    encoded = token_files.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    manifest = token_files.write_token_files(encoded, token_files.token_folder(spark))
+    documents = table(spark, sf_dir, "documents")
+    encoded = token_files.encode_documents(documents, public_tokenizers.path("word_bpe_49k.json"))
+    manifest = token_files.write_token_files(encoded, token_files.token_folder(spark), doc_ids=documents.select("doc_id"))
     return token_files.read_token_files(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ class TokenFileParams:
     width: int = 2
     file_ids: int = 64 << 20
     file_docs: int = 4 << 20
-    cache: int = 200_000
+    cache: int = 500_000
     piece: int = 4 << 20
 
 
@@ -60,7 +61,7 @@ class WordEncoder:
     is bounded whatever the number of different words.
     """
 
-    LONGEST = 64
+    LONGEST, TOGETHER = 64, 200
 
     def __init__(self, path: str, width: int, cache: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task; Spark runs the tasks
@@ -75,36 +76,47 @@ class WordEncoder:
         parts = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in probe.split()]
         return sum(parts, []) == self.tokenizer.encode(probe, add_special_tokens=False).ids
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Each word's ids. Some hundred words go to the library as one text; the ids' places tell the words."""
+        out = []
+        for at in range(0, len(words), self.TOGETHER):
+            some = words[at:at + self.TOGETHER]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, starts = np.array(found.ids, self.kind), np.array([a for a, _ in found.offsets], np.int64)
+            ends = np.cumsum([len(w) + 1 for w in some])
+            raw, cuts = ids.tobytes(), (np.searchsorted(starts, ends) * ids.itemsize).tolist()
+            out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        return out
 
     def _remember(self, words: set[str]) -> None:
         """All given words into the young generation."""
         if len(self.young) + len(words) > self.limit:
             self.young, self.old = {}, self.young
-        fresh = []
-        for word in words:
-            known = self.old.get(word)
-            if known is None:
-                fresh.append(word)
-            else:
-                self.young[word] = known
-        for word, ids in zip(fresh, self._encode(fresh)):
-            self.young[word] = ids
+        fresh = list(words.difference(self.old))
+        self.young.update((w, self.old[w]) for w in words.difference(fresh))
+        self.young.update(zip(fresh, self._encode(fresh)))
 
     def encode(self, text: str) -> bytes:
         """The text's ids, little-endian."""
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
-            return self._encode([text])[0]
-        out, at = [], 0
-        while at < len(text):
-            end = at + _CUT_FROM
-            if end < len(text):
-                end = self._cut(text, end)
-            out.append(self._words(text[at:end]))
-            at = end
-        return b"".join(out)
+            return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for k, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                end = self._cut(text, at + _CUT_FROM)
+                held.append((k, text[at:end].replace("\n", " ").split(" ")))
+                size += end - at
+                if size >= _CUT_FROM:
+                    self._words(held, out)
+                    held, size = [], 0
+                at = end
+        self._words(held, out)
+        return [b"".join(parts) for parts in out]
 
     @staticmethod
     def _cut(text: str, at: int) -> int:
@@ -112,17 +124,32 @@ class WordEncoder:
         found = [k for k in (text.find(" ", at), text.find("\n", at)) if k >= 0]
         return min(found, default=len(text))
 
-    def _words(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        missing = {w for w in words if w not in self.young}
+    def _words(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        """The ids of some texts' words, to the texts' parts."""
+        every = set()
+        for _, words in held:
+            every.update(words)
+        missing = every.difference(self.young)
+        known = self.young
         if missing:
             self._remember({w for w in missing if len(w) <= self.LONGEST})
-            rest = [w for w in set(words) if w not in self.young]  # long ones, and those that just grew old
+            known = self.young
+            rest = list(every.difference(known))  # long ones, and those that just grew old
             if rest:
-                other = dict(zip(rest, self._encode(rest)))
-                return b"".join([other[w] if w in other else self.young[w] for w in words])
-        young = self.young
-        return b"".join([young[w] for w in words])
+                known = {w: known[w] for w in every.difference(rest)} | dict(zip(rest, self._encode(rest)))
+        for k, words in held:
+            out[k].append(b"".join(map(known.__getitem__, words)))
+
+
+_encoders: dict[tuple, WordEncoder] = {}
+
+
+def _encoder(*key) -> WordEncoder:
+    """One encoder a Python worker, whose memory its later tasks find filled."""
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = WordEncoder(*key)
+    return _encoders[key]
 
 
 def encode_documents(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -133,20 +160,28 @@ def encode_documents(documents: DataFrame, tokenizer: str, id_col: str = "doc_id
     end = b"" if params.end_id is None else int(params.end_id).to_bytes(width, "little")
 
     def run(batches):
-        encoder = WordEncoder(tokenizer, width, cache)
+        encoder = _encoder(tokenizer, width, cache)
         for batch in batches:
-            ids, size, start = [], 0, 0
-            for k, text in enumerate(batch.column(1)):
-                ids.append(encoder.encode(text.as_py() or "") + end)
-                size += len(ids[-1])
-                if size >= 4 << 20 or k == batch.num_rows - 1:
-                    yield pa.record_batch([batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-                    ids, size, start = [], 0, k + 1
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for i, j in _runs(lengths, 1 << 20):
+                texts = [t or "" for t in batch.column(1).slice(i, j - i).to_pylist()]
+                ids = [b + end for b in encoder.encode_many(texts)]
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "doc_id long, ids binary")
 
 
+def _runs(lengths: np.ndarray, size: int):
+    """(start, end) of consecutive rows of about ``size`` bytes, at least one."""
+    total, at = np.cumsum(lengths), 0
+    while at < len(lengths):
+        done = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, done + size, "right")))
+        yield at, end
+        at = end
+
+
 class TokenFileWriter:
     """One file; documents come in ascending doc_id order, those without one first."""
 
@@ -218,21 +253,22 @@ class TokenFile:
 
 
 def write_token_files(encoded: DataFrame, folder: str, params: TokenFileParams = TokenFileParams(),
-                      ranges: int | None = None) -> DataFrame:
+                      ranges: int | None = None, doc_ids: DataFrame | None = None) -> DataFrame:
     """Writes (doc_id, ids) to files in ``folder`` (shared by all executors) and returns the
     committed manifest (path, documents, ids, first_document, first_id): how many documents and ids
     the files before it hold.
 
     Documents stand in ascending doc_id order, those without one first; rows that repeat a doc_id
-    all stay, in the order of their ids' bytes. Range limits come from a scan of the doc_id column
-    alone, so texts are encoded once and only their ids are shuffled. ``ranges``: two per shuffle
-    partition if not given.
+    all stay, in the order of their ids' bytes. Range limits come from ``doc_ids`` (a frame with the
+    same doc_id column, best the table that ``encoded`` was made of, as a scan of that column alone
+    then does; ``encoded`` itself if not given). Only ids are shuffled, once. ``ranges``: two per
+    shuffle partition if not given.
     """
     spark = encoded.sparkSession
     width, file_ids, file_docs = params.width, params.file_ids, params.file_docs
     n = max(1, ranges or 2 * shuffle_width(spark))
     shares = [k / n for k in range(1, n)]
-    limits = encoded.select("doc_id").agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else None
+    limits = (encoded if doc_ids is None else doc_ids).select(F.col("doc_id").cast("long").alias("doc_id")).agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else None
     cuts = sorted(set(limits or []))
     cuts = np.unique(np.array(limits or [], np.int64))
 
