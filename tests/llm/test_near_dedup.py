@@ -82,3 +82,12 @@ def test_signatures_estimate_similarity_and_sketches_lose_no_link():
         sketch = [nd.parity_sketch(s, params.parity_bits)[None] for s in (a, b)]
         may = nd.may_link(np.array([len(a)]), np.array([len(b)]), *sketch, params.percent)[0]
         assert may or true < 0.85
+
+
+def test_rows_without_an_id_are_linked(make):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in "abc")
+    rows = [(None, a), (None, a), (None, a + " end"), (None, b), (3, b), (4, b), (None, c), (5, ""), (None, ""), (None, None)]
+    got = [tuple(r) for r in nd.near_duplicates(make(rows)).collect()]
+    assert sum(kept for i, n, component, kept in got if component is None and n in (56, 57)) == 2  # one of a's, and c
+    assert {(i, kept) for i, n, component, kept in got if component == 3} == {(3, True), (4, False), (None, False)}
+    assert [kept for i, n, component, kept in got if not n] == [True] * 3 and len(got) == len(rows)

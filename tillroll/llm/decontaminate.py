@@ -13,7 +13,6 @@ collision can't add a hit and no pair of a common k-gram is formed that isn't a
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import bytesets as bs
-from tillroll.llm.scratch import written
+from tillroll.llm.scratch import row_key, written
 
 #: Bytes outside words: all of ASCII but digits and letters (upper case is lowered first).
 WORD = bs.byte_table(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
@@ -131,9 +130,8 @@ def _scan(docs: DataFrame, bitmaps, params: WinnowParams) -> DataFrame:
                     for at, words in zip(maybe.tolist(), _window_texts(raw, begin, end, maybe, size)):
                         k = int(of[at])
                         found[k].append({"start": at - int(first[k]), "size": size, "window": words})
-                keys = [hashlib.blake2b(repr(d).encode() + data[offsets[i + k]:offsets[i + k + 1]].tobytes(), digest_size=16).digest() for k, d in enumerate(ids)]
                 yield pa.record_batch([
-                    pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(np.diff(first).astype(np.int64)),
+                    pa.array(ids, pa.int64()), batch.column(2).slice(i, j - i), pa.array(np.diff(first).astype(np.int64)),
                     pa.array(found, pa.list_(window))], ["doc_id", "row_key", "n_words", "hits"])
 
     return docs.mapInArrow(run, "doc_id long, row_key binary, n_words long, hits array<struct<start:int,size:int,window:binary>>")
@@ -142,7 +140,7 @@ def _scan(docs: DataFrame, bitmaps, params: WinnowParams) -> DataFrame:
 def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text",
                   params: WinnowParams = WinnowParams()) -> DataFrame:
-    """(doc_id, n_words, n_hit, item_ids, spans), one row per document row.
+    """(doc_id, row_key, n_words, n_hit, item_ids, spans), one row per document row.
 
     ``spans`` are the merged runs of hit words (start, end; end exclusive), ``item_ids`` the
     distinct items with a window in the document, sorted as strings. Null and wordless texts have
@@ -150,7 +148,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     once; an item with a null id hits words but is not listed. Documents that repeat a doc_id each
     keep their row. Only the named columns are read.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key"))
     items = written(item_windows(benchmark, item_col, item_text_col, params).distinct(), "items")
     bitmaps = docs.sparkSession.sparkContext.broadcast(_bitmap(items, params.filter_bits))
     scanned = written(_scan(docs, bitmaps, params), "scan")
@@ -167,7 +165,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     covered = matched.select("row_key", "start", "size").distinct().groupBy("row_key").agg(merged.alias("spans"))
     result = covered.join(listed, "row_key", "left")
     return (scanned.select("doc_id", "row_key", "n_words").join(result, "row_key", "left").select(
-        "doc_id", "n_words",
+        "doc_id", "row_key", "n_words",
         F.coalesce(F.expr("aggregate(spans, 0L, (s, w) -> s + w.end - w.start)"), F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("item_ids", F.expr("cast(array() as array<string>)")).alias("item_ids"),
         F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias("spans")))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import bytesets as bs
 from tillroll.llm.components import connected_components
-from tillroll.llm.scratch import probably_in, written
+from tillroll.llm.scratch import probably_in, row_key, written
 
 WORD = bs.byte_table("\x20\x09\x0a\x0b\x0c\x0d")
 
@@ -137,7 +137,7 @@ def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, percent
 
 
 def sign(docs: DataFrame, params: NearDedupParams) -> DataFrame:
-    """(doc_id, n_shingles, node, bands, sig, parity) of each (doc_id, text) row; node is null for an empty set."""
+    """(doc_id, key, n_shingles, node, bands, sig, parity) of each (doc_id, text, key) row; node is null for an empty set."""
     n_bytes = params.minima * params.bits // 8
 
     def run(batches):
@@ -159,11 +159,11 @@ def sign(docs: DataFrame, params: NearDedupParams) -> DataFrame:
                     low = minima(sets, edges[:-1], params)
                     keys[full], packed[full] = band_keys(low, params), pack_low_bits(low, params.bits)
                 yield pa.record_batch([
-                    batch.column(0).slice(i, j - i), pa.array(counts), pa.array(node, pa.binary()),
+                    batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(counts), pa.array(node, pa.binary()),
                     bs.list_column(pa.array(keys.view(np.int64).ravel()), np.full(j - i, params.bands)),
-                    bs.binary_column(packed), bs.binary_column(parity)], ["doc_id", "n_shingles", "node", "bands", "sig", "parity"])
+                    bs.binary_column(packed), bs.binary_column(parity)], ["doc_id", "key", "n_shingles", "node", "bands", "sig", "parity"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node binary, bands array<long>, sig binary, parity binary")
+    return docs.mapInArrow(run, "doc_id long, key binary, n_shingles long, node binary, bands array<long>, sig binary, parity binary")
 
 
 def _matrix(column) -> np.ndarray:
@@ -193,13 +193,12 @@ def _estimated(pairs: DataFrame, classes: DataFrame, params: NearDedupParams) ->
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, params: NearDedupParams) -> DataFrame:
     """Of the pairs (u, v) those whose full shingle sets reach the threshold.
 
-    Only texts of classes that occur in a pair are read again and shuffled: a fixed-size bitmap of
-    their document ids filters the scan.
+    Only texts of classes that occur in a pair are read again and shuffled, one text a class: a
+    fixed-size bitmap of their row keys filters the scan.
     """
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = written(classes.select("node", "first_id").join(nodes, "node"), "wanted")
-    texts = probably_in(docs, "doc_id", wanted, "first_id").join(
-        wanted.withColumnRenamed("first_id", "doc_id"), "doc_id").select("node", "text")
+    wanted = written(classes.select("node", "key").join(nodes, "node"), "wanted")
+    texts = probably_in(docs.select("key", "text"), "key", wanted, "key").join(wanted, "key").select("node", "text")
     size, percent = params.shingle, params.percent
 
     def collect_sets(batches):
@@ -294,23 +293,23 @@ def _across(members: DataFrame, params: NearDedupParams) -> DataFrame:
     return dealt.mapInArrow(run, "u binary, v binary").distinct()
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    params: NearDedupParams = NearDedupParams()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row.
+def linked_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                params: NearDedupParams = NearDedupParams()) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, kept, first), one row per input row.
 
-    Null or wordless texts have an empty set, are linked with nothing and kept; fewer words than
-    a shingle count as one shingle. Rows that repeat a doc_id each keep their row; ties (equal
-    texts) go to the smallest doc_id. A null doc_id is never the smallest unless a component has
-    no other. Only the two named columns are read, so other columns and their names don't matter.
-    An empty table gives an empty result.
+    ``key`` is the row's :func:`~tillroll.llm.scratch.row_key`. ``kept``: the row has its component's
+    smallest doc_id; in a component without any doc_id one row is kept. ``first`` is true for one
+    row of each component (that with the smallest doc_id, then key) and for all rows with an empty
+    set. Other edge cases as in :func:`near_duplicates`.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = written(sign(docs, params), "signed")
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
+    signed = written(sign(docs, params).withColumn("row", F.monotonically_increasing_id()), "signed")
     found = signed.filter("node is not null")
-    firsts = found.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    # One row stands for each class of equal sets.
+    firsts = found.groupBy("node").agg(F.min("key").alias("first_key"))
     classes = written(
-        found.join(firsts.filter("first_id is not null"), "node").filter("doc_id = first_id")
-        .select("node", "first_id", "n_shingles", "bands", "sig", "parity").dropDuplicates(["node"]), "classes")
+        found.join(firsts, "node").filter("key = first_key")
+        .select("node", "key", "n_shingles", "bands", "sig", "parity").dropDuplicates(["node"]), "classes")
     members = classes.select("node", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).filter("n > 1")
     shared = written(members.join(hubs, "band").select("band", "node", "u"), "bands")
@@ -329,10 +328,27 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         more = _confirmed(more_pairs, docs, classes, params)
         roots = connected_components(links.unionByName(written(more, "links")))
 
-    placed = signed.select("doc_id", "n_shingles", "node").join(
+    placed = written(signed.select("doc_id", "key", "row", "n_shingles", "node").join(
         roots.withColumnRenamed("root", "linked"), signed.node == roots.node, "left").select(
-        "doc_id", "n_shingles", F.coalesce("linked", signed.node).alias("root"))
-    smallest = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least_id"))
+        "doc_id", "key", "row", "n_shingles", F.coalesce("linked", signed.node).alias("root")), "placed")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key", "row")
+    smallest = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least_id"), F.min_by("row", order).alias("first_row"))
+    first = F.coalesce(F.col("row") == F.col("first_row"), F.lit(True))
     return placed.join(smallest, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"),
-        F.coalesce("least_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+        "doc_id", "key", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"),
+        F.when(F.coalesce("least_id", "doc_id").isNull(), first).otherwise(
+            F.coalesce("least_id", "doc_id").eqNullSafe(F.col("doc_id"))).alias("kept"), first.alias("first"))
+
+
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    params: NearDedupParams = NearDedupParams()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row.
+
+    Null or wordless texts have an empty set, are linked with nothing and kept; fewer words than
+    a shingle count as one shingle. Rows that repeat a doc_id each keep their row; ties (equal
+    texts) go to the smallest doc_id. Rows without a doc_id are linked as others are; a component
+    of such rows alone has a null component_id, and one of its rows is kept. Only the two named
+    columns are read, so other columns and their names don't matter. An empty table gives an empty
+    result.
+    """
+    return linked_rows(documents, id_col, text_col, params).select("doc_id", "n_shingles", "component_id", "kept")

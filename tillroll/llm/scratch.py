@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import scratch_path, ship_package
@@ -63,6 +63,12 @@ def without(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
     return surely.unionByName(rest.join(names, rest[column] == names["__gone"], "left_anti"))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """16 bytes that rows share only if they have the same id and text (nulls count as values)."""
+    parts = [F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.col(text_col).isNull().cast("string"), F.coalesce(F.col(text_col), F.lit(""))]
+    return F.unhex(F.md5(F.concat(parts[0], F.lit(":"), parts[1], F.lit(":"), parts[2])))
+
+
 #: Rows and bytes of an Arrow batch that goes to a Python worker, where the session has Spark's
 #: defaults. Texts and sets are long values: batches of the default size cost each task several
 #: hundred MB outside the heap.
