@@ -7,12 +7,12 @@ columns of documents. Empty inputs give empty outputs; null texts are rejected b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import bpe, decontaminate, langid, near_dedup, secrets
 from tillroll.llm.queries import tokenizer
-from tillroll.llm.scratch import parted, prepare, without, written
+from tillroll.llm.scratch import parted, prepare, row_key, without, written
 
 #: Near copies are linked from a similarity of 0.8 (85 % belongs to the op9 query): 50 bands of 6
 #: minima share none at 0.8 with probability 2.5e-7.
@@ -28,49 +28,38 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         *[F.col("lang_pred").alias("lang") if c == "lang" else c for c in docs.columns])
 
 
-def named(docs: DataFrame) -> DataFrame:
-    """The documents with an ``__id``: the doc_id, or for rows without one a number beyond all ids,
-    the same for equal texts. Only rows without a doc_id are shuffled."""
-    nameless = docs.filter("doc_id is null")
-    if not nameless.limit(1).count():
-        return docs.withColumn("__id", F.col("doc_id").cast("long"))
-    digest = F.sha2(F.concat(F.col("text").isNull().cast("string"), F.coalesce("text", F.lit(""))), 256)
-    beyond = docs.agg(F.greatest(F.max("doc_id").cast("long"), F.lit(-1).cast("long"))).first()[0] + 1
-    numbers = written(nameless.select(digest.alias("__digest")).distinct()
-                      .withColumn("__id", F.lit(beyond).cast("long") + F.monotonically_increasing_id()), "numbers")
-    numbered = nameless.withColumn("__digest", digest).join(numbers, "__digest").drop("__digest")
-    return docs.filter("doc_id is not null").withColumn("__id", F.col("doc_id").cast("long")).unionByName(numbered)
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9 at a similarity of 0.8: of each group of linked documents only the one with the
-    smallest doc_id stays.
+    """Operator 9 at a similarity of 0.8: of each group of linked rows only that with the smallest
+    doc_id stays (rows without one come last; of equal ids and of none that with the smallest key).
 
-    Rows that repeat a doc_id are one document, of which the row with the smallest text stays (if
-    one of them is kept at all). Of rows without a doc_id those with equal texts are one document;
-    it comes after all that have an id. Rows of other ids are not shuffled: which ids go or repeat
-    is found on ids alone.
+    Decisions go by row (id and text): different texts under one id are documents of their own, and
+    of rows with equal id and text one stays. Only rows that go or repeat, which are found on keys
+    alone, are shuffled.
     """
     prepare(spark)
-    rows = named(docs)
-    found = written(near_dedup.near_duplicates(rows, "__id", params=NEAR).select("doc_id", "kept"), "kept")
-    by_id = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
-    special = written(by_id.filter("not kept or rows > 1").withColumnRenamed("doc_id", "special_id"), "special")
-    plain, rest = parted(rows, "__id", special, "special_id")
-    looked_up = rest.join(special, rest["__id"] == special["special_id"], "left")
-    stays = looked_up.filter("rows is null").select(*docs.columns)
-    one = F.min(F.struct(F.coalesce("text", F.lit("")).alias("__text"), *[F.col(c) for c in docs.columns])).alias("one")
-    repeated = looked_up.filter("kept and rows > 1").groupBy("__id").agg(one).select(*[F.col(f"one.`{c}`") for c in docs.columns])
-    return plain.select(*docs.columns).unionByName(stays).unionByName(repeated)
+    rows = docs.withColumn("__row_key", row_key("doc_id", "text"))
+    found = near_dedup.linked_rows(docs, params=NEAR).groupBy(F.col("key").alias("__key")).agg(
+        F.count("*").alias("__rows"), F.max("first").alias("__first"))
+    special = written(found.filter("not __first or __rows > 1"), "special")
+    plain, rest = parted(rows, "__row_key", special, "__key")
+    looked_up = rest.join(special, rest["__row_key"] == special["__key"], "left")
+    stays = looked_up.filter("__rows is null").select(*_columns(docs))
+    one = F.min(F.struct(*_columns(docs))).alias("__one")
+    repeated = looked_up.filter("__first and __rows > 1").groupBy("__key").agg(one).select(*[F.col(f"__one.`{c}`") for c in docs.columns])
+    return plain.select(*_columns(docs)).unionByName(stays).unionByName(repeated)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents that hold a window of a benchmark item go (all rows of their ids)."""
+    """Operator 6: documents that hold a window of a benchmark item go, row by row (id and text)."""
     prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = named(docs)
-    hit = decontaminate.decontaminate(rows, benchmark, "__id").filter("n_hit > 0").select("doc_id").distinct()
-    return without(rows, "__id", written(hit.withColumnRenamed("doc_id", "hit_id"), "hit"), "hit_id").select(*docs.columns)
+    hit = decontaminate.decontaminate(docs, benchmark).filter("n_hit > 0").select(F.col("row_key").alias("__hit")).distinct()
+    rows = docs.withColumn("__row_key", row_key("doc_id", "text"))
+    return without(rows, "__row_key", written(hit, "hit"), "__hit").select(*_columns(docs))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
