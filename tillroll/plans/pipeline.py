@@ -11,8 +11,11 @@ Physical plan choices:
   table is bucketed by Reference; each analysis costs one shuffle after partial aggregation.
 * Whether the key condition holds is checked once, with an aggregation over the Reference
   column alone (``reference_is_unique``), unless the caller states it (``unique_reference``),
-  for example for a staging table whose load deduplicated receipts. If it does not hold, the
-  general join forms run, with the bag semantics of the original models.
+  for example for a staging table whose load deduplicated receipts. The check writes the
+  repeated References down; if there are any, staging is split by them: rows with a Reference of
+  their own (or none) still take the receipt-local forms, and the general join forms, with the
+  bag semantics of the original models, read the repeated receipts alone. Both parts' rows are
+  the result, as no join of the models reaches across References; groups by business are merged.
 * Aggregations by business use partial aggregation, so a business holding a third of all
   receipts costs one row per map task in the shuffle; top-k per business is cut in every map
   task before its shuffle (WindowGroupLimit). No broadcast hint is given: small sides are
@@ -21,13 +24,15 @@ Physical plan choices:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import lines, loyalty, normalise, profit, quality, workforce
-from tillroll.sources.staging import reference_is_unique, staging_row_count
+from tillroll.session import scratch_path
+from tillroll.sources.staging import reference_conflicts, split_by_conflict, staging_row_count
 
 MODEL_NAMES = [
     "receipts", "receipt_businesses", "receipt_cashiers", "receipt_customers",
@@ -46,8 +51,9 @@ MODEL_NAMES = [
 class ReceiptModels:
     """Lazy access to every model over one staging DataFrame.
 
-    ``unique_reference``: True/False states whether no two staging rows share a Reference;
-    None checks it on first use of a join-based model. ``leavers`` optionally replaces the
+    ``unique_reference``: True states that no two staging rows share a Reference (receipt-local
+    forms), False that the join forms shall run on all rows; None finds the repeated References on
+    first use of a join-based model and splits the rows by them. ``leavers`` optionally replaces the
     computed leaver counts with a user table (business_name, fiscal_year, num_employee_left).
     """
 
@@ -59,12 +65,34 @@ class ReceiptModels:
         self.top_k = top_k
         self._served: set[str] = set()
 
+    @cached_property
+    def _conflicts(self) -> tuple[DataFrame, int]:
+        """The repeated References, written to the shared scratch folder, and their number."""
+        spark = self.staging.sparkSession
+        path = scratch_path(spark, "repeated-references")
+        reference_conflicts(self.staging).write.parquet(path)
+        found = spark.read.parquet(path)
+        return found, found.count()
+
     @cached_property
     def receipt_local(self) -> bool:
-        """Whether the receipt-local forms apply (no Reference on two rows)."""
-        if self._unique is not None:
-            return self._unique
-        return reference_is_unique(self.staging)
+        """Whether the receipt-local forms apply to all rows (no Reference on two rows)."""
+        return self._unique if self._unique is not None else not self._conflicts[1]
+
+    @cached_property
+    def parts(self) -> list[ReceiptModels]:
+        """Models over the rows with a Reference of their own, and over those that share one."""
+        alone, shared = split_by_conflict(self.staging, *self._conflicts)
+        return [ReceiptModels(alone, unique_reference=True), ReceiptModels(shared, unique_reference=False)]
+
+    def _by_form(self, name: str, local: Callable[[], DataFrame], joined: Callable[[], DataFrame]) -> DataFrame:
+        """Model ``name`` in the form that applies, or both parts' rows."""
+        if self.receipt_local:
+            return local()
+        if self._unique is False:
+            return joined()
+        alone, shared = self.parts
+        return alone.table(name).unionByName(shared.table(name))
 
     def table(self, name: str) -> DataFrame:
         if name not in MODEL_NAMES:
@@ -114,9 +142,8 @@ class ReceiptModels:
     # -- Q1 ----------------------------------------------------------------------------------
     @cached_property
     def business_sales(self) -> DataFrame:
-        if self.receipt_local:
-            return profit.business_sales_in_receipt(self.staging)
-        return profit.business_sales(self.receipts, self.receipt_businesses)
+        return self._by_form("business_sales", lambda: profit.business_sales_in_receipt(self.staging),
+                             lambda: profit.business_sales(self.receipts, self.receipt_businesses))
 
     @cached_property
     def sale_profits(self) -> DataFrame:
@@ -124,23 +151,22 @@ class ReceiptModels:
             # already computed per receipt and written: a projection, plus the group without Reference
             rest = profit.sale_profits_in_receipt(self.staging.filter(F.col("Reference").isNull()))
             return self.business_sales_profits.select(*rest.columns).unionByName(rest)
-        if self.receipt_local:
-            return profit.sale_profits_in_receipt(self.staging)
-        return profit.sale_profits(self.receipt_products, self.receipt_promotions)
+        return self._by_form("sale_profits", lambda: profit.sale_profits_in_receipt(self.staging),
+                             lambda: profit.sale_profits(self.receipt_products, self.receipt_promotions))
 
     @cached_property
     def business_sales_profits(self) -> DataFrame:
-        if self.receipt_local:
-            return profit.business_sales_profits_in_receipt(self.staging)
-        return profit.business_sales_profits(self.business_sales, self.sale_profits)
+        return self._by_form("business_sales_profits", lambda: profit.business_sales_profits_in_receipt(self.staging),
+                             lambda: profit.business_sales_profits(self.business_sales, self.sale_profits))
 
     @cached_property
     def business_monthly_profits(self) -> DataFrame:
-        if self.receipt_local:
-            return profit.business_monthly_profits(self.business_sales_profits)
+        if not self.receipt_local and self._unique is None:
+            alone, shared = self.parts
+            return profit.merged_monthly_profits(alone.business_monthly_profits.unionByName(shared.business_monthly_profits))
         # repeated receipts: sums from counted distinct values, not from the pairs
-        return profit.business_monthly_profits_by_counts(self.receipts, self.receipt_businesses,
-                                                         self.sale_profits)
+        return self._by_form("business_monthly_profits", lambda: profit.business_monthly_profits(self.business_sales_profits),
+                             lambda: profit.business_monthly_profits_by_counts(self.receipts, self.receipt_businesses, self.sale_profits))
 
     @cached_property
     def monthly_profit_series(self) -> DataFrame:
@@ -171,10 +197,22 @@ class ReceiptModels:
     # -- Q3 ----------------------------------------------------------------------------------
     @cached_property
     def business_employees(self) -> DataFrame:
+        if not self.receipt_local and self._unique is None:
+            return self.service.distinct()
+        return self._by_form("business_employees", lambda: workforce.business_employees_in_receipt(self.staging),
+                             lambda: workforce.business_employees(self.receipt_businesses, self.receipt_cashiers, self.receipts))
+
+    @cached_property
+    def service(self) -> DataFrame:
+        """The rows of ``business_employees`` with repeats, where leaving these in saves a shuffle."""
+        if "business_employees" in self._served:
+            return self.business_employees
         if self.receipt_local:
-            return workforce.business_employees_in_receipt(self.staging)
-        return workforce.business_employees(self.receipt_businesses, self.receipt_cashiers,
-                                            self.receipts)
+            return workforce.service_in_receipt(self.staging)
+        if self._unique is False:
+            return self.business_employees
+        alone, shared = self.parts
+        return alone.service.unionByName(shared.business_employees)
 
     @cached_property
     def business_employee_stats(self) -> DataFrame:
@@ -196,6 +234,8 @@ class ReceiptModels:
 
     @cached_property
     def turnover_by_period(self) -> DataFrame:
+        if self._leavers is None and not self._served & {"business_employee_stats", "employees_left"}:
+            return workforce.turnover_from_service(self.service)
         return workforce.turnover_by_period(self.business_employee_stats, self.employees_left)
 
     @cached_property
@@ -205,15 +245,13 @@ class ReceiptModels:
     # -- product lines -----------------------------------------------------------------------
     @cached_property
     def products(self) -> DataFrame:
-        if self.receipt_local:
-            return lines.products_in_receipt(self.staging)
-        return lines.products(self.receipt_products, self.receipt_promotions)
+        return self._by_form("products", lambda: lines.products_in_receipt(self.staging),
+                             lambda: lines.products(self.receipt_products, self.receipt_promotions))
 
     @cached_property
     def sales_details(self) -> DataFrame:
-        if self.receipt_local:
-            return lines.sales_details_in_receipt(self.staging)
-        return lines.sales_details(self.receipts, self.receipt_businesses, self.receipt_products)
+        return self._by_form("sales_details", lambda: lines.sales_details_in_receipt(self.staging),
+                             lambda: lines.sales_details(self.receipts, self.receipt_businesses, self.receipt_products))
 
     # -- load checks and small readers ---------------------------------------------------------
     @cached_property

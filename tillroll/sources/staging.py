@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 STAGING_TABLE = "stg_receipts"
 STAGING_KEY = "Reference"
+# References (of some ten bytes each) that one broadcast may hold.
+MAX_BROADCAST_KEYS = 1_000_000
 
 
 def stage_receipts(df: DataFrame, table: str = STAGING_TABLE, num_buckets: int | None = None
@@ -86,6 +88,18 @@ def reference_conflicts(stg: DataFrame) -> DataFrame:
     return counts.filter((F.col("n") > 1) & F.col(STAGING_KEY).isNotNull())
 
 
+def split_by_conflict(stg: DataFrame, conflicts: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose Reference no other row has, or that have none; rows whose Reference repeats), by
+    the ``n`` References of ``conflicts`` (as :func:`reference_conflicts` gives them).
+
+    Up to ``MAX_BROADCAST_KEYS`` of them are sent to every task, so the wide rows are filtered where
+    they are read; more are joined."""
+    keys = conflicts.select(F.col(STAGING_KEY).alias("_repeated"))
+    keys = F.broadcast(keys) if n <= MAX_BROADCAST_KEYS else keys
+    same = stg[STAGING_KEY] == keys["_repeated"]
+    return stg.join(keys, same, "left_anti"), stg.join(keys, same, "left_semi")
+
+
 def reference_is_unique(stg: DataFrame) -> bool:
     """True when no two staging rows share a Reference; only a boolean reaches the driver."""
     return reference_conflicts(stg).isEmpty()
