@@ -3,8 +3,8 @@ from decimal import Decimal
 import pytest
 
 from tests.edge_receipts import write_documents
-from tillroll.plans import MODEL_NAMES, run_daily, run_pipeline
-from tillroll.sources import RunStore
+from tillroll.plans import MODEL_NAMES, SERVED_BY, ReceiptModels, run_daily, run_pipeline
+from tillroll.sources import RunStore, receipts_from_tables
 
 
 def test_daily_job_writes_every_model(spark, tmp_dir):
@@ -113,7 +113,44 @@ def test_malformed_documents_are_set_aside(spark, tmp_dir):
     with open(os.path.join(src, "bad.json"), "w") as f:
         f.write('{"Total": "no number"}')
     _, tables = run_daily(spark, os.path.join(tmp_dir, "root"), src, strict=False)
-    assert tables["receipts"].count() == 8 and tables["rejected_documents"].count() == 1
+    assert tables["receipts"].count() == 8
+    (bad,) = tables["rejected_documents"].collect()
+    assert bad["_file_path"].endswith("/bad.json") and bad["_corrupt_record"] == '{"Total": "no number"}'
+    outcome = {r["_file_path"].rsplit("/", 1)[1]: (r["num_good"], r["num_bad"]) for r in tables["load_outcome"].collect()}
+    assert outcome.pop("bad.json") == (0, 1) and sum(g for g, _ in outcome.values()) == 8 and not any(b for _, b in outcome.values())
+    assert "_file_path" not in tables["stg_receipts"].columns
+
+
+def test_a_reader_of_one_business_reads_few_files(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from tests.conftest import SMALL_SF
+
+    store = RunStore(spark, f"{tmp_dir}/root")
+    name, keys = "business_monthly_profits", SERVED_BY["business_monthly_profits"]
+    table = ReceiptModels(receipts_from_tables(spark, SMALL_SF), unique_reference=True).table(name)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run = store.new_run()
+        written = store.write(table, run, name, cluster_by=keys)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    store.commit(run)
+    files = written.groupBy("business_name").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert len(written.inputFiles()) >= 6 and files.agg(F.max("n")).first()[0] <= 2
+    one = store.table(name, where="business_name = 'FRANCE'", order_by=["year", "month"])
+    got = [tuple(r) for r in one.collect()]
+    assert got == sorted(got, key=lambda r: (r[2], r[3])) and len(got) == table.filter("business_name = 'FRANCE'").count()
+
+
+def test_customer_totals_are_aggregated_once(spark, tmp_dir):
+    _, tables = run_daily(spark, f"{tmp_dir}/root", write_documents(f"{tmp_dir}/in"))
+    models = ReceiptModels(tables["stg_receipts"], unique_reference=True)
+    state = spark.read.parquet(f"{tmp_dir}/root/runs/{RunStore(spark, f'{tmp_dir}/root').current()}/state_customer_totals")
+    models.use("customer_totals", state)
+    for name in ("business_customers_summary", "top_ten_customers_by_business_value", "top_ten_customers_by_num_purchases"):
+        plan = models.table(name)._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and all("state_customer_totals" in f for f in models.table(name).inputFiles())
+        assert sorted(map(str, models.table(name).collect())) == sorted(map(str, tables[name].collect()))
 
 
 def test_sizing_conf_for_a_large_input():

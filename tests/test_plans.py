@@ -1,5 +1,7 @@
 """Physical plan checks: the plans we want at scale, not just the right rows."""
 
+import re
+
 import pytest
 
 from tests.conftest import SMALL_SF
@@ -117,3 +119,48 @@ def test_reference_check_needs_no_shuffle_on_the_staging_table(staged, unbuckete
 
     assert "Exchange" not in executed(reference_conflicts(staged))
     assert "Exchange hashpartitioning(Reference" in executed(reference_conflicts(unbucketed))
+
+
+@pytest.mark.parametrize("name", ["business_sales", "sale_profits", "business_employees", "products", "sales_details"])
+def test_joins_read_only_repeated_receipts(spark, tmp_path, name):
+    """One repeated Reference doesn't turn the other receipts to joins."""
+    from pyspark.sql import functions as F
+
+    receipts_from_tables(spark, SMALL_SF, repeated=True).write.parquet(str(tmp_path / "stg"))
+    models = ReceiptModels(spark.read.parquet(str(tmp_path / "stg")))
+    assert not models.receipt_local
+    alone, shared = models.parts
+    repeated = {r["Reference"] for r in models.staging.groupBy("Reference").agg(F.count("*").alias("n")).filter("n > 1 and Reference is not null").collect()}
+    assert repeated and {r["Reference"] for r in shared.staging.select("Reference").collect()} == repeated
+    assert alone.staging.count() + shared.staging.count() == models.staging.count()
+    assert alone.staging.filter("Reference is null").count() == models.staging.filter("Reference is null").count() > 0
+    # The part with References of its own has no join but the filter by the repeated ones.
+    assert len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join \S+ \S+ Inner", executed(alone.table(name)))) == 0
+    assert sorted(map(str, models.table(name).collect())) == sorted(map(str, ReceiptModels(models.staging, unique_reference=False).table(name).collect()))
+
+
+def test_many_repeated_references_are_joined_not_broadcast(spark, tmp_path, monkeypatch):
+    from tillroll.sources import staging
+
+    monkeypatch.setattr(staging, "MAX_BROADCAST_KEYS", 3)
+    receipts_from_tables(spark, SMALL_SF, repeated=True).write.parquet(str(tmp_path / "stg"))
+    models = ReceiptModels(spark.read.parquet(str(tmp_path / "stg")))
+    assert "rightHint=(strategy=broadcast)" not in models.products._jdf.queryExecution().optimizedPlan().toString()
+    assert models.products.count() == ReceiptModels(models.staging, unique_reference=False).products.count()
+
+
+def test_turnover_scans_once_with_two_exchanges(unbucketed):
+    df = ReceiptModels(unbucketed, unique_reference=True).turnover_by_period
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "ReusedExchange" in plan
+    final, skip = "", None
+    for line in plan.splitlines():  # without the initial plans, which stand deeper than their heading
+        depth = len(line) - len(line.lstrip(" :|"))
+        skip = None if skip is not None and depth <= skip else skip
+        if "== Initial Plan" in line and skip is None:
+            skip = depth
+        final += "" if skip is not None else line + "\n"
+    # The scalar's subquery comes from the same state: its exchange is reused.
+    assert len(re.findall(r"Scan parquet", final)) == 1
+    assert len(re.findall(r"\+- Exchange hashpartitioning", final)) == 2

@@ -139,3 +139,32 @@ def test_contract_violations_lists_only_broken_columns(stg):
                                          "receipt_cashiers": normalise.receipt_cashiers(damaged)})
     assert [(r.table_name, r.column_name, r.null_count) for r in found.collect()] == [
         ("receipt_cashiers", "cashier_name", stg.count())]
+
+
+def test_turnover_from_bitmaps_equals_headcounts_and_leavers(stg, spark):
+    from tillroll.operators import workforce
+    m = ReceiptModels(stg, unique_reference=True)
+    assert rows(m.turnover_by_period) == rows(workforce.turnover_by_period(m.business_employee_stats, m.employees_left))
+    odd = spark.createDataFrame(
+        [("a", "x", 2020, 7), ("a", "x", 2020, 7), ("a", None, 2021, 6), ("a", "y", 2021, 6), ("b", None, 1999, 7), (None, "x", 2001, 6),
+         ("a", "z", 1931, 6), ("a", "z", 2109, 6), ("c", "w", 2019, 12), (None, "q", 2000, 1)],
+        "business_name string, cashier_name string, year bigint, month bigint")
+    from tillroll.functions import month_name
+    employees = odd.distinct().withColumn("month_name", month_name(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))))
+    expected = workforce.turnover_by_period(workforce.business_employee_stats(employees), workforce.employees_left(employees))
+    assert rows(workforce.turnover_from_service(odd)) == rows(expected) and expected.count() == 5
+    with pytest.raises(Exception, match="outside the turnover bitmaps: 2200"):
+        workforce.turnover_from_service(spark.createDataFrame([("a", "x", 2200, 7)], odd.schema)).collect()
+
+
+def test_repeated_pivot_cells_and_leavers_fail_with_their_key(stg, spark):
+    from tillroll.operators import workforce
+    stats = spark.createDataFrame([("B", 2020, 7, "July", 3), ("B", 2021, 6, "June", 4)],
+                                  "business_name string, year bigint, month bigint, month_name string, num_employees bigint")
+    left = spark.createDataFrame([("B", 2020, 2)], "business_name string, fiscal_year bigint, num_employee_left bigint")
+    (row,) = workforce.turnover_by_period(stats, left).collect()
+    assert (row["July"], row["June"], row["num_employee_left"]) == (3.0, 4.0, 2)
+    with pytest.raises(Exception, match="several headcounts of July: B, 2020"):
+        workforce.turnover_by_period(stats.unionByName(stats.filter("month = 7")), left).collect()
+    with pytest.raises(Exception, match="several leavers rows: B, 2020"):
+        workforce.turnover_by_period(stats, left.unionByName(left)).collect()

@@ -150,7 +150,9 @@ def turnover_from_service(service: DataFrame) -> DataFrame:
     """
     state = service_bitmaps(service)
     named = F.col("cashier_name").isNotNull()
-    data_end = state.filter(named).select(F.max("last_idx")).scalar()
+    # Words are never negative; reading them here gives the scalar the very state that the rows
+    # come from, so its exchange is reused instead of a second scan.
+    data_end = state.select(F.max(F.when(named & (F.array_max("words") >= 0), F.col("last_idx")))).scalar()
     last_year, last_month = F.floor(F.col("last_idx") / 12).cast("bigint"), (F.col("last_idx") % 12 + 1).cast("bigint")
     bits = f"(shiftright(words[cast(k div {YEARS_A_WORD} as int)], cast(k % {YEARS_A_WORD} * 2 as int)) & 3)"
     served = F.expr(f"""transform(filter(sequence(0, {YEARS_A_WORD * WORDS - 1}), k -> {bits} <> 0),

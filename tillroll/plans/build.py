@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.loyalty import TOP_K
-from tillroll.plans.pipeline import MODEL_NAMES, ReceiptModels
+from tillroll.plans.pipeline import MODEL_NAMES, SERVED_BY, STATE_NAMES, ReceiptModels
 from tillroll.schemas import RECEIPT
-from tillroll.sources.receipts import CORRUPT_COLUMN, read_receipts
+from tillroll.sources.receipts import load_outcome, read_receipts, split_load
 from tillroll.sources.runs import RunStore
 from tillroll.sources.staging import STAGING_TABLE, materialise, stage_receipts
 
@@ -48,7 +48,8 @@ def run_daily(spark: SparkSession, root: str, source_dir: str | None = None, lay
     The receipts come from the files of ``source_dir``, which are staged in the run's folder, or
     from ``staging``, a Parquet path that ``ingest_new_receipts`` keeps up to date. With
     ``strict=False`` malformed documents are set aside in the run's table ``rejected_documents``
-    instead of failing the load."""
+    instead of failing the load, with the path of their file, and ``load_outcome`` counts the good
+    and bad documents of every file."""
     store = RunStore(spark, root)
     run = store.new_run()
     tables: dict[str, DataFrame] = {}
@@ -61,16 +62,19 @@ def run_daily(spark: SparkSession, root: str, source_dir: str | None = None, lay
         raw = read_receipts(spark, source_dir, layout, strict)
         if not strict:
             loaded = store.write(raw, run, "loaded_documents")
-            bad = loaded.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+            good, bad = split_load(loaded)
             tables["rejected_documents"] = store.write(bad, run, "rejected_documents")
-            raw = loaded.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+            tables["load_outcome"] = store.write(load_outcome(loaded), run, "load_outcome")
+            raw = good
         if load is not None:
             raw = raw.observe(load, F.count(F.lit(1)).alias("num_rows"))
         staged = store.write(raw, run, STAGING_TABLE)
     models = ReceiptModels(staged, unique_reference=unique_reference, leavers=leavers, top_k=top_k)
     tables[STAGING_TABLE] = staged
+    for name in STATE_NAMES:
+        models.use(name, store.write(getattr(models, name), run, f"state_{name}"))
     for name in MODEL_NAMES:
-        tables[name] = store.write(models.table(name), run, name)
+        tables[name] = store.write(models.table(name), run, name, cluster_by=SERVED_BY.get(name))
         models.use(name, tables[name])
     store.commit(run)
     return run, tables

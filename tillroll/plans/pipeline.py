@@ -47,6 +47,19 @@ MODEL_NAMES = [
     "staging_row_count", "businesses", "contract_report",
 ]
 
+# Aggregated states that several models read; the daily job writes them once.
+STATE_NAMES = ["customer_totals"]
+
+# How the daily job lays out the tables that readers filter by business.
+SERVED_BY = {
+    "business_monthly_profits": ["business_name", "year", "month"],
+    "monthly_profit_series": ["business_name", "year", "month"],
+    "business_customers_summary": ["business_name", "customer_name"],
+    "business_employee_stats": ["business_name", "year", "month"],
+    "employee_attendences": ["business_name", "year", "month"],
+    "turnover_by_period": ["business_name", "fiscal_year"],
+}
+
 
 class ReceiptModels:
     """Lazy access to every model over one staging DataFrame.
@@ -100,9 +113,9 @@ class ReceiptModels:
         return getattr(self, name)
 
     def use(self, name: str, df: DataFrame) -> None:
-        """Serve model ``name`` from ``df`` (typically its written table) from now on, so that
-        models built later read it instead of recomputing it."""
-        if name not in MODEL_NAMES:
+        """Serve model ``name`` (or a state that models share) from ``df``, typically its written
+        table, from now on, so that models built later read it instead of recomputing it."""
+        if name not in MODEL_NAMES + STATE_NAMES:
             raise KeyError(name)
         self.__dict__[name] = df
         self._served.add(name)
@@ -179,7 +192,7 @@ class ReceiptModels:
 
     @cached_property
     def business_customers_summary(self) -> DataFrame:
-        return loyalty.business_customers_summary(self.business_customers)
+        return self.customer_totals.drop(loyalty.EXACT_SPENT)
 
     @cached_property
     def customer_totals(self) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tillroll.schemas import CUSTOMER, RECEIPT, RECEIPT_CSV
 
-CORRUPT_COLUMN = "_corrupt_record"
+CORRUPT_COLUMN, PATH_COLUMN = "_corrupt_record", "_file_path"
 
 
 def read_receipt_json(spark: SparkSession, path: str, layout: str = "document",
@@ -27,7 +27,8 @@ def read_receipt_json(spark: SparkSession, path: str, layout: str = "document",
 
     ``strict`` fails the whole load on a malformed file, as a batch reload should. With
     ``strict=False`` malformed documents are kept as rows whose ``_corrupt_record`` holds the
-    text, so that they can be counted and set aside.
+    text, and every row carries its file's path in ``_file_path``, so that bad files can be counted,
+    named and set aside (:func:`split_load`, :func:`load_outcome`).
     """
     if layout not in ("document", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
@@ -41,18 +42,35 @@ def read_receipt_json(spark: SparkSession, path: str, layout: str = "document",
         schema = T.StructType(RECEIPT.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
         reader = (reader.option("mode", "PERMISSIVE")
                   .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
-    return reader.schema(schema).json(path)
+    read = reader.schema(schema).json(path)
+    return read if strict else read.select("*", F.col("_metadata.file_path").alias(PATH_COLUMN))
 
 
-def read_receipt_csv(spark: SparkSession, path: str) -> DataFrame:
+def split_load(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(receipts, rejected documents: file path and text) of a tolerant load."""
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    return loaded.filter(~bad).drop(CORRUPT_COLUMN, PATH_COLUMN), loaded.filter(bad).select(PATH_COLUMN, CORRUPT_COLUMN)
+
+
+def load_outcome(loaded: DataFrame) -> DataFrame:
+    """(_file_path, num_good, num_bad): what became of every file's documents in a tolerant load."""
+    return loaded.groupBy(PATH_COLUMN).agg(F.count_if(F.col(CORRUPT_COLUMN).isNull()).alias("num_good"),
+                                           F.count(CORRUPT_COLUMN).alias("num_bad"))
+
+
+def read_receipt_csv(spark: SparkSession, path: str, with_path: bool = False) -> DataFrame:
     """Read flat receipt headers from ``*.csv`` files (header line required) into the
     receipt shape. Line-item lists are NULL, which every explode treats as empty."""
-    return shape_csv(spark.read.option("header", True).option("mode", "FAILFAST")
-                     .option("pathGlobFilter", "*.csv").schema(RECEIPT_CSV).csv(path))
+    flat = (spark.read.option("header", True).option("mode", "FAILFAST")
+            .option("pathGlobFilter", "*.csv").schema(RECEIPT_CSV).csv(path))
+    if not with_path:
+        return shape_csv(flat)
+    flat = flat.select("*", F.col("_metadata.file_path").alias(PATH_COLUMN))
+    return shape_csv(flat, PATH_COLUMN)
 
 
-def shape_csv(flat: DataFrame) -> DataFrame:
-    """Flat header rows, of a batch or a stream, in the receipt shape."""
+def shape_csv(flat: DataFrame, *more: str) -> DataFrame:
+    """Flat header rows, of a batch or a stream, in the receipt shape (``more``: further columns to keep)."""
     customer = F.when(F.col("Customer_Name").isNotNull() | F.col("Customer_Points").isNotNull(),
                       F.struct(F.col("Customer_Name").alias("Name"),
                                F.col("Customer_Points").alias("Points_Earnt")))
@@ -61,9 +79,9 @@ def shape_csv(flat: DataFrame) -> DataFrame:
                                F.col("Business_Name").alias("Name")))
     shaped = flat.select(
         business.alias("Business"), "Cashier", customer.cast(CUSTOMER).alias("Customer"), "Date",
-        "GST", "Reference", "Sequence", "Terminal", "Total")
+        "GST", "Reference", "Sequence", "Terminal", "Total", *more)
     return shaped.select(*[F.col(f.name) if f.name in shaped.columns
-                           else F.lit(None).cast(f.dataType).alias(f.name) for f in RECEIPT])
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in RECEIPT], *more)
 
 
 def read_receipts(spark: SparkSession, path: str, layout: str = "document", strict: bool = True) -> DataFrame:
@@ -71,7 +89,7 @@ def read_receipts(spark: SparkSession, path: str, layout: str = "document", stri
     no file simply contributes no row (the schemas are fixed, nothing is inferred). ``strict`` as
     in :func:`read_receipt_json`."""
     return read_receipt_json(spark, path, layout, strict).unionByName(
-        read_receipt_csv(spark, path), allowMissingColumns=True)
+        read_receipt_csv(spark, path, with_path=not strict), allowMissingColumns=True)
 
 
 def write_receipts_json(df: DataFrame, path: str) -> None:
