@@ -313,7 +313,7 @@ def oracle_queries() -> dict[str, str]:
     one_more = _MODELS["m_employees_left"].replace("count(*) AS num_employee_left", "count(*) + 1 AS num_employee_left")
     out["turnover_with_user_leavers"] = _with(models={"m_employees_left": one_more}) + _QUERIES["turnover_by_period"]
     out["monthly_profits_served"] = f"""{_with()} SELECT business_name, "year", "month", total_monthly_profit, num_of_sales
-      FROM ({_QUERIES["business_monthly_profits"]}) m WHERE business_name = 'FRANCE' """
+      FROM ({_QUERIES["business_monthly_profits"]}) m WHERE business_name = 'NATION_7' """
     out["rejected_receipts"] = """SELECT 'bad' AS folder,
       '{"Reference":"' || o_orderkey || '","Total":"no number"}' AS document FROM orders WHERE o_orderkey % 50 = 0"""
     out["load_outcomes"] = """SELECT 'good' AS folder, count(*) AS num_good, 0::BIGINT AS num_bad FROM orders
