@@ -295,6 +295,11 @@ VARIANTS = {
 }
 
 
+#: Queries whose models are also built load by load, with the same results.
+INCREMENTAL = ["business_monthly_profits", "business_monthly_profits_repeated", "business_customers_summary", "employee_attendences",
+               "turnover_by_period", "contract_report"]
+
+
 def _with(changes: dict | None = None, models: dict | None = None) -> str:
     ctes = [_BASE.strip().format(**_PLAIN | (changes or {}))]
     ctes += [f"{name} AS ({body})" for name, body in (_MODELS | (models or {})).items()]
@@ -310,6 +315,7 @@ def oracle_queries() -> dict[str, str]:
         for name in names:
             query = _QUERIES_REPEATED.get(name, _QUERIES[name]) if joined else _QUERIES[name]
             out[name + suffix] = _with(changes, models) + query
+    out |= {name + "_incremental": out[name] for name in INCREMENTAL}
     one_more = _MODELS["m_employees_left"].replace("count(*) AS num_employee_left", "count(*) + 1 AS num_employee_left")
     out["turnover_with_user_leavers"] = _with(models={"m_employees_left": one_more}) + _QUERIES["turnover_by_period"]
     out["monthly_profits_served"] = f"""{_with()} SELECT business_name, "year", "month", total_monthly_profit, num_of_sales

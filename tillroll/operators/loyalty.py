@@ -33,6 +33,15 @@ def customer_totals(customers: DataFrame) -> DataFrame:
                           sum_exact(F.col("amount_spent")).alias(EXACT_SPENT)))
 
 
+def merged_customer_totals(parts: DataFrame) -> DataFrame:
+    """Customer totals of disjoint sets of receipts as those of all: exact sums add up, shown ones
+    are rounded once more from them."""
+    exact = F.sum(EXACT_SPENT).cast(parts.schema[EXACT_SPENT].dataType)
+    return (parts.groupBy("business_name", "customer_name")
+                 .agg(to_amount(exact).alias("amount_spent"), F.sum("num_purchases").alias("num_purchases"),
+                      exact.alias(EXACT_SPENT)))
+
+
 def business_customers_summary(customers: DataFrame) -> DataFrame:
     """Spend and purchase count per (business, customer)."""
     return customer_totals(customers).drop(EXACT_SPENT)

@@ -164,6 +164,11 @@ def merged_monthly_profits(parts: DataFrame) -> DataFrame:
                  F.sum("num_of_sales").alias("num_of_sales")))
 
 
+def without_monthly_profits(monthly: DataFrame) -> DataFrame:
+    """The rows that, merged with others, take these profits and sales away again."""
+    return monthly.withColumn("total_monthly_profit", -F.col("total_monthly_profit")).withColumn("num_of_sales", -F.col("num_of_sales"))
+
+
 def monthly_profit_series(monthly: DataFrame) -> DataFrame:
     """Profit series per business with a ``month_year`` label, in time order."""
     return (monthly.withColumn("month_year", month_year_label(F.col("month"), F.col("year")))

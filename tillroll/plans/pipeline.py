@@ -66,17 +66,21 @@ class ReceiptModels:
 
     ``unique_reference``: True states that no two staging rows share a Reference (receipt-local
     forms), False that the join forms shall run on all rows; None finds the repeated References on
-    first use of a join-based model and splits the rows by them. ``leavers`` optionally replaces the
+    first use of a join-based model and splits the rows by them, unless they are known: ``conflicts``
+    gives them (a written table with a column Reference) and their number. ``leavers`` optionally replaces the
     computed leaver counts with a user table (business_name, fiscal_year, num_employee_left).
     """
 
     def __init__(self, staging: DataFrame, unique_reference: bool | None = None,
-                 leavers: DataFrame | None = None, top_k: int = loyalty.TOP_K):
+                 leavers: DataFrame | None = None, top_k: int = loyalty.TOP_K,
+                 conflicts: tuple[DataFrame, int] | None = None):
         self.staging = staging
         self._unique = unique_reference
         self._leavers = leavers
         self.top_k = top_k
         self._served: set[str] = set()
+        if conflicts is not None:
+            self._conflicts = conflicts
 
     @cached_property
     def _conflicts(self) -> tuple[DataFrame, int]:

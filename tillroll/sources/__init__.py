@@ -1,13 +1,13 @@
 from tillroll.sources.receipts import (load_outcome, read_receipt_csv, read_receipt_json, read_receipts,
                                       split_load, write_receipt_headers_csv,
                                       write_receipts_json)
-from tillroll.sources.runs import RunStore
+from tillroll.sources.runs import LoadStore, RunStore
 from tillroll.sources.staging import (drop_table, materialise, read_table, stage_receipts,
                                       staging_row_count)
 from tillroll.sources.testdata import receipts_from_tables
 
 __all__ = [
-    "RunStore",
+    "LoadStore", "RunStore",
     "drop_table", "load_outcome", "materialise", "read_receipt_csv", "read_receipt_json", "read_receipts",
     "read_table", "receipts_from_tables", "split_load", "stage_receipts", "staging_row_count", "write_receipt_headers_csv",
     "write_receipts_json",

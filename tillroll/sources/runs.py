@@ -8,11 +8,13 @@ sees all come from the same run. Folders of earlier runs stay until someone remo
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 class RunStore:
@@ -65,3 +67,41 @@ class RunStore:
         df = df.filter(where) if where is not None else df
         df = df.select(*columns) if columns else df
         return df.orderBy(*order_by) if order_by else df
+
+
+class LoadStore(RunStore):
+    """Tables by load (a day, say), each written by a run of its own: ``table/load=.../run=...``.
+
+    A load that is delivered again gets a new run, whose commit replaces the former one for readers.
+    The driver holds one short line per committed run.
+    """
+
+    def new_load(self, load: str) -> tuple[str, str]:
+        if not re.fullmatch(r"[\w.-]+", load):
+            raise ValueError(f"a load is named by letters, digits, '_', '.' and '-', not {load!r}")
+        return load, self.new_run()
+
+    def path(self, run: tuple[str, str], table: str) -> str:
+        return f"{self.root}/{table}/load={run[0]}/run={run[1]}"
+
+    def commit(self, run: tuple[str, str]) -> None:
+        (self.spark.createDataFrame([("\t".join(run),)], "run string").coalesce(1)
+         .write.mode("error").text(f"{self.root}/commits/{run[1]}"))
+
+    def current(self) -> dict[str, str]:
+        """The latest committed run of every load."""
+        try:
+            lines = self.spark.read.text(f"{self.root}/commits/*").collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        return {load: run for run, load in sorted(line.value.split("\t")[::-1] for line in lines)}
+
+    def loads(self, table: str, schema: T.StructType, runs: dict[str, str]) -> DataFrame:
+        """A table's rows of the given runs, with their ``load``."""
+        columns = T.StructType([*schema, T.StructField("load", T.StringType()), T.StructField("run", T.StringType())])
+        paths = [self.path(run, table) for run in runs.items()]
+        if not paths:
+            return self.spark.createDataFrame([], columns).drop("run")
+        return self.spark.read.schema(columns).option("basePath", f"{self.root}/{table}").parquet(*paths).drop("run")
