@@ -324,4 +324,13 @@ def oracle_queries() -> dict[str, str]:
       '{"Reference":"' || o_orderkey || '","Total":"no number"}' AS document FROM orders WHERE o_orderkey % 50 = 0"""
     out["load_outcomes"] = """SELECT 'good' AS folder, count(*) AS num_good, 0::BIGINT AS num_bad FROM orders
       UNION ALL SELECT 'bad', 0, count(*) FROM orders WHERE o_orderkey % 50 = 0"""
+    fits = [("receipts", c) for c in ("gst", "terminal_num")] + [
+        (t, c) for t, cs in {"receipt_customers": ["customer_points"], "receipt_payments": ["payment_amount"],
+                             "receipt_products": ["product_cost", "product_price", "product_quantity"],
+                             "receipt_promotions": ["discount", "per_quantity"]}.items() for c in cs]
+    out["type_report"] = "\n".join(
+        [f"SELECT 'receipts' AS table_name, '{c}' AS column_name, count(*) AS misfit_count FROM orders WHERE {misfit} UNION ALL"
+         for c, misfit in (("sequence_num", "o_orderkey * 1000000 > 2147483647"), ("receipt_date", "o_orderkey % 13 = 0"),
+                           ("receipt_total", "o_orderkey % 7 = 0"))]
+        + [" UNION ALL ".join(f"SELECT '{t}', '{c}', 0" for t, c in fits)])
     return out

@@ -1,8 +1,11 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 
+from tests.conftest import rows
 from tests.edge_receipts import write_documents
+from tillroll.operators import quality
 from tillroll.plans import MODEL_NAMES, SERVED_BY, ReceiptModels, run_daily, run_pipeline
 from tillroll.sources import RunStore, receipts_from_tables
 
@@ -112,7 +115,10 @@ def test_malformed_documents_are_set_aside(spark, tmp_dir):
     src = write_documents(os.path.join(tmp_dir, "in"))
     with open(os.path.join(src, "bad.json"), "w") as f:
         f.write('{"Total": "no number"}')
-    _, tables = run_daily(spark, os.path.join(tmp_dir, "root"), src, strict=False)
+    seen = Observation()
+    _, tables = run_daily(spark, os.path.join(tmp_dir, "root"), src, strict=False, contracts=seen)
+    nulls, types = quality.reports_from_metrics(spark, seen.get)
+    assert rows(nulls) == rows(tables["contract_report"]) and {r.misfit_count for r in types.collect()} == {0}
     assert tables["receipts"].count() == 8
     (bad,) = tables["rejected_documents"].collect()
     assert bad["_file_path"].endswith("/bad.json") and bad["_corrupt_record"] == '{"Total": "no number"}'

@@ -168,3 +168,22 @@ def test_repeated_pivot_cells_and_leavers_fail_with_their_key(stg, spark):
         workforce.turnover_by_period(stats.unionByName(stats.filter("month = 7")), left).collect()
     with pytest.raises(Exception, match="several leavers rows: B, 2020"):
         workforce.turnover_by_period(stats, left.unionByName(left)).collect()
+
+
+def test_contract_metrics_of_a_write_equal_the_scans(spark, tmp_dir):
+    import __spark_entry__ as entry
+    from pyspark.sql import Observation
+
+    from tillroll.operators import quality
+
+    damaged = (entry._misfit_receipts(spark, SMALL_SF).withColumn("Cashier", F.when(F.col("Terminal") > 1, F.col("Cashier")))
+               .withColumn("Products", F.when(F.col("Terminal") == 2, F.transform("Products", lambda p: p.withField("Price", F.lit(float("inf")))
+                                                                                 .withField("Name", F.lit(None).cast("string")))).otherwise(F.col("Products"))))
+    seen = Observation()
+    quality.observe_contracts(damaged, seen).write.parquet(f"{tmp_dir}/rows")
+    nulls, types = quality.reports_from_metrics(spark, seen.get)
+    assert rows(nulls) == rows(quality.contract_report_in_receipt(damaged))
+    assert rows(types) == rows(quality.type_report_in_receipt(damaged))
+    found = {(r.table_name, r.column_name): r.misfit_count for r in types.collect()}
+    inf = damaged.filter("Terminal = 2").agg(F.sum(F.size("Products"))).first()[0]
+    assert found["receipt_products", "product_price"] == inf > 0 and found["receipts", "receipt_date"] > 0

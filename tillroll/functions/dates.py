@@ -10,9 +10,14 @@ MONTH_NAME_FORMAT = "MMMM"
 FISCAL_YEAR_FIRST_MONTH = 7
 
 
+def try_receipt_date(c: Column) -> Column:
+    """As :func:`parse_receipt_date`, but NULL for other text."""
+    return F.coalesce(*[F.try_to_date(c, f) for f in RECEIPT_DATE_FORMATS])
+
+
 def parse_receipt_date(c: Column) -> Column:
     """``'2022/07/02'``, ``'2022-07-02'`` or ``'2022/7/2'`` -> DATE; other text fails the job."""
-    parsed = F.coalesce(*[F.try_to_date(c, f) for f in RECEIPT_DATE_FORMATS])
+    parsed = try_receipt_date(c)
     return F.when(c.isNotNull() & parsed.isNull(),
                   F.raise_error(F.concat(F.lit("not a receipt date: "), c)).cast("date")).otherwise(parsed)
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.loyalty import TOP_K
+from tillroll.operators.quality import observe_contracts
 from tillroll.plans.pipeline import MODEL_NAMES, SERVED_BY, STATE_NAMES, ReceiptModels
 from tillroll.schemas import RECEIPT
 from tillroll.sources.receipts import load_outcome, read_receipts, split_load
@@ -39,25 +40,31 @@ def build_all(models: ReceiptModels, prefix: str = "", names: list[str] | None =
     return written
 
 
+def _observed(receipts: DataFrame, load: Observation | None, contracts: Observation | None) -> DataFrame:
+    if load is not None:
+        receipts = receipts.observe(load, F.count(F.lit(1)).alias("num_rows"))
+    return receipts if contracts is None else observe_contracts(receipts, contracts)
+
+
 def run_daily(spark: SparkSession, root: str, source_dir: str | None = None, layout: str = "document",
               staging: str | None = None, strict: bool = True, unique_reference: bool | None = None,
               leavers: DataFrame | None = None, top_k: int = TOP_K,
-              load: Observation | None = None) -> tuple[str, dict[str, DataFrame]]:
+              load: Observation | None = None, contracts: Observation | None = None) -> tuple[str, dict[str, DataFrame]]:
     """One run of the daily job into ``root``; returns its id and tables once it is committed.
 
     The receipts come from the files of ``source_dir``, which are staged in the run's folder, or
     from ``staging``, a Parquet path that ``ingest_new_receipts`` keeps up to date. With
     ``strict=False`` malformed documents are set aside in the run's table ``rejected_documents``
     instead of failing the load, with the path of their file, and ``load_outcome`` counts the good
-    and bad documents of every file."""
+    and bad documents of every file. ``contracts`` receives the NULL and type counts of the declared
+    contracts while staging is written (``operators.quality.reports_from_metrics`` reads it)."""
     store = RunStore(spark, root)
     run = store.new_run()
     tables: dict[str, DataFrame] = {}
     if staging is not None:
         staged = spark.read.schema(RECEIPT).parquet(staging)
-        if load is not None:
-            staged = staged.observe(load, F.count(F.lit(1)).alias("num_rows"))
-            staged = store.write(staged, run, STAGING_TABLE)
+        if load is not None or contracts is not None:
+            staged = store.write(_observed(staged, load, contracts), run, STAGING_TABLE)
     else:
         raw = read_receipts(spark, source_dir, layout, strict)
         if not strict:
@@ -66,9 +73,7 @@ def run_daily(spark: SparkSession, root: str, source_dir: str | None = None, lay
             tables["rejected_documents"] = store.write(bad, run, "rejected_documents")
             tables["load_outcome"] = store.write(load_outcome(loaded), run, "load_outcome")
             raw = good
-        if load is not None:
-            raw = raw.observe(load, F.count(F.lit(1)).alias("num_rows"))
-        staged = store.write(raw, run, STAGING_TABLE)
+        staged = store.write(_observed(raw, load, contracts), run, STAGING_TABLE)
     models = ReceiptModels(staged, unique_reference=unique_reference, leavers=leavers, top_k=top_k)
     tables[STAGING_TABLE] = staged
     for name in STATE_NAMES:

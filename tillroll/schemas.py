@@ -89,3 +89,13 @@ NOT_NULL_CONTRACT = {
                          "product_quantity"],
     "receipt_promotions": ["receipt_ref", "product_name", "discount", "per_quantity"],
 }
+
+# Declared types of the normalised tables' columns that aren't text.
+DECLARED_TYPES = {
+    "receipts": {"sequence_num": "INTEGER", "receipt_date": "DATE", "gst": "FLOAT", "terminal_num": "INTEGER",
+                 "receipt_total": "FLOAT"},
+    "receipt_customers": {"customer_points": "INTEGER"},
+    "receipt_payments": {"payment_amount": "FLOAT"},
+    "receipt_products": {"product_cost": "FLOAT", "product_price": "FLOAT", "product_quantity": "FLOAT"},
+    "receipt_promotions": {"discount": "FLOAT", "per_quantity": "INTEGER"},
+}
