@@ -300,6 +300,11 @@ INCREMENTAL = ["business_monthly_profits", "business_monthly_profits_repeated",
                "turnover_by_period", "contract_report"]
 
 
+#: Queries whose models are also built from receipts that went through CSV files by kind.
+FROM_CSV = ["receipt_payments", "receipt_products", "receipt_promotions", "business_monthly_profits",
+            "business_monthly_profits_repeated", "business_sales_profits_repeated"]
+
+
 def _with(changes: dict | None = None, models: dict | None = None) -> str:
     ctes = [_BASE.strip().format(**_PLAIN | (changes or {}))]
     ctes += [f"{name} AS ({body})" for name, body in (_MODELS | (models or {})).items()]
@@ -316,6 +321,12 @@ def oracle_queries() -> dict[str, str]:
             query = _QUERIES_REPEATED.get(name, _QUERIES[name]) if joined else _QUERIES[name]
             out[name + suffix] = _with(changes, models) + query
     out |= {name + "_incremental": out[name] for name in INCREMENTAL}
+    out |= {name + "_from_csv": out[name] for name in FROM_CSV}
+    out["orphan_lines_from_csv"] = f"""{_with(_REPEATED)} SELECT kind, receipt_ref, count(*) AS num_lines, max(line) AS last_line FROM (
+        SELECT 'Products' AS kind, okey, receipt_ref, row_number() OVER (PARTITION BY okey, copy) AS line FROM lp
+        UNION ALL SELECT 'Promotions', okey, receipt_ref, row_number() OVER (PARTITION BY okey, copy) FROM lp WHERE l_discount > 0
+        UNION ALL SELECT 'Payments', okey, receipt_ref, unnest(range(1, CASE WHEN okey % 7 = 0 THEN 3 ELSE 2 END)) FROM rcpt) x
+      WHERE receipt_ref IS NULL OR okey % 11 = 0 GROUP BY kind, receipt_ref"""
     one_more = _MODELS["m_employees_left"].replace("count(*) AS num_employee_left", "count(*) + 1 AS num_employee_left")
     out["turnover_with_user_leavers"] = _with(models={"m_employees_left": one_more}) + _QUERIES["turnover_by_period"]
     out["monthly_profits_served"] = f"""{_with()} SELECT business_name, "year", "month", total_monthly_profit, num_of_sales

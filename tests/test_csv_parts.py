@@ -1,0 +1,120 @@
+"""Receipts as CSV files by kind: round trip, defined results of odd deliveries, incremental ingest."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL_SF, rows
+from tests.edge_receipts import write_documents
+from tillroll.schemas import RECEIPT
+from tillroll.sources import (assemble_receipts, orphan_lines, read_csv_parts, read_receipt_csv_parts, read_receipt_json,
+                              receipts_from_tables, write_receipt_csv_parts)
+from tillroll.streaming import ingest_new_csv_parts, staged_csv_receipts
+
+LISTS = ("Payments", "Products", "Promotions")
+
+
+def _listed(df):
+    """NULL and empty lists are one to every model."""
+    return df.withColumns({f.name: F.coalesce(f.name, F.array().cast(f.dataType)) for f in RECEIPT if f.name in LISTS})
+
+
+def _odd(spark):
+    texts = [" blanks at the ends ", 'quote " inside', "comma, and 'apostrophe'", "-", None, "NULL", "Schön 商店"]
+    data = [((str(k), t), t, (t, k) if k % 2 else None, "2022/07/02", 0.1 + k, [(1.5, t)] * (k % 3), [(0.1, t, 1 / 3, -2.0)] * k,
+             [(0.25, k, t)] * (k % 2), f"R{k}", k, None, 1e-7 * k) for k, t in enumerate(texts)]
+    return spark.createDataFrame(data, RECEIPT)
+
+
+def test_round_trip_keeps_texts_numbers_and_order(spark, tmp_dir):
+    odd = _odd(spark)
+    write_receipt_csv_parts(odd, tmp_dir)
+    back = read_receipt_csv_parts(spark, tmp_dir)
+    assert back.schema == RECEIPT
+    assert rows(back) == rows(odd)
+
+
+def test_an_empty_text_is_null(spark, tmp_dir):
+    write_receipt_csv_parts(_odd(spark).withColumn("Cashier", F.lit("")), tmp_dir)
+    assert read_receipt_csv_parts(spark, tmp_dir).filter("Cashier is not null").isEmpty()
+
+
+def test_round_trip_of_documents(spark, tmp_dir):
+    docs = read_receipt_json(spark, write_documents(tmp_dir + "/json")).filter("Reference is not null")
+    write_receipt_csv_parts(docs, tmp_dir + "/csv")
+    assert rows(read_receipt_csv_parts(spark, tmp_dir + "/csv")) == rows(_listed(docs))
+
+
+def test_delivered_twice_is_every_document_twice(spark, tmp_dir):
+    odd = _odd(spark)
+    write_receipt_csv_parts(odd.unionByName(odd), tmp_dir)
+    assert rows(read_receipt_csv_parts(spark, tmp_dir)) == rows(odd.unionByName(odd))
+
+
+def test_missing_folder_of_lines_and_empty_delivery(spark, tmp_dir):
+    odd = _odd(spark)
+    write_receipt_csv_parts(odd.limit(0), tmp_dir + "/empty")
+    assert read_receipt_csv_parts(spark, tmp_dir + "/empty").count() == 0
+    write_receipt_csv_parts(odd, tmp_dir + "/all")
+    os.rename(tmp_dir + "/all/promotions", tmp_dir + "/elsewhere")
+    got = read_receipt_csv_parts(spark, tmp_dir + "/all")
+    assert got.count() == 7 and got.filter(F.size("Promotions") > 0).isEmpty()
+    os.rename(tmp_dir + "/all/headers", tmp_dir + "/headers")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_receipt_csv_parts(spark, tmp_dir + "/all")
+
+
+def test_orphans_fail_a_strict_load_and_are_listed(spark, tmp_dir):
+    odd = _odd(spark)
+    write_receipt_csv_parts(odd.withColumn("Reference", F.expr("if(Sequence = 3, null, Reference)")), tmp_dir)
+    parts = read_csv_parts(spark, tmp_dir)
+    with pytest.raises(Exception, match="without a Reference, line"):
+        assemble_receipts(parts).count()
+    parts["Headers"] = parts["Headers"].filter("Sequence <> 5")
+    left = {r.Sequence: (len(r.Products), len(r.Promotions)) for r in assemble_receipts(parts, strict=False).collect()}
+    assert left == {0: (0, 0), 1: (1, 1), 2: (2, 0), 3: (0, 0), 4: (4, 0), 6: (6, 0)}
+    lost = orphan_lines(parts).groupBy("kind", "Reference").count()
+    assert rows(lost) == [("Payments", "R5", 2), ("Products", "R5", 5), ("Products", None, 3), ("Promotions", "R5", 1),
+                          ("Promotions", None, 1)]
+    parts = {k: p.filter("Reference is not null") for k, p in parts.items()}
+    with pytest.raises(Exception, match="lines without a header: receipt R5"):
+        assemble_receipts(parts).collect()
+
+
+def test_different_lines_at_one_place_fail(spark, tmp_dir):
+    odd = _odd(spark).filter("Sequence = 2")
+    other = odd.withColumn("Products", F.transform("Products", lambda p: p.withField("Price", F.lit(9.0))))
+    write_receipt_csv_parts(odd.unionByName(other), tmp_dir)
+    with pytest.raises(Exception, match="different Products at one line of receipt R2"):
+        read_receipt_csv_parts(spark, tmp_dir).collect()
+
+
+def test_one_shuffle_without_joins(spark, tmp_dir):
+    write_receipt_csv_parts(receipts_from_tables(spark, SMALL_SF), tmp_dir)
+    plan = read_receipt_csv_parts(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_ingest_takes_headers_and_lines_in_any_order(spark, tmp_dir):
+    odd, src, out = _odd(spark), tmp_dir + "/in", tmp_dir + "/stg"
+    late = F.col("Sequence") >= 4
+    write_receipt_csv_parts(odd.filter(~late), src)
+    ingest_new_csv_parts(spark, src, out)
+    assert rows(staged_csv_receipts(spark, out, strict=True)) == rows(odd.filter(~late))
+    write_receipt_csv_parts(odd.filter(late), tmp_dir + "/next")
+
+    def deliver(kind):
+        for name in os.listdir(f"{tmp_dir}/next/{kind}"):
+            if name.endswith(".csv"):
+                os.rename(f"{tmp_dir}/next/{kind}/{name}", f"{src}/{kind}/late-{name}")
+
+    for kind in ("products", "payments"):
+        deliver(kind)
+    ingest_new_csv_parts(spark, src, out)
+    assert rows(staged_csv_receipts(spark, out)) == rows(odd.filter(~late))
+    assert orphan_lines({k: spark.read.parquet(f"{out}/{k.lower()}") for k in ("Headers", *LISTS)}).count() == 4 + 5 + 6 + 1 + 2
+    for kind in ("headers", "promotions"):
+        deliver(kind)
+    ingest_new_csv_parts(spark, src, out)
+    assert rows(staged_csv_receipts(spark, out, strict=True)) == rows(odd)

@@ -97,11 +97,15 @@ def write_receipts_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_receipt_headers_csv(df: DataFrame, path: str) -> None:
-    """Write the flat header of each receipt as CSV with a header line (no line items)."""
-    flat = df.select(
+def flat_headers(df: DataFrame) -> DataFrame:
+    """The flat header of each receipt, as CSV files carry it."""
+    return df.select(
         "Reference", "Sequence", "Terminal", "Date", "Total", "GST", "Cashier",
         F.col("Business.ABN").alias("Business_ABN"), F.col("Business.Name").alias("Business_Name"),
         F.col("Customer.Name").alias("Customer_Name"),
         F.col("Customer.Points_Earnt").alias("Customer_Points"))
-    flat.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_receipt_headers_csv(df: DataFrame, path: str) -> None:
+    """Write the flat header of each receipt as CSV with a header line (no line items)."""
+    flat_headers(df).write.mode("overwrite").option("header", True).csv(path)

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.schemas import RECEIPT, RECEIPT_CSV
+from tillroll.sources.csv_parts import CSV_OPTIONS, PART_SCHEMAS, assemble_receipts, part_path
 from tillroll.sources.receipts import shape_csv
 
 
@@ -50,14 +51,35 @@ def ingest_new_receipts(spark: SparkSession, source_dir: str, staging_path: str,
     """
     checkpoint = checkpoint or staging_path.rstrip("/") + "_checkpoint"
     before = _staged_rows(spark, staging_path)
-    query = (receipt_stream(spark, source_dir, layout, max_files_per_trigger)
-             .writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start(staging_path))
+    _append(receipt_stream(spark, source_dir, layout, max_files_per_trigger), staging_path, checkpoint)
+    return _staged_rows(spark, staging_path) - before
+
+
+def _append(stream: DataFrame, path: str, checkpoint: str) -> None:
+    query = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start(path))
     query.awaitTermination()
     exc = query.exception()
     if exc is not None:
         raise exc
-    return _staged_rows(spark, staging_path) - before
+
+
+def ingest_new_csv_parts(spark: SparkSession, source_dir: str, staging_path: str, checkpoint: str | None = None,
+                         max_files_per_trigger: int | None = None) -> None:
+    """Append the rows of CSV files by kind that were not yet ingested to ``staging_path``, a folder
+    per kind. Headers and lines may arrive in any order, in different runs: rows are staged as they
+    come, without state, and :func:`staged_csv_receipts` assembles what is there. The folders of all
+    kinds must exist in ``source_dir``."""
+    checkpoint = checkpoint or staging_path.rstrip("/") + "_checkpoint"
+    for kind, schema in PART_SCHEMAS.items():
+        reader = (spark.readStream.options(**CSV_OPTIONS).option("mode", "FAILFAST").option("pathGlobFilter", "*.csv"))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        _append(reader.schema(schema).csv(part_path(source_dir, kind)), part_path(staging_path, kind), part_path(checkpoint, kind))
+
+
+def staged_csv_receipts(spark: SparkSession, staging_path: str, strict: bool = False) -> DataFrame:
+    """The receipts of all ingested headers, each with the lines that have arrived. Unless ``strict``,
+    lines wait for their header."""
+    return assemble_receipts({kind: spark.read.schema(schema).parquet(part_path(staging_path, kind))
+                              for kind, schema in PART_SCHEMAS.items()}, strict)
