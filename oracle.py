@@ -327,6 +327,7 @@ def oracle_queries() -> dict[str, str]:
         UNION ALL SELECT 'Promotions', okey, receipt_ref, row_number() OVER (PARTITION BY okey, copy) FROM lp WHERE l_discount > 0
         UNION ALL SELECT 'Payments', okey, receipt_ref, unnest(range(1, CASE WHEN okey % 7 = 0 THEN 3 ELSE 2 END)) FROM rcpt) x
       WHERE receipt_ref IS NULL OR okey % 11 = 0 GROUP BY kind, receipt_ref"""
+    out["turnover_summary_by_rank"] = out["turnover_summary"]
     one_more = _MODELS["m_employees_left"].replace("count(*) AS num_employee_left", "count(*) + 1 AS num_employee_left")
     out["turnover_with_user_leavers"] = _with(models={"m_employees_left": one_more}) + _QUERIES["turnover_by_period"]
     out["monthly_profits_served"] = f"""{_with()} SELECT business_name, "year", "month", total_monthly_profit, num_of_sales
