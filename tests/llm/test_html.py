@@ -109,3 +109,61 @@ def test_hostile_pages_take_seconds(name, page):
     start = time.process_time()
     html_text.read_page(page)
     assert time.process_time() - start < 20
+
+
+@pytest.mark.parametrize("before", ["", "<table>" + "<tr><td>" + "y" * 500 + "<td>z" + "<tr><td>a<td>b" * 5000 + "</table>",
+                                    "<table>" + "<tr><td rowspan=0>" * 2000 + "</table>"])
+def test_layout_of_a_table_does_not_depend_on_the_page(before):
+    """5000 rows of 500 blanks, or two million spanned columns, come before or not."""
+    table = "<table><tr><td rowspan=2>long name<td>B<tr><td>C<tr><td>D<td>E</table>"
+    assert html_text.render(before + table).endswith("long name | B\n          | C\nD         | E")
+
+
+@pytest.mark.parametrize("n", [10, 20_000])
+def test_every_row_of_a_table_is_aligned(n):
+    page = "<table><tr><td>" + "x" * 300 + "<td>y" + "<tr><td>a<td>b" * n + "</table>"
+    assert html_text.render(page).split("\n") == ["x" * 300 + " | y"] + ["a" + " " * 299 + " | b"] * n
+
+
+def test_a_column_is_padded_up_to_a_fixed_width():
+    page = "<table><tr><td>" + "x" * 600 + "<td>y<tr><td>a<td>b<tr><td><td>c</table>"
+    assert html_text.render(page).split("\n") == ["x" * 600 + " | y", "a" + " " * 511 + " | b", " " * 510 + "| c"]
+
+
+def _slow_columns(rows):
+    """Columns of each row's cells (colspan, rowspan) by a table of taken cells."""
+    taken, out = set(), []
+    for at, row in enumerate(rows):
+        column, columns = 0, []
+        for wide, high in row:
+            while (at, column) in taken:
+                column += 1
+            columns.append(column)
+            taken |= {(at + r, column + c) for r in range(1, high or len(rows)) for c in range(wide)}
+            column += wide
+        out.append(columns)
+    return out
+
+
+def test_row_spans_against_a_table_of_taken_cells():
+    for seed in range(200):
+        draw = random.Random(seed)
+        rows = [[(draw.choice([1, 1, 2, 5]), draw.choice([1, 1, 0, 2, 3, 7])) for _ in range(draw.randint(0, 6))] for _ in range(12)]
+        spans, found = html_text._Spans(), []
+        for at, row in enumerate(rows):
+            cells = "".join(f"<td colspan={wide} rowspan={high}>x" for wide, high in row)
+            tree, styles = html_text.build_tree(f"<table><tr>{cells}</table>")
+            node = next(iter(tree.children[0].children))
+            found.append([c for c, _ in html_text._row(node, spans, at, html_text.Node("div"), styles)])
+        assert found == _slow_columns(rows)
+
+
+@pytest.mark.parametrize("name, page", [
+    ("many lines beside many cells", "<table><tr>" + _million("<td>x")[:500_000] + "<td>" + _million("x<br>")[:500_000]),
+    ("spans of many heights", "<table><tr>" + "".join(f"<td colspan=1000 rowspan={k}>x" for k in range(2, 15_000)) + _million("<tr><td>x")[:500_000]),
+    ("tables in cells", "<table><tr><td>" + "y" * 600 + "<td>z<tr><td><td>" * 1 + "<table><tr><td>yyyyyyyyyyyy<td>z<tr><td><td>" * 45 + _million("x<br>")[:200_000]),
+])
+def test_layout_of_hostile_pages_is_bounded(name, page):
+    start = time.process_time()
+    _, text = html_text.read_page(page)
+    assert time.process_time() - start < 30 and len(text) < 1_500 * len(page)

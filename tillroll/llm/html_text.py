@@ -63,9 +63,9 @@ _NEUTRAL = frozenset("inherit unset revert revert-layer".split())
 #: Precedence of what the page's own attributes say: ``hidden`` gives way to any rule, ``style`` to none
 #: but important ones.
 _ATTRIBUTE_RANK, _INLINE_RANK = (-1, 0, 0), (1 << 30, 0, 0)
-#: Layout only, no text depends on these: columns that one page's row spans may fill, and blanks that
-#: align its tables; tables beyond are laid out without them.
-MAX_SPANNED, MAX_PADDING = 1_000_000, 1_000_000
+#: Layout only, no text depends on it: the most characters that a column is padded to, or that a run of
+#: empty cells takes; half of it in a table inside a cell, and so on. Longer cells run over.
+MAX_WIDTH = 512
 
 
 @dataclass(slots=True)
@@ -101,8 +101,7 @@ class Styles:
     shows: dict[str, dict[tuple[str, str], tuple[tuple, list]]] = field(default_factory=dict)
     rules: int = 0
     title: str | None = None
-    spanned: int = 0  # of MAX_SPANNED
-    padding: int = 0  # of MAX_PADDING
+    tables: int = 0  # around what is rendered
 
 
 def build_tree(page: str) -> tuple[Node, Styles]:
@@ -492,13 +491,15 @@ def _list(node: Node, out: _Lines, page: Styles) -> None:
 
 def _table(node: Node, page: Styles) -> list[str]:
     """Lines of a table: the caption, what stands outside of cells, then its rows."""
+    width = MAX_WIDTH >> page.tables
+    page.tables += 1
     head: list[str] = []
     grid: list[list[tuple[int, list[str]]]] = []
     loose = Node("div", seen=node.seen)
     groups = [(node, iter(node.children))]
     while groups:
         group, children = groups[-1]
-        spans: list[list[int]] = []  # [first column, column after the last, rows to come]
+        spans, at = _Spans(), 0
         for child in children:
             if isinstance(child, str):
                 if group.seen:
@@ -509,7 +510,8 @@ def _table(node: Node, page: Styles) -> list[str]:
                 groups.append((child, iter(child.children)))
                 break
             elif child.tag == "tr":
-                row, spans = _row(child, spans, loose, page)
+                row = _row(child, spans, at, loose, page)
+                at += 1
                 if row:
                     grid.append(row)
             elif child.tag in ("td", "th"):
@@ -520,60 +522,106 @@ def _table(node: Node, page: Styles) -> list[str]:
                 loose.children.append(child)
         else:
             groups.pop()
-    return head + _block(loose, page) + _aligned(grid, page)
+    head += _block(loose, page)
+    page.tables -= 1
+    return head + _aligned(grid, width)
+
 
+class _Spans:
+    """Up to which row each column of a row group is taken by cells from above, as a tree of column ranges
+    (key: first column and level), so that a step takes the logarithm of the number of columns."""
 
-def _row(node: Node, spans: list[list[int]], loose: Node, page: Styles) -> tuple[list[tuple[int, list[str]]], list[list[int]]]:
-    """The row's cells with their columns, and the spans that go on below it."""
+    def __init__(self) -> None:
+        self.level = -1
+        self.whole: dict[int, int] = {}  # first row in which the range as a whole is free
+        self.least: dict[int, int] = {}  # first row in which some column of it is free
+
+    def free(self, column: int, row: int) -> int:
+        """The first column from ``column`` on that is free in the row."""
+        if self.level < 0:
+            return column
+        todo = [(0, self.level)]
+        while todo:
+            at, level = todo.pop()
+            least = self.least.get(at << 6 | level, 0)
+            if at + (1 << level) <= column or least > row:
+                continue
+            if level == 0 or at << 6 | level not in self.least:
+                return max(at, column)
+            level -= 1
+            todo += [(at + (1 << level), level), (at, level)]
+        return max(column, 1 << self.level)
+
+    def take(self, first: int, end: int, until: int) -> None:
+        """Takes the columns from ``first`` to before ``end`` in all rows before ``until``."""
+        while self.level < 0 or 1 << self.level < end:
+            self.level += 1
+            if self.level:
+                self.least[self.level] = 0
+        self._take(0, self.level, first, end, until)
+
+    def _take(self, at: int, level: int, first: int, end: int, until: int) -> int:
+        key, half = at << 6 | level, at + (1 << level >> 1)
+        if first <= at and at + (1 << level) <= end:
+            self.whole[key] = max(self.whole.get(key, 0), until)
+            self.least[key] = max(self.least.get(key, 0), until)
+        elif first < at + (1 << level) and at < end:
+            below = min(self._take(at, level - 1, first, end, until), self._take(half, level - 1, first, end, until))
+            self.least[key] = max(self.whole.get(key, 0), below)
+        return self.least.get(key, 0)
+
+
+def _row(node: Node, spans: _Spans, at: int, loose: Node, page: Styles) -> list[tuple[int, list[str]]]:
+    """The cells of a row group's row number ``at`` with their columns."""
     row: list[tuple[int, list[str]]] = []
-    new: list[list[int]] = []
-    column = at = 0
-    follow = page.spanned < MAX_SPANNED
+    column = 0
     for cell in node.children:
         if isinstance(cell, str) or cell.tag not in ("td", "th"):
             if not isinstance(cell, str) or node.seen:
                 loose.children.append(cell)
         elif cell.shown:
-            while follow and at < len(spans) and spans[at][0] <= column:
-                column = max(column, spans[at][1])
-                at += 1
+            column = spans.free(column, at)
             wide = min(max(_number(cell, "colspan", 1), 1), 1000)
             high = _number(cell, "rowspan", 1)
             row.append((column, _block(cell, page)))
             if high > 1 or high == 0:
-                rows = high - 1 if high else 65534
-                if new and new[-1][1] == column and new[-1][2] == rows:
-                    new[-1][1] += wide
-                else:
-                    new.append([column, column + wide, rows])
+                spans.take(column, column + wide, at + (high or 65535))
             column += wide
-    page.spanned += len(spans)
-    old = [[a, b, rows - 1] for a, b, rows in spans if rows > 1] if follow else []
-    return row, sorted(old + new)
+    return row
 
 
-def _aligned(grid: list[list[tuple[int, list[str]]]], page: Styles) -> list[str]:
-    """Rows as lines, columns padded to their widest cell; columns in which no cell starts have no width."""
+def _aligned(grid: list[list[tuple[int, list[str]]]], most: int) -> list[str]:
+    """Rows as lines, columns padded to their widest cell, but to ``most`` characters at most; columns in
+    which no cell starts have no width. Of a run of empty cells the last ``most`` characters are
+    written. So no line takes more than its own cells' text and ``most`` characters around each."""
     place = {column: k for k, column in enumerate(sorted({column for row in grid for column, _ in row}))}
     widths = [0] * len(place)
     for row in grid:
         for column, cell in row:
-            widths[place[column]] = max([widths[place[column]], *map(_width, cell)])
-    before = [0]
-    for w in widths:
-        before.append(before[-1] + w + 3)
-    page.padding += sum(before[place[row[-1][0]]] * max([1, *(len(c) for _, c in row)]) for row in grid)
-    padded = page.padding <= MAX_PADDING
+            widths[place[column]] = min(most, max([widths[place[column]], *map(_width, cell)]))
+
+    def empty(first: int, end: int) -> str:
+        run, length = [], 0
+        while end > first and length < most:
+            end -= 1
+            run.append(" " * widths[end] + " | ")
+            length += widths[end] + 3
+        return "".join(reversed(run))[max(length - most, 0):]
+
     lines = []
     for row in grid:
-        for part in range(max([1, *(len(c) for _, c in row)])):
-            texts = [c[part] if part < len(c) else "" for _, c in row]
-            if padded:
-                cells = [""] * (place[row[-1][0]] + 1)
-                for (column, _), t in zip(row, texts):
-                    cells[place[column]] = t
-                texts = [t + " " * (w - _width(t)) for t, w in zip(cells, widths)]
-            lines.append(" | ".join(texts).rstrip())
+        parts: list[list[tuple[int, str]]] = [[] for _ in range(max([1, *(len(c) for _, c in row)]))]
+        for column, cell in row:
+            for part, text in zip(parts, cell):
+                if text:
+                    part.append((place[column], text))
+        last = place[row[-1][0]]
+        for part in parts:
+            line, after = [], 0
+            for k, text in part:
+                line += [empty(after, k), text, " " * (widths[k] - _width(text)), " | " if k < last else ""]
+                after = k + 1
+            lines.append("".join([*line, empty(after, last)]).rstrip())
     return lines
 
 
@@ -593,8 +641,8 @@ def render_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """(page_id, title, text, n_chars), one row per input row, no shuffle.
 
     Null html counts as an empty page; repeated rows give equal rows; any markup, however broken
-    or deep, gives its text (elements beyond a fixed depth become siblings, as in browsers; tables whose
-    alignment would take over a million blanks in a page are laid out without it). The title is the
+    or deep, gives its text (elements beyond a fixed depth become siblings, as in browsers; columns of
+    tables align up to a fixed width each, whatever the size of the page). The title is the
     first title element's text.
     """
     def run(batches):
