@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL_SF, rows
 from tillroll.plans import ReceiptModels
+from tillroll.schemas import RECEIPT
 from tillroll.sources import receipts_from_tables
 
 JOIN_BASED = ["business_sales", "sale_profits", "business_sales_profits",
@@ -187,3 +188,29 @@ def test_contract_metrics_of_a_write_equal_the_scans(spark, tmp_dir):
     found = {(r.table_name, r.column_name): r.misfit_count for r in types.collect()}
     inf = damaged.filter("Terminal = 2").agg(F.sum(F.size("Products"))).first()[0]
     assert found["receipt_products", "product_price"] == inf > 0 and found["receipts", "receipt_date"] > 0
+
+
+def test_profits_in_a_receipt_equal_the_join_form_on_odd_lines(spark):
+    """NULL and zero terms, negative steps, several promotions of a product, NULL prices, no lines."""
+    products = [(1.5, "a", 4.0, 3.0), (1.5, "a", 4.0, None), (None, "b", 2.5, 0.5), (0.1, None, 3.3333, 2.0), (2.0, "c", None, 1.0), None]
+    promotions = [(0.5, 2, "a"), (0.25, -1, "a"), (0.125, 3, "a"), (0.1, 0, "b"), (None, 1, "b"), (0.2, None, "b"), (0.3, 1, None), None]
+    rows_ = [((str(k), f"B{k}"), "C", None, "2022/07/02", 0.1, [], products[:k], promotions[:9 - k], f"R{k}", k, 1, 2.0) for k in range(7)]
+    stg = spark.createDataFrame(rows_ + [(*r[:8], None, *r[9:]) for r in rows_], RECEIPT)
+    for name in ("sale_profits", "business_sales_profits", "business_monthly_profits"):
+        local, joined = (ReceiptModels(stg, unique_reference=unique).table(name) for unique in (True, False))
+        assert rows(local) == rows(joined)
+        assert local.dtypes == joined.dtypes
+
+
+def test_profit_reads_each_list_once_and_joins_once(spark, tmp_path):
+    stg = receipts_from_tables(spark, SMALL_SF)
+    stg.write.parquet(str(tmp_path / "stg"))
+    stg = spark.read.schema(stg.schema).parquet(str(tmp_path / "stg"))
+    plan = ReceiptModels(stg, unique_reference=False).sale_profits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert "Generate" not in ReceiptModels(stg, unique_reference=True).sale_profits._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lists_of_a_receipt_are_collected_once(spark):
+    plan = receipts_from_tables(spark, SMALL_SF, fine_terms=True, mixed_dates=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(") == 1, plan

@@ -1,7 +1,5 @@
 """Q1: promotion-adjusted profit per receipt and per business month (M1-M5)."""
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -22,67 +20,11 @@ def business_sales(receipts: DataFrame, businesses: DataFrame) -> DataFrame:
                             month_name(d).alias("month_name")))
 
 
-def _with_prices(lines: DataFrame) -> DataFrame:
-    """Add total_cost, total_price, discount_qlf_qty, price_after_discount and profit to
-    product lines that carry their promotion's ``discount`` and ``per_quantity`` (NULL when
-    none).
-
-    A promotion applies to the whole line once the quantity reaches a positive multiple of
-    ``per_quantity`` (qualifying quantity floor(q / n) * n > 0); a zero ``per_quantity``
-    never qualifies.
-    """
-    qty, per = as_quantity(F.col("product_quantity")), F.col("per_quantity")
-    discount = as_discount(F.col("discount"))
-    total_price = as_money(F.col("product_price")) * qty
-    qualifying = F.floor(F.try_divide(qty, per)) * per
-    discounted = discount.isNotNull() & (qualifying > 0)
-    after = F.when(discounted, total_price * (F.lit(Decimal("1")) - discount)
-                   ).otherwise(total_price).cast(EXACT)
-    return (lines.withColumn("total_cost", as_money(F.col("product_cost")) * qty)
-                 .withColumn("total_price", total_price)
-                 .withColumn("discount_qlf_qty", qualifying)
-                 .withColumn("price_after_discount", after)
-                 .withColumn("profit", F.col("price_after_discount") - F.col("total_cost")))
-
-
 _KEYS = ["receipt_ref", "product_name"]
 _STEP = "decimal(23,3)"
 # Sum of the discounts of one receipt's promotions for one product.
 _DISCOUNTS = "decimal(11,6)"
-
-
-def _qualifying_discounts(products: DataFrame, promotions: DataFrame) -> DataFrame:
-    """For every distinct (receipt, product, quantity) of the product lines, the sum of the
-    discounts of that receipt's promotions for that product that qualify at that quantity.
-
-    Qualifying (floor(q / n) * n > 0) means n > 0 and q >= n, or n < 0 and q > 0. The positive
-    thresholds are a running sum over thresholds and quantities in one ordered pass per
-    (receipt, product); both sides are first reduced to distinct values, so repeated copies of
-    a receipt add no rows to that pass.
-    """
-    per = F.col("per_quantity")
-    discount = as_discount(F.col("discount"))
-    usable = promotions.filter(discount.isNotNull())
-    thresholds = (usable.filter(per > 0)
-                  .groupBy(*_KEYS, per.cast(_STEP).alias("at"))
-                  .agg(F.sum(discount).alias("d"), F.lit(0).alias("kind")))
-    negative = (usable.filter(per < 0).groupBy(*_KEYS)
-                .agg(F.sum(discount).alias("d_negative")))
-    quantities = (products.select(*_KEYS, as_quantity(F.col("product_quantity")).cast(_STEP)
-                                  .alias("at"))
-                  .filter(F.col("at").isNotNull()).distinct()
-                  .select(*_KEYS, "at", F.lit(None).cast("decimal(17,6)").alias("d"),
-                          F.lit(1).alias("kind")))
-    upto = (Window.partitionBy(*_KEYS).orderBy("at", "kind")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    reached = (thresholds.unionByName(quantities)
-               .withColumn("d_positive", F.sum("d").over(upto))
-               .filter(F.col("kind") == 1))
-    return (reached.join(negative, _KEYS, "left")
-                   .select(*_KEYS, "at", (F.coalesce("d_positive", F.lit(0))
-                                          + F.when(F.col("at") > 0, F.coalesce(
-                                              "d_negative", F.lit(0))).otherwise(0))
-                           .alias("qualifying_discount")))
+_SUM = "decimal(38,13)"
 
 
 def _profit_sums() -> list[Column]:
@@ -92,32 +34,54 @@ def _profit_sums() -> list[Column]:
             to_amount(F.sum("profit")).alias("total_profit")]
 
 
+def _line_amounts(cost: Column, price: Column, m: Column, off: Column) -> dict[str, Column]:
+    """Cost, price, discounted price and profit of a product line of total ``cost`` and ``price``
+    over the rows of its left join with promotions: ``m`` promotions, whose qualifying ones sum to
+    the discount ``off``. A line with m >= 1 promotions counts m times.
+
+    A promotion applies to the whole line once the quantity reaches a positive multiple of its
+    ``Per_Quantity`` (floor(q / n) * n > 0: n > 0 and q >= n, or n < 0 and q > 0); zero never does.
+    """
+    m, off = m.cast("decimal(10,0)"), off.cast(_DISCOUNTS)
+    copies = F.greatest(m, F.lit(1).cast("decimal(10,0)"))
+    after = F.when(m == 0, price.cast(EXACT)).otherwise(((price * m).cast(EXACT) - (price * off).cast(EXACT)).cast(EXACT))
+    total_cost = (cost * copies).cast(EXACT)
+    return {"total_cost": total_cost, "total_price": (price * copies).cast(EXACT), "price_after_discount": after,
+            "profit": (after - total_cost).cast(EXACT)}
+
+
 def sale_profits(products: DataFrame, promotions: DataFrame) -> DataFrame:
     """Per receipt: cost, price, discounted price and profit, rounded to cents.
 
     Same sums as over the left join of product lines with promotions on (receipt, product
     name), with its bag semantics (a line with m promotions counts m times), but without
     forming the (line, promotion) pairs, whose number grows with the square of the copies of a
-    repeated receipt: a line with m >= 1 promotions contributes m x its cost and price and
-    total price x (m - sum of qualifying discounts) as discounted price.
+    repeated receipt. One ordered pass per (receipt, product) over thresholds and lines sums the discounts
+    whose threshold a line's quantity reaches; the number of promotions and what has no threshold is
+    joined. Lines without a receipt or product meet no promotion; those without a receipt aren't dealt.
     """
-    counted = (promotions.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("m"))
-               .filter(F.col("receipt_ref").isNotNull() & F.col("product_name").isNotNull()))
-    qty = as_quantity(F.col("product_quantity"))
-    lines = (products.withColumn("at", qty.cast(_STEP))
-             .join(counted, _KEYS, "left")
-             .join(_qualifying_discounts(products, promotions), _KEYS + ["at"], "left"))
-    m = F.coalesce(F.col("m"), F.lit(0)).cast("decimal(10,0)")
-    total_price = as_money(F.col("product_price")) * qty
-    copies = F.greatest(m, F.lit(1).cast("decimal(10,0)"))
-    off = F.coalesce(F.col("qualifying_discount"), F.lit(0)).cast(_DISCOUNTS)
-    discounted = F.when(m == 0, total_price.cast(EXACT)).otherwise(
-        ((total_price * m).cast(EXACT) - (total_price * off).cast(EXACT)).cast(EXACT))
-    sums = (lines.withColumn("total_cost", (as_money(F.col("product_cost")) * qty * copies).cast(EXACT))
-                 .withColumn("total_price", total_price * copies)
-                 .withColumn("price_after_discount", discounted)
-                 .withColumn("profit", F.col("price_after_discount") - F.col("total_cost")))
-    return sums.groupBy("receipt_ref").agg(*_profit_sums())
+    qty, per = as_quantity(F.col("product_quantity")), F.col("per_quantity")
+    discount = as_discount(F.col("discount"))
+    lines = products.select(*_KEYS, qty.cast(_STEP).alias("at"), F.lit(1).alias("kind"),
+                            (as_money(F.col("product_cost")) * qty).alias("cost"), (as_money(F.col("product_price")) * qty).alias("price"))
+    terms = promotions.filter(F.col("receipt_ref").isNotNull() & F.col("product_name").isNotNull()).select(
+        *_KEYS, F.when(per > 0, per).cast(_STEP).alias("at"), F.lit(0).alias("kind"),
+        F.when(per > 0, discount).alias("d_positive"), F.when(per < 0, discount).alias("d_negative"))
+    counted = terms.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("m"), F.sum("d_negative").alias("d_negative"))
+    steps = terms.filter(F.col("d_positive").isNotNull()).drop("d_negative")
+    upto = Window.partitionBy(*_KEYS).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (lines.filter(F.col("receipt_ref").isNotNull()).unionByName(steps, allowMissingColumns=True)
+               .withColumn("d_positive", F.sum("d_positive").over(upto)).filter("kind = 1"))
+    zero = F.lit(0)
+    off = F.coalesce("d_positive", zero) + F.when(F.col("at") > 0, F.coalesce("d_negative", zero)).otherwise(zero)
+    matched = reached.join(counted, _KEYS, "left").select("receipt_ref", "cost", "price", F.coalesce("m", zero).alias("m"), off.alias("off"))
+    nameless = lines.filter(F.col("receipt_ref").isNull()).select("receipt_ref", "cost", "price", zero.alias("m"), zero.alias("off"))
+
+    def sums(rows: DataFrame) -> DataFrame:
+        amounts = _line_amounts(*[F.col(c) for c in ("cost", "price", "m", "off")])
+        return rows.select("receipt_ref", *[c.alias(n) for n, c in amounts.items()]).groupBy("receipt_ref").agg(*_profit_sums())
+
+    return sums(matched).unionByName(sums(nameless))
 
 
 def business_sales_profits(sales: DataFrame, profits: DataFrame) -> DataFrame:
@@ -230,10 +194,46 @@ def business_sales_in_receipt(stg: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in cols.items()])
 
 
+def _sums_in_receipt() -> dict[str, Column]:
+    """Sums of the amounts of a staging row's product lines, each matched with the promotions of
+    the same row, computed inside the row: no line leaves it."""
+    promotions = F.when(F.col("Reference").isNotNull(), F.col("Promotions"))
+
+    def priced(p: Column) -> Column:
+        qty = as_quantity(p["Quantity"])
+        return F.struct((as_money(p["Cost"]) * qty).alias("cost"), (as_money(p["Price"]) * qty).alias("price"), qty.alias("qty"),
+                        promotions_for(p, promotions).alias("terms"))
+
+    def matched(x: Column) -> Column:
+        def add(off: Column, d: Column) -> Column:
+            per = d["Per_Quantity"]
+            qualifies = ((per > 0) & (x["qty"] >= per)) | ((per < 0) & (x["qty"] > 0))
+            return (off + F.when(qualifies, F.coalesce(as_discount(d["Discount"]), F.lit(0))).otherwise(F.lit(0))).cast(_DISCOUNTS)
+
+        off = F.aggregate(x["terms"], F.lit(0).cast(_DISCOUNTS), add)
+        return F.struct(x["cost"].alias("cost"), x["price"].alias("price"), F.size(x["terms"]).alias("m"), off.alias("off"))
+
+    def amounts(x: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in _line_amounts(x["cost"], x["price"], x["m"], x["off"]).items()])
+
+    lines = F.transform(F.transform(F.transform("Products", priced), matched), amounts)
+
+    def total(name: str) -> Column:
+        return F.aggregate(F.col("_lines"), F.lit(None).cast(_SUM), lambda s, x: F.coalesce((s + x[name]).cast(_SUM), s, x[name].cast(_SUM)))
+
+    return {"_lines": lines} | {name: total(name) for name in ("total_cost", "total_price", "price_after_discount", "profit")}
+
+
+def _profits_in_receipt(stg: DataFrame, header: dict[str, Column]) -> DataFrame:
+    """Profit sums by the ``header`` of receipts; receipts without product lines drop out."""
+    columns = _sums_in_receipt()
+    lines = stg.filter(F.size("Products") > 0).select(*[c.alias(n) for n, c in header.items()], columns.pop("_lines").alias("_lines"))
+    return lines.select(*header, *[c.alias(n) for n, c in columns.items()]).groupBy(*header).agg(*_profit_sums())
+
+
 def sale_profits_in_receipt(stg: DataFrame) -> DataFrame:
     """:func:`sale_profits` for staging rows with unique, non-NULL Reference."""
-    return (_with_prices(matched_lines_in_receipt(stg))
-            .groupBy("receipt_ref").agg(*_profit_sums()))
+    return _profits_in_receipt(stg, {"receipt_ref": F.col("Reference")})
 
 
 def business_sales_profits_in_receipt(stg: DataFrame) -> DataFrame:
@@ -243,6 +243,4 @@ def business_sales_profits_in_receipt(stg: DataFrame) -> DataFrame:
     cols = _sales_columns()
     header = ["business_abn", "business_name", "receipt_date", "year", "month", "month_name",
               "receipt_ref", "receipt_total", "gst"]
-    lines = matched_lines_in_receipt(stg.filter(F.col("Reference").isNotNull()),
-                                     {n: cols[n] for n in header})
-    return _with_prices(lines).groupBy(*header).agg(*_profit_sums())
+    return _profits_in_receipt(stg.filter(F.col("Reference").isNotNull()), {n: cols[n] for n in header})

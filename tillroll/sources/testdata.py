@@ -63,9 +63,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _line_items(spark: SparkSession, sf_dir: str, fine_terms: bool) -> DataFrame:
     """Per order: the product list and the promotion list.
 
-    An order's lines become one receipt document, so they are collected per order, both lists in
-    one aggregation: the arrays are the size of one receipt, as in the document model itself
-    (partial aggregation merges the pieces of an order from several tasks)."""
+    An order's lines become one receipt document, so they are collected per order, once for both
+    lists, which hold the same names: the arrays are the size of one receipt, as in the document
+    model itself (partial aggregation merges the pieces of an order from several tasks)."""
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
@@ -77,19 +77,19 @@ def _line_items(spark: SparkSession, sf_dir: str, fine_terms: bool) -> DataFrame
     if fine_terms:
         price = (price * F.lit(FINE_PRICE)).cast("decimal(12,4)")
         quantity, discount = F.col("l_quantity") / FINE_QUANTITY, discount / FINE_DISCOUNT
-    product = F.struct(
+    line = F.struct(
         cost.cast("double").alias("Cost"),
         F.col("p_name").alias("Name"),
         price.cast("double").alias("Price"),
         quantity.alias("Quantity"),
-    )
-    promotion = F.when(F.col("l_discount") > 0, F.struct(
-        discount.alias("Discount"),
+        F.when(F.col("l_discount") > 0, discount).alias("Discount"),
         F.col("l_linenumber").cast("bigint").alias("Per_Quantity"),
-        F.col("p_name").alias("Product")))
-    return lp.groupBy("l_orderkey").agg(
-        F.collect_list(product).alias("Products"),
-        F.collect_list(promotion).alias("Promotions"))
+    )
+    return lp.groupBy("l_orderkey").agg(F.collect_list(line).alias("lines")).select(
+        "l_orderkey",
+        F.transform("lines", lambda x: F.struct(*[x[f.name].alias(f.name) for f in PRODUCT])).alias("Products"),
+        F.transform(F.filter("lines", lambda x: x["Discount"].isNotNull()), lambda x: F.struct(
+            x["Discount"].alias("Discount"), x["Per_Quantity"].alias("Per_Quantity"), x["Name"].alias("Product"))).alias("Promotions"))
 
 
 def receipts_from_tables(spark: SparkSession, sf_dir: str, fine_terms: bool = False,
