@@ -54,11 +54,13 @@ def read_csv_parts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return parts
 
 
-def _tagged(parts: dict[str, DataFrame]) -> DataFrame:
-    """All rows that have a Reference: (Reference, Header or the place and values of one line)."""
+def _tagged(parts: dict[str, DataFrame], strict: bool = False) -> DataFrame:
+    """All rows that have a Reference: (Reference, Header or the place and values of one line). A line
+    without one fails if ``strict``, else it is left out."""
     columns = {"Header": shape_csv(parts["Headers"]).select("Reference", F.struct(*RECEIPT.fieldNames()).alias("Header"))}
     for kind, line in LINE_KINDS.items():
-        columns[kind] = parts[kind].select("Reference", F.struct("Line", *line.fieldNames()).alias(kind))
+        rows = parts[kind].withColumn("Reference", _reference_or_fails(kind)) if strict else parts[kind]
+        columns[kind] = rows.select("Reference", F.struct("Line", *line.fieldNames()).alias(kind))
     first, *others = columns.values()
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
@@ -67,7 +69,7 @@ def _tagged(parts: dict[str, DataFrame]) -> DataFrame:
 
 def _list(kind: str):
     """The lines of one receipt in order; a place taken twice fails."""
-    lines = F.array_sort(F.collect_set(kind))
+    lines = F.array_sort(F.transform(F.filter("_lines", lambda x: x[kind].isNotNull()), lambda x: x[kind]))
     places = F.transform(lines, lambda x: x["Line"])
     checked = F.when(F.size(F.array_distinct(places)) == F.size(places), lines).otherwise(F.raise_error(F.concat(
         F.lit(f"different {kind} at one line of receipt "), F.col("Reference"))))
@@ -76,7 +78,10 @@ def _list(kind: str):
 
 def assemble_receipts(parts: dict[str, DataFrame], strict: bool = True) -> DataFrame:
     """Receipt documents from the rows by kind (as :func:`read_csv_parts` returns them)."""
-    grouped = _tagged(parts).groupBy("Reference").agg(F.collect_list("Header").alias("_headers"), *map(_list, LINE_KINDS))
+    # One set for the lines of all kinds: every set more is one more object per receipt in each task.
+    line = F.when(F.col("Header").isNull(), F.struct(*LINE_KINDS))
+    grouped = (_tagged(parts, strict).groupBy("Reference").agg(F.collect_list("Header").alias("_headers"), F.collect_set(line).alias("_lines"))
+               .select("Reference", "_headers", *map(_list, LINE_KINDS)))
     if strict:
         grouped = grouped.withColumn("_headers", F.when(F.size("_headers") > 0, F.col("_headers")).otherwise(
             F.raise_error(F.concat(F.lit("lines without a header: receipt "), F.col("Reference")))))
@@ -84,17 +89,13 @@ def assemble_receipts(parts: dict[str, DataFrame], strict: bool = True) -> DataF
     known = grouped.select(F.explode("_headers").alias("_header"), *LINE_KINDS).select(*document)
     nameless = shape_csv(parts["Headers"]).filter(F.col("Reference").isNull()).select(
         *[F.array().cast(f.dataType).alias(f.name) if f.name in LINE_KINDS else F.col(f.name) for f in RECEIPT])
-    out = known.unionByName(nameless)
-    return out.unionByName(_nameless_lines_fail(parts)) if strict else out
+    return known.unionByName(nameless)
 
 
-def _nameless_lines_fail(parts: dict[str, DataFrame]) -> DataFrame:
-    """No row, or a failure if a line has no Reference."""
-    fails = [parts[kind].filter(F.col("Reference").isNull()).filter(F.raise_error(F.concat(
-        F.lit(f"{kind} without a Reference, line "), F.coalesce(F.col("Line").cast("string"), F.lit("?")))).cast("boolean"))
-        .select("Reference") for kind in LINE_KINDS]
-    empty = [F.col(f.name) if f.name == "Reference" else F.lit(None).cast(f.dataType).alias(f.name) for f in RECEIPT]
-    return fails[0].unionByName(fails[1]).unionByName(fails[2]).select(*empty)
+def _reference_or_fails(kind: str):
+    """A line's Reference; the load fails without one."""
+    return F.when(F.col("Reference").isNotNull(), F.col("Reference")).otherwise(F.raise_error(F.concat(
+        F.lit(f"{kind} without a Reference, line "), F.coalesce(F.col("Line").cast("string"), F.lit("?")))))
 
 
 def orphan_lines(parts: dict[str, DataFrame]) -> DataFrame:
