@@ -77,6 +77,28 @@ def test_models_without_repeats_read_no_staging(spark, tmp_path):
         assert files and all("/state_" in f for f in files), name
 
 
+def test_repeated_receipts_are_read_from_staging_once(spark, loaded):
+    root, _ = loaded
+    models = loaded_models(spark, root)
+    for name in ("business_monthly_profits", "business_employees", "turnover_by_period"):
+        files = models.table(name).inputFiles()
+        assert files and not any("/stg_receipts/" in f for f in files), name
+
+
+def test_a_state_that_fails_fails_its_load(spark, tmp_path):
+    root = str(tmp_path / "root")
+    bad = _receipts(spark, tmp_path / "in", [_again(0, Date="soon")])
+    with pytest.raises(Exception, match="not a receipt date"):
+        load_receipts(spark, root, "bad", bad, unique_reference=True)
+    assert LoadStore(spark, root).current() == {}
+
+
+def test_monthly_profits_compute_the_profit_alone(spark, tmp_path):
+    staged = _receipts(spark, tmp_path / "in", EDGE_RECEIPTS)
+    plan = partial_states(staged, staged)["business_monthly_profits"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "total_monthly_profit" in plan and "price_after_discount" not in plan and "total_cost" not in plan
+
+
 def test_a_load_delivered_again_replaces_the_former(spark, loaded):
     root, parts = loaded
     store = LoadStore(spark, root)

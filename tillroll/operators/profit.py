@@ -196,31 +196,28 @@ def business_sales_in_receipt(stg: DataFrame) -> DataFrame:
 
 def _sums_in_receipt() -> dict[str, Column]:
     """Sums of the amounts of a staging row's product lines, each matched with the promotions of
-    the same row, computed inside the row: no line leaves it."""
+    the same row, computed inside the row: no line leaves it. A line's values are cast and multiplied
+    once; each sum computes its own amount, so that a reader of one sum pays for that alone."""
     promotions = F.when(F.col("Reference").isNotNull(), F.col("Promotions"))
 
-    def priced(p: Column) -> Column:
-        qty = as_quantity(p["Quantity"])
-        return F.struct((as_money(p["Cost"]) * qty).alias("cost"), (as_money(p["Price"]) * qty).alias("price"), qty.alias("qty"),
+    def read(p: Column) -> Column:
+        return F.struct(as_money(p["Cost"]).alias("cost"), as_money(p["Price"]).alias("price"), as_quantity(p["Quantity"]).alias("qty"),
                         promotions_for(p, promotions).alias("terms"))
 
     def matched(x: Column) -> Column:
         def add(off: Column, d: Column) -> Column:
             per = d["Per_Quantity"]
             qualifies = ((per > 0) & (x["qty"] >= per)) | ((per < 0) & (x["qty"] > 0))
-            return (off + F.when(qualifies, F.coalesce(as_discount(d["Discount"]), F.lit(0))).otherwise(F.lit(0))).cast(_DISCOUNTS)
+            return F.when(qualifies, (off + F.coalesce(as_discount(d["Discount"]), F.lit(0))).cast(_DISCOUNTS)).otherwise(off)
 
         off = F.aggregate(x["terms"], F.lit(0).cast(_DISCOUNTS), add)
-        return F.struct(x["cost"].alias("cost"), x["price"].alias("price"), F.size(x["terms"]).alias("m"), off.alias("off"))
-
-    def amounts(x: Column) -> Column:
-        return F.struct(*[c.alias(n) for n, c in _line_amounts(x["cost"], x["price"], x["m"], x["off"]).items()])
-
-    lines = F.transform(F.transform(F.transform("Products", priced), matched), amounts)
+        return F.struct((x["cost"] * x["qty"]).alias("cost"), (x["price"] * x["qty"]).alias("price"), F.size(x["terms"]).alias("m"), off.alias("off"))
 
     def total(name: str) -> Column:
-        return F.aggregate(F.col("_lines"), F.lit(None).cast(_SUM), lambda s, x: F.coalesce((s + x[name]).cast(_SUM), s, x[name].cast(_SUM)))
+        amounts = F.transform("_lines", lambda x: _line_amounts(x["cost"], x["price"], x["m"], x["off"])[name].cast(_SUM))
+        return F.aggregate(amounts, F.lit(None).cast(_SUM), lambda s, v: F.coalesce((s + v).cast(_SUM), s, v))
 
+    lines = F.transform(F.transform("Products", read), matched)
     return {"_lines": lines} | {name: total(name) for name in ("total_cost", "total_price", "price_after_discount", "profit")}
 
 

@@ -14,6 +14,9 @@ readers replace those of repeated ones by the join forms over these receipts.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,7 @@ from pyspark.sql import types as T
 from tillroll.operators import loyalty, profit
 from tillroll.plans.pipeline import ReceiptModels
 from tillroll.schemas import RECEIPT
+from tillroll.session import scratch_path
 from tillroll.sources.runs import LoadStore
 from tillroll.sources.staging import STAGING_KEY, STAGING_TABLE, reference_conflicts, split_by_conflict
 
@@ -44,13 +48,21 @@ def load_receipts(spark: SparkSession, root: str, load: str, receipts: DataFrame
         if n := in_load.count():
             alone, _ = split_by_conflict(staged, in_load, n)
     else:
-        store.write(spark.createDataFrame([], _REPEATED_SCHEMA), run, _REPEATED)
-    for name, state in partial_states(staged, alone).items():
-        store.write(state, run, f"state_{name}")
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in _REPEATED_SCHEMA]
+        store.write(spark.range(0).select(*none), run, _REPEATED)
+    _write_states(store, run, partial_states(staged, alone))
     store.commit(run)
     return run
 
 
+def _write_states(store: LoadStore, run: tuple[str, str], states: dict[str, DataFrame]) -> None:
+    """Write the states, each by a job of its own. The jobs are given to Spark together, so that cores that
+    one has no more tasks for serve the next; the first failure fails the load."""
+    write = inheritable_thread_target(store.spark)(lambda name: store.write(states[name], run, f"state_{name}"))
+    with ThreadPoolExecutor(len(states)) as pool:
+        list(pool.map(write, states))
+
+
 def partial_states(staged: DataFrame, alone: DataFrame) -> dict[str, DataFrame]:
     """The states of one load's receipts, of which ``alone`` are those with a Reference of their own (or none)."""
     models = ReceiptModels(staged, unique_reference=True)
@@ -93,7 +105,10 @@ def loaded_models(spark: SparkSession, root: str, leavers: DataFrame | None = No
 def _of_repeated(staging: DataFrame, found: DataFrame, repeated: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """What repeated receipts add to the loads' states: monthly profits (those of the join forms, less
     what the loads hold of these receipts) and service rows."""
-    _, shared = split_by_conflict(staging, repeated, n)
+    _, rows = split_by_conflict(staging, repeated, n)
+    path = scratch_path(staging.sparkSession, "repeated-receipts")
+    rows.write.parquet(path)  # the join forms read them list by list, staging is read once
+    shared = staging.sparkSession.read.schema(rows.schema).parquet(path)
     joined = ReceiptModels(shared.drop("load"), unique_reference=False)
     # A receipt that is alone in its load is in that load's state. Its key with the load's name is unique.
     held = shared.join(found.filter("in_load").select("load", STAGING_KEY), ["load", STAGING_KEY], "left_anti")

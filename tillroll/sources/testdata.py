@@ -68,19 +68,19 @@ def _line_items(spark: SparkSession, sf_dir: str, fine_terms: bool) -> DataFrame
     model itself (partial aggregation merges the pieces of an order from several tasks)."""
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    lp = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
-
     price = F.col("p_retailprice").cast(CENTS)
     cost = (price * F.lit(COST_RATE)).cast(CENTS)
     quantity, discount = F.col("l_quantity").cast("bigint").cast("double"), F.col("l_discount")
     if fine_terms:
         price = (price * F.lit(FINE_PRICE)).cast("decimal(12,4)")
         quantity, discount = F.col("l_quantity") / FINE_QUANTITY, discount / FINE_DISCOUNT
+    parts = _table(spark, sf_dir, "part").select(  # priced once a part, not once a line
+        "p_partkey", "p_name", price.cast("double").alias("price"), cost.cast("double").alias("cost"))
+    lp = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
     line = F.struct(
-        cost.cast("double").alias("Cost"),
+        F.col("cost").alias("Cost"),
         F.col("p_name").alias("Name"),
-        price.cast("double").alias("Price"),
+        F.col("price").alias("Price"),
         quantity.alias("Quantity"),
         F.when(F.col("l_discount") > 0, discount).alias("Discount"),
         F.col("l_linenumber").cast("bigint").alias("Per_Quantity"),
