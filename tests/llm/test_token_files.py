@@ -60,6 +60,36 @@ def test_words_are_encoded_as_whole_texts_are(cache, monkeypatch):
         assert len(encoder.young) <= max(cache, 64)
 
 
+class _Counting(dict):
+    """A memory that counts how often it is asked."""
+
+    asked = 0
+
+    def __getitem__(self, word):
+        self.asked += 1
+        return super().__getitem__(word)
+
+    def get(self, word, default=None):
+        self.asked += 1
+        return super().get(word, default)
+
+
+def test_python_handles_each_different_word_of_some_texts_once():
+    encoder = token_files.WordEncoder(PATH, 2, 1000)
+    encoder.young = _Counting()
+    texts = ["the same words\n" * 500, "", "Words, words  the" * 500, "漢字 é"]
+    for _ in range(2):
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode_many(texts)] == [_library(t) for t in texts]
+    assert encoder.young.asked < 50
+
+
+def test_memory_keeps_its_limit_when_one_text_has_more_words():
+    encoder, text = token_files.WordEncoder(PATH, 2, 10), " ".join(f"word{k}" for k in range(300))
+    for _ in range(3):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == _library(text)
+        assert len(encoder.young) <= 10 and len(encoder.old) <= 10
+
+
 def test_other_tokenizers_get_whole_texts():
     other = token_files.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), 2, 10)
     assert not other.by_word and len(other.encode("two words")) > 0
@@ -89,6 +119,23 @@ def test_files_hold_the_documents_in_order(make, tmp_dir, params):
     assert opened.document(0).tolist() == np.frombuffer(bytes(got[0]["ids"]), kind).tolist()
 
 
+@pytest.mark.parametrize("cuts", [[], [4], [-5, 0, 1], list(range(-20, 60, 7)), [-2 ** 63, 3, 2 ** 63 - 1]])
+def test_rows_are_dealt_by_the_cuts_below_their_id(spark, cuts):
+    values = [None, -2 ** 63, 2 ** 63 - 1, *range(-25, 65)]
+    rows = spark.createDataFrame([(v,) for v in values], "doc_id long")
+    got = {r[0]: r[1] for r in rows.select("doc_id", token_files._number_below(cuts, rows["doc_id"])).collect()}
+    assert got == {v: 0 if v is None else int(np.searchsorted(cuts, v, "left")) for v in values}
+
+
+def test_texts_pass_through_python_once_before_the_shuffle(make, tmp_dir, monkeypatch):
+    plans, kept = [], token_files.written
+    monkeypatch.setattr(token_files, "written", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or kept(df, name))
+    token_files.write_token_files(token_files.encode_documents(make(ROWS), PATH), tmp_dir, ranges=3).collect()
+    (plan,) = plans
+    physical = plan[plan.index("== Physical Plan"):]
+    assert physical.count("MapInArrow") == 2  # encoding, and writing after the shuffle
+
+
 def test_empty_table_and_foreign_files(make, tmp_dir):
     manifest = token_files.write_token_files(token_files.encode_documents(make([]), PATH), tmp_dir)
     assert manifest.collect() == [] and token_files.read_token_files(manifest).collect() == []

@@ -9,6 +9,7 @@ Spark commits, so a retried or speculative task leaves at most an unlisted file.
 
 from __future__ import annotations
 
+import math
 import os
 import struct
 import uuid
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.elias_fano import EliasFano
@@ -29,8 +30,8 @@ from tillroll.session import scratch_path
 #: Fixed values of the format.
 MAGIC = b"TOKIDS01"
 _FOOTER = struct.Struct("<QQQQQB7x8s")  # ids, documents, of them without doc_id, bytes of ends, of doc_ids, bytes an id
-#: Long texts are encoded in pieces, cut at the first blank or line feed after so many characters.
-_CUT_FROM = 1 << 16
+#: Long texts are encoded in pieces, cut at the first blank or line feed after so many characters; short ones together.
+_CUT_FROM = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -88,13 +89,20 @@ class WordEncoder:
             out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
         return out
 
-    def _remember(self, words: set[str]) -> None:
-        """All given words into the young generation."""
-        if len(self.young) + len(words) > self.limit:
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Different words' ids, remembered or from the library; at most ``limit`` new ones are remembered."""
+        found = list(map(self.young.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        if not missing:
+            return found
+        short = [w for w in missing if len(w) <= self.LONGEST][:self.limit]
+        if len(self.young) + len(short) > self.limit:
             self.young, self.old = {}, self.young
-        fresh = list(words.difference(self.old))
-        self.young.update((w, self.old[w]) for w in words.difference(fresh))
-        self.young.update(zip(fresh, self._encode(fresh)))
+        new = dict(zip(missing, map(self.old.get, missing)))
+        fresh = [w for w, ids in new.items() if ids is None]
+        new.update(zip(fresh, self._encode(fresh)))
+        self.young.update(zip(short, map(new.__getitem__, short)))
+        return [new[w] if ids is None else ids for w, ids in zip(words, found)]
 
     def encode(self, text: str) -> bytes:
         """The text's ids, little-endian."""
@@ -109,13 +117,13 @@ class WordEncoder:
             at = 0
             while at < len(text):
                 end = self._cut(text, at + _CUT_FROM)
-                held.append((k, text[at:end].replace("\n", " ").split(" ")))
+                held.append((k, text[at:end]))
                 size += end - at
                 if size >= _CUT_FROM:
-                    self._words(held, out)
+                    self._pieces(held, out)
                     held, size = [], 0
                 at = end
-        self._words(held, out)
+        self._pieces(held, out)
         return [b"".join(parts) for parts in out]
 
     @staticmethod
@@ -124,21 +132,19 @@ class WordEncoder:
         found = [k for k in (text.find(" ", at), text.find("\n", at)) if k >= 0]
         return min(found, default=len(text))
 
-    def _words(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
-        """The ids of some texts' words, to the texts' parts."""
-        every = set()
-        for _, words in held:
-            every.update(words)
-        missing = every.difference(self.young)
-        known = self.young
-        if missing:
-            self._remember({w for w in missing if len(w) <= self.LONGEST})
-            known = self.young
-            rest = list(every.difference(known))  # long ones, and those that just grew old
-            if rest:
-                known = {w: known[w] for w in every.difference(rest)} | dict(zip(rest, self._encode(rest)))
-        for k, words in held:
-            out[k].append(b"".join(map(known.__getitem__, words)))
+    def _pieces(self, held: list[tuple[int, str]], out: list[list[bytes]]) -> None:
+        """The ids of some texts' pieces, to the texts' parts. Arrow splits the pieces and puts their ids
+        together, so that Python handles each different word once."""
+        words = pc.split_pattern(pc.replace_substring(pa.array([piece for _, piece in held], pa.string()), "\n", " "), " ")
+        every = words.flatten().dictionary_encode()
+        # By way of NumPy: several times as fast as to_pylist.
+        ids = self._ids(every.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, ends, raw = pa.array(ids, pa.large_binary()).take(every.indices).buffers()
+        if raw is None:  # no ids at all
+            return
+        raw, cuts = memoryview(raw), np.frombuffer(ends, np.int64)[words.offsets.to_numpy()].tolist()
+        for (k, _), start, end in zip(held, cuts, cuts[1:]):
+            out[k].append(raw[start:end])
 
 
 _encoders: dict[tuple, WordEncoder] = {}
@@ -163,7 +169,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, id_col: str = "doc_id
         encoder = _encoder(tokenizer, width, cache)
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            for i, j in _runs(lengths, 1 << 20):
+            for i, j in _runs(lengths, 4 << 20):
                 texts = [t or "" for t in batch.column(1).slice(i, j - i).to_pylist()]
                 ids = [b + end for b in encoder.encode_many(texts)]
                 yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(ids, pa.binary())], ["doc_id", "ids"])
@@ -252,6 +258,18 @@ class TokenFile:
         self.file.close()
 
 
+def _number_below(cuts: list[int], value: Column) -> Column:
+    """How many of the ascending ``cuts`` are less than the value (null: none): first by blocks of cuts, then
+    in one block, so that a row is compared with few of them."""
+    if not cuts:
+        return F.lit(0)
+    block = math.isqrt(len(cuts))
+    listed = lambda some: F.split(F.lit(",".join(map(str, some))), ",").cast("array<long>")
+    below = lambda some: F.size(F.filter(some, lambda cut: cut < value))
+    passed = block * below(listed(cuts[block - 1::block]))
+    return passed + below(F.slice(listed(cuts), passed + 1, block))
+
+
 def write_token_files(encoded: DataFrame, folder: str, params: TokenFileParams = TokenFileParams(),
                       ranges: int | None = None, doc_ids: DataFrame | None = None) -> DataFrame:
     """Writes (doc_id, ids) to files in ``folder`` (shared by all executors) and returns the
@@ -270,15 +288,9 @@ def write_token_files(encoded: DataFrame, folder: str, params: TokenFileParams =
     shares = [k / n for k in range(1, n)]
     limits = (encoded if doc_ids is None else doc_ids).select(F.col("doc_id").cast("long").alias("doc_id")).agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else None
     cuts = sorted(set(limits or []))
-    cuts = np.unique(np.array(limits or [], np.int64))
-
-    def deal(batches):
-        for batch in batches:
-            number = np.searchsorted(cuts, batch.column(0).fill_null(0).to_numpy(), "left").astype(np.int32)
-            number[batch.column(0).is_null().to_numpy(zero_copy_only=False)] = 0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number)], names=["doc_id", "ids", "deal"])
-
-    dealt = (encoded.select("doc_id", "ids").mapInArrow(deal, "doc_id long, ids binary, deal int")
+    # By Spark's own functions: a second Python step would take a second worker a task, and the words that
+    # ``encode_documents`` remembers would be spread over both.
+    dealt = (encoded.select("doc_id", "ids", _number_below(cuts, F.col("doc_id")).alias("deal"))
              .repartitionById(len(cuts) + 1, F.col("deal"))
              .sortWithinPartitions("deal", F.col("doc_id").asc_nulls_first(), "ids"))
 
