@@ -169,7 +169,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, id_col: str = "doc_id
         encoder = _encoder(tokenizer, width, cache)
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            for i, j in _runs(lengths, 4 << 20):
+            for i, j in _runs(lengths, _CUT_FROM if encoder.by_word else 1 << 20):
                 texts = [t or "" for t in batch.column(1).slice(i, j - i).to_pylist()]
                 ids = [b + end for b in encoder.encode_many(texts)]
                 yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(ids, pa.binary())], ["doc_id", "ids"])
