@@ -136,6 +136,30 @@ def test_texts_pass_through_python_once_before_the_shuffle(make, tmp_dir, monkey
     assert physical.count("MapInArrow") == 2  # encoding, and writing after the shuffle
 
 
+def _many_files(make, folder, params):
+    encoded = token_files.encode_documents(make([(k, f"text {k}") for k in range(90)]), PATH, params=params)
+    return token_files.write_token_files(encoded, folder, params, ranges=30)
+
+
+def test_the_manifest_of_many_files_is_written_by_one_task(make, tmp_dir, monkeypatch):
+    tables, kept = [], token_files.written
+    monkeypatch.setattr(token_files, "written", lambda df, name: tables.append(kept(df, name)) or tables[-1])
+    manifest = _many_files(make, tmp_dir, token_files.TokenFileParams())
+    assert manifest.count() == 30 and len(tables[0].inputFiles()) == 1
+
+
+@pytest.mark.parametrize("task_ids", [4 << 20, 10, 1])
+def test_reading_tasks_follow_cores_and_ids(make, tmp_dir, spark, task_ids):
+    params = token_files.TokenFileParams(file_docs=1, task_ids=task_ids)
+    manifest = _many_files(make, tmp_dir, params)
+    read = token_files.read_token_files(manifest, params)
+    got = sorted(read.select("doc_id", "document", "start", "n_tokens").collect())
+    ids = sum(r["n_tokens"] for r in got)
+    assert read.rdd.getNumPartitions() == min(90, max(2 * spark.sparkContext.defaultParallelism, -(-ids // task_ids)))
+    assert [r["doc_id"] for r in got] == [r["document"] for r in got] == list(range(90))
+    assert [r["start"] for r in got] == [sum(r["n_tokens"] for r in got[:k]) for k in range(90)]
+
+
 def test_empty_table_and_foreign_files(make, tmp_dir):
     manifest = token_files.write_token_files(token_files.encode_documents(make([]), PATH), tmp_dir)
     assert manifest.collect() == [] and token_files.read_token_files(manifest).collect() == []

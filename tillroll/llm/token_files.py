@@ -39,7 +39,7 @@ class TokenFileParams:
     """``end_id`` follows each document (None: nothing does). ``width``: bytes of an id. A new file
     begins after ``file_ids`` ids or ``file_docs`` documents. ``cache``: words whose ids a worker
     remembers (twice as many at most). ``piece``: bytes of ids that a reader holds, beyond one
-    document's where it returns ids."""
+    document's where it returns ids. ``task_ids``: ids that a reading task reads, or one file's."""
 
     end_id: int | None = 2
     width: int = 2
@@ -47,6 +47,7 @@ class TokenFileParams:
     file_docs: int = 4 << 20
     cache: int = 500_000
     piece: int = 4 << 20
+    task_ids: int = 4 << 20
 
 
 def _place(path: str) -> tuple[pafs.FileSystem, str]:
@@ -313,7 +314,9 @@ def write_token_files(encoded: DataFrame, folder: str, params: TokenFileParams =
         if writer is not None:
             yield closed()
 
-    files = written(dealt.mapInArrow(run, "deal int, number int, path string, documents long, ids long"), "token-files")
+    # One task writes the manifest's few short rows. A Parquet file a writing task would be hundreds of files of one
+    # row, for each of which Hadoop's local file system starts processes (``chmod``) beside a full executor.
+    files = written(dealt.mapInArrow(run, "deal int, number int, path string, documents long, ids long").repartition(1), "token-files")
     # One short row a file, so the running sums are one task's work whatever the size of the files.
     before = Window.orderBy("deal", "number").rowsBetween(Window.unboundedPreceding, -1)
     return files.select("path", "documents", "ids",
@@ -367,9 +370,11 @@ def read_token_files(manifest: DataFrame, params: TokenFileParams = TokenFilePar
                 yield from rows_of(source, first_document, first_id)
                 source.close()
 
-    files = manifest.select("path", "first_document", "first_id")
-    # A number of its own, so that adaptive execution doesn't merge these few short rows into one task.
-    return files.repartition(max(1, min(files.count(), 50_000))).mapInArrow(
+    # A number of its own, so that adaptive execution doesn't merge these few short rows into one task: two tasks a
+    # core, or more where they would read more than ``task_ids`` each, but none without a file.
+    files, ids = manifest.agg(F.count("*"), F.coalesce(F.sum("ids"), F.lit(0))).first()
+    tasks = max(2 * manifest.sparkSession.sparkContext.defaultParallelism, math.ceil(ids / params.task_ids))
+    return manifest.select("path", "first_document", "first_id").repartition(max(1, min(files, tasks, 50_000))).mapInArrow(
         run, "doc_id long, document long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
